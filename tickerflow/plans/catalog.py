@@ -36,4 +36,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so their queries register."""
-    from . import q_alphas, q_features  # noqa: F401
+    from . import q_alphas, q_articles, q_features  # noqa: F401

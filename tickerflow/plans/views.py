@@ -94,3 +94,54 @@ def with_views(names: list[str], body: str, extra: str = "", recursive: bool = F
     """``WITH <views>, <extra> <body>`` for the DuckDB oracle."""
     ctes = ",".join([SQL_VIEWS[n] for n in names] + ([extra] if extra.strip() else []))
     return f"WITH {'RECURSIVE ' if recursive else ''}{ctes}\n{body}"
+
+
+# ---------------------------------------------------------------- articles (from documents)
+def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw crawled rows: every document is an article.
+
+    URL = host by doc_id % 7 + slug by doc_id % 100 carrying an 8-digit date code
+    (some invalid: month 13/14, day 31 in short months); doc_id % 4 = 0 adds a
+    second code that F4 must ignore. Shared (host, slug) pairs are the repeats A1
+    removes. published_date is missing for doc_id % 11 = 0.
+    """
+    d = table(spark, sf_dir, "documents")
+    g = F.col("doc_id") % 100
+    code = F.concat(
+        (F.lit(2015) + g % 13).cast("string"),
+        F.lpad((F.lit(1) + (g * 7) % 14).cast("string"), 2, "0"),
+        F.lpad((F.lit(1) + (g * 11) % 31).cast("string"), 2, "0"),
+    )
+    url = F.concat(
+        F.lit("https://news"), (F.col("doc_id") % 7).cast("string"), F.lit(".vn/a"), g.cast("string"), F.lit("-"),
+        code, F.when(F.col("doc_id") % 4 == 0, F.lit("-20240101")).otherwise(F.lit("")), F.lit(".htm"),
+    )
+    published = F.when(F.col("doc_id") % 11 == 0, F.lit(None).cast("string")).otherwise(
+        F.date_format(F.date_add(F.lit("2021-06-01").cast("date"), ((F.col("doc_id") * 37) % 1600).cast("int")),
+                      "yyyy-MM-dd")
+    )
+    title = F.when(F.instr("text", "\n") > 0, F.substring_index("text", "\n", 1)).otherwise(F.lit(""))
+    return d.select(
+        F.element_at(F.array(*[F.lit(t) for t in TICKERS]), (F.col("doc_id") % 5 + 1).cast("int")).alias("ticker"),
+        "source", F.col("lang").alias("keyword"), title.alias("title"), url.alias("url"),
+        published.alias("published_date"), F.col("text").alias("content"), F.col("doc_id").alias("arrival"),
+    )
+
+
+_G = "(doc_id % 100)"
+SQL_VIEWS["raw_articles"] = f"""
+raw_articles AS (
+  SELECT CASE doc_id % 5 {' '.join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(TICKERS))} END AS ticker,
+         source, lang AS keyword,
+         CASE WHEN strpos(text, chr(10)) > 0 THEN split_part(text, chr(10), 1) ELSE '' END AS title,
+         'https://news' || CAST(doc_id % 7 AS VARCHAR) || '.vn/a' || CAST({_G} AS VARCHAR) || '-'
+           || CAST(2015 + {_G} % 13 AS VARCHAR)
+           || lpad(CAST(1 + ({_G} * 7) % 14 AS VARCHAR), 2, '0')
+           || lpad(CAST(1 + ({_G} * 11) % 31 AS VARCHAR), 2, '0')
+           || CASE WHEN doc_id % 4 = 0 THEN '-20240101' ELSE '' END || '.htm' AS url,
+         CASE WHEN doc_id % 11 = 0 THEN NULL
+              ELSE strftime(DATE '2021-06-01' + CAST((doc_id * 37) % 1600 AS INTEGER), '%Y-%m-%d') END
+           AS published_date,
+         text AS content, doc_id AS arrival
+  FROM documents
+)"""
