@@ -145,3 +145,140 @@ raw_articles AS (
          text AS content, doc_id AS arrival
   FROM documents
 )"""
+
+
+# ---------------------------------------------------------------- listing (from part), for the ticker map
+# Stand-in legal-form prefixes by p_partkey % 8 (one upper-case, one none).
+LISTING_PREFIX = ["Công ty Cổ phần ", "CTCP ", "Tổng Công ty ", "Tập đoàn ", "Ngân hàng TMCP ",
+                  "NGÂN HÀNG ", "Doanh nghiệp ", ""]
+
+
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Company listing: symbol 'P<partkey>', full name = prefix + brand + name,
+    short name = name (empty for partkey % 3 = 0, prefixed 'Tập đoàn ' for % 3 = 1)."""
+    p = table(spark, sf_dir, "part")
+    prefix = F.element_at(F.array(*[F.lit(x) for x in LISTING_PREFIX]), (F.col("p_partkey") % 8 + 1).cast("int"))
+    short = (F.when(F.col("p_partkey") % 3 == 0, F.lit(""))
+             .when(F.col("p_partkey") % 3 == 1, F.concat(F.lit("Tập đoàn "), F.col("p_name")))
+             .otherwise(F.col("p_name")))
+    return p.select(
+        F.col("p_partkey").alias("row_order"),
+        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("symbol"),
+        F.concat(prefix, F.col("p_brand"), F.lit(" "), F.col("p_name")).alias("organ_name"),
+        short.alias("organ_short_name"),
+    )
+
+
+SQL_VIEWS["listing"] = f"""
+listing AS (
+  SELECT p_partkey AS row_order, 'P' || CAST(p_partkey AS VARCHAR) AS symbol,
+         CASE p_partkey % 8 {' '.join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(LISTING_PREFIX))} END
+           || p_brand || ' ' || p_name AS organ_name,
+         CASE WHEN p_partkey % 3 = 0 THEN '' WHEN p_partkey % 3 = 1 THEN 'Tập đoàn ' || p_name ELSE p_name END
+           AS organ_short_name
+  FROM part
+)"""
+
+
+# ---------------------------------------------------------------- name dictionary (from benchmark)
+NAME_TICKERS = TICKERS + [f"T{i}" for i in range(30)]
+
+
+def _bench_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = table(spark, sf_dir, "benchmark")
+    w = b.select("item_id", F.posexplode(F.split("text", " ")).alias("pos", "raw"))
+    return w.select("item_id", "pos", F.regexp_replace("raw", "[^\\p{L}]", "").alias("word"))
+
+
+def name_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered name → ticker map derived from benchmark text.
+
+    Names: capitalised words of >= 6 letters and two-word runs (capitalised first
+    word) of >= 15 characters. ord = item_id * 100000 + 2 * pos (+1 for runs);
+    ticker by k = (item_id * 31 + pos) % 40: five real tickers, 30 others, and for
+    k >= 35 the upper-cased first three letters (so words can be tickers, J6).
+    Repeated names keep the first position and take the last ticker (dict update).
+    """
+    w = _bench_words(spark, sf_dir)
+    nxt = w.select("item_id", (F.col("pos") - 1).alias("pos"), F.col("word").alias("next_word"))
+    ww = w.join(nxt, ["item_id", "pos"], "left")
+    cap = F.col("word").rlike("^\\p{Lu}")
+    single = ww.filter(cap & (F.length("word") >= 6)).select(
+        (F.col("item_id") * 100000 + F.col("pos") * 2).alias("seq"), F.col("word").alias("name"), "item_id", "pos")
+    pair_name = F.concat_ws(" ", F.col("word"), F.col("next_word"))
+    pair = ww.filter(cap & (F.col("next_word") != "") & (F.length(pair_name) >= 15)).select(
+        (F.col("item_id") * 100000 + F.col("pos") * 2 + 1).alias("seq"), pair_name.alias("name"), "item_id", "pos")
+    k = (F.col("item_id") * 31 + F.col("pos")) % 40
+    tick = F.when(k >= 35, F.upper(F.substring("name", 1, 3))).otherwise(
+        F.element_at(F.array(*[F.lit(t) for t in NAME_TICKERS]), (k + 1).cast("int")))
+    entries = single.unionByName(pair).select("seq", "name", tick.alias("ticker"))
+    return entries.groupBy("name").agg(F.min("seq").alias("ord"), F.max_by("ticker", "seq").alias("ticker")).select(
+        "ord", "name", "ticker")
+
+
+_NT = " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(NAME_TICKERS))
+SQL_VIEWS["names"] = f"""
+bw AS (
+  SELECT item_id, pos - 1 AS pos, regexp_replace(raw, '[^\\p{{L}}]', '', 'g') AS word
+  FROM (SELECT item_id, unnest(string_split(text, ' ')) AS raw,
+               generate_subscripts(string_split(text, ' '), 1) AS pos FROM benchmark)
+),
+bww AS (
+  SELECT a.item_id, a.pos, a.word, b.word AS next_word
+  FROM bw a LEFT JOIN bw b ON a.item_id = b.item_id AND b.pos = a.pos + 1
+),
+name_entries AS (
+  SELECT item_id * 100000 + pos * 2 AS seq, word AS name, item_id, pos FROM bww
+  WHERE regexp_matches(word, '^\\p{{Lu}}') AND length(word) >= 6
+  UNION ALL
+  SELECT item_id * 100000 + pos * 2 + 1, word || ' ' || next_word, item_id, pos FROM bww
+  WHERE regexp_matches(word, '^\\p{{Lu}}') AND next_word <> '' AND length(word || ' ' || next_word) >= 15
+),
+names AS (
+  SELECT name, min(seq) AS ord,
+         arg_max(CASE WHEN (item_id * 31 + pos) % 40 >= 35 THEN upper(substr(name, 1, 3))
+                      ELSE CASE (item_id * 31 + pos) % 40 {_NT} END END, seq) AS ticker
+  FROM name_entries GROUP BY name
+)"""
+
+
+def derived_aliases(names: DataFrame) -> DataFrame:
+    """Aliases that hit the data: every 9th name (by ord) as lower-case alias; those
+    with ord % 4 = 0 unlisted (NULL ticker), the rest pointing at 'A<k>'."""
+    n = names.filter(F.col("ord") % 9 == 0)
+    t = (F.when(F.col("ord") % 4 == 0, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("A"), (F.col("ord") % 13).cast("string"))))
+    # one value per alias (a dict): the first name in map order decides
+    return n.groupBy(F.lower("name").alias("alias")).agg(F.min_by(t, F.col("ord")).alias("ticker"))
+
+
+SQL_VIEWS["aliases"] = """
+aliases AS (
+  SELECT alias, ticker FROM (
+    SELECT lower(name) AS alias,
+           CASE WHEN ord % 4 = 0 THEN NULL ELSE 'A' || CAST(ord % 13 AS VARCHAR) END AS ticker,
+           row_number() OVER (PARTITION BY lower(name) ORDER BY ord) AS rk
+    FROM names WHERE ord % 9 = 0
+  ) WHERE rk = 1
+)"""
+
+
+# ---------------------------------------------------------------- tokens (from documents), whole texts
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(article_id, pos, word, ner_tag) for every word of every document: words are
+    whitespace-split and stripped of non-letters/digits (empty ones dropped, their
+    position kept); a capitalised word is tagged B-ORG, any other word O (a
+    stand-in for the tagger). The target ticker is the article's."""
+    d = table(spark, sf_dir, "documents")
+    t = d.select(F.col("doc_id").alias("article_id"),
+                 F.posexplode(F.split("text", "[ \\t\\n\\x0B\\f\\r]+")).alias("pos", "raw"))
+    t = t.select("article_id", "pos", F.regexp_replace("raw", "[^\\p{L}\\p{N}]", "").alias("word")).filter(
+        F.col("word") != "")
+    return t.withColumn("ner_tag", F.when(F.col("word").rlike("^\\p{Lu}"), F.lit("B-ORG")).otherwise(F.lit("O")))
+
+
+def article_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    return d.select(F.col("doc_id").alias("article_id"),
+                    F.element_at(F.array(*[F.lit(t) for t in TICKERS]), (F.col("doc_id") % 5 + 1).cast("int"))
+                    .alias("target"))
