@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ensure_checkpoint_dir
 from .normalize import finish
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +22,7 @@ def query(name: str, sql: str | None = None):
 
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_checkpoint_dir(spark)
             return finish(fn(spark, sf_dir))
 
         run.__name__ = fn.__name__
@@ -36,4 +38,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so their queries register."""
-    from . import q_alphas, q_articles, q_features, q_linking  # noqa: F401
+    from . import q_alphas, q_articles, q_features, q_linking, q_pages  # noqa: F401

@@ -209,7 +209,7 @@ SELECT o_orderkey,
                 try_strptime(v6, '%d/%m/%Y'), try_strptime(v6, '%d/%m/%Y, %H:%M:%S'),
                 try_strptime(v6, '%d/%m/%Y %H:%M:%S')) AS f6,
        CAST(try_strptime(substr(s7, 1, 10), '%Y-%m-%d') AS DATE) AS f7,
-       CAST(try_strptime(CASE WHEN regexp_matches(s8, '^\d{1,2}/\d{1,2}/\d{2}$')
+       CAST(try_strptime(CASE WHEN regexp_matches(s8, '^\\d{1,2}/\\d{1,2}/\\d{2}$')
                               THEN CAST(CASE WHEN CAST(split_part(s8, '/', 3) AS INTEGER) < 69
                                              THEN 2000 ELSE 1900 END + CAST(split_part(s8, '/', 3) AS INTEGER) AS VARCHAR)
                                    || '-' || split_part(s8, '/', 2) || '-' || split_part(s8, '/', 1) END,

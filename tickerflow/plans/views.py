@@ -282,3 +282,31 @@ def article_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.col("doc_id").alias("article_id"),
                     F.element_at(F.array(*[F.lit(t) for t in TICKERS]), (F.col("doc_id") % 5 + 1).cast("int"))
                     .alias("target"))
+
+
+# ---------------------------------------------------------------- listing items (from the raw articles)
+SOURCE_NAMES = ["VnExpress", "ThanhNien", "VnEconomy", "Vietnamnet", "CafeF", "Vietstock", "FireAnt"]
+LISTING_PAGES = [1, 2, 3, 4]
+
+
+def listing_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search-listing items: each raw article is an item of source arrival % 7, on page
+    1 + (arrival / 7) % 4 at position = arrival; listing year from its published date."""
+    r = raw_articles(spark, sf_dir)
+    src = F.element_at(F.array(*[F.lit(s) for s in SOURCE_NAMES]), (F.col("arrival") % 7 + 1).cast("int"))
+    return r.select(
+        "ticker", "keyword", src.alias("source"),
+        (F.lit(1) + F.floor(F.col("arrival") / 7) % 4).cast("int").alias("page"),
+        F.col("arrival").alias("pos"), "url", "title", "published_date",
+        F.year(F.try_to_date("published_date", "yyyy-MM-dd")).alias("year"),
+    )
+
+
+SQL_VIEWS["items"] = """
+items AS (
+  SELECT ticker, keyword,
+         CASE arrival % 7 """ + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(SOURCE_NAMES)) + """ END AS source,
+         CAST(1 + floor(arrival / 7) % 4 AS INTEGER) AS page, arrival AS pos, url, title, published_date,
+         year(CAST(try_strptime(published_date, '%Y-%m-%d') AS DATE)) AS year
+  FROM raw_articles
+)"""
