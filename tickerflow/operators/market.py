@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import global_row_number
+
 # Candidate column spellings of the vendor frames, first present wins.
 DATE_CANDIDATES = ["time", "Date", "date", "TradingDate", "tradingDate"]
 OPEN_CANDIDATES = ["open", "Open", "OpenPrice"]
@@ -76,11 +78,11 @@ def top_symbols(symbols: DataFrame, n: int, exclude: str, order_col: str = "ord"
 def split_halves(symbols: DataFrame, order_col: str = "ord", part_col: str = "part") -> DataFrame:
     """Label the first floor(n/2) symbols part 1, the rest part 2.
 
-    Uses a global row number over a single ordering; the symbol list is small
-    (one row per listed company), so the single-partition window is bounded.
+    The row number comes from a range-partitioned numbering (no single-partition
+    window); n is a plain global count joined back as a one-row table.
     """
-    w = Window.orderBy(order_col)
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    return symbols.withColumn(
-        part_col, F.when(F.row_number().over(w) <= F.floor(n / 2), F.lit(1)).otherwise(F.lit(2))
-    )
+    numbered = global_row_number(symbols, [order_col], out="_rn")
+    n = symbols.agg(F.count(F.lit(1)).alias("_n"))
+    return numbered.crossJoin(F.broadcast(n)).withColumn(
+        part_col, F.when(F.col("_rn") <= F.floor(F.col("_n") / 2), F.lit(1)).otherwise(F.lit(2))
+    ).drop("_rn", "_n")
