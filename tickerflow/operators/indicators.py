@@ -8,6 +8,8 @@ full, a Spark frame does not.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,8 +72,9 @@ def add_rsi(bars: DataFrame, key: str = "ticker", window: int = RSI_WINDOW,
     ``a * sum_{j<=i} (1-a)^(i-j) x_j``. Inside a block of ``block`` rows this is a
     running sum of ``x_j / (1-a)^(j-start)`` scaled back by ``(1-a)^(i-start)``;
     all terms are non-negative, so there is no cancellation. The value carried
-    into a block is a fold over the previous blocks' end values; (1-a)^(8*block)
-    underflows to exactly 0.0, so 8 previous blocks give the exact double.
+    into a block is a fold over the previous blocks' end values; only as many
+    previous blocks are folded as it takes for (1-a)^(blocks*block) to underflow to
+    exactly 0.0 (3 for the default block), so the result is the exact double.
     Result: 100 when the average loss is 0, NULL for the first ``window-1`` rows.
     """
     a = 1.0 / window
@@ -99,7 +102,8 @@ def add_rsi(bars: DataFrame, key: str = "ticker", window: int = RSI_WINDOW,
         .select(key, "_blk", F.col("_e._lu").alias("_eu"), F.col("_e._ld").alias("_ed"))
     )
     decay = keep ** block
-    wk = Window.partitionBy(key).orderBy("_blk").rowsBetween(-8, -1)
+    lookback = int(math.ceil(760.0 / (block * -math.log(keep)))) + 1
+    wk = Window.partitionBy(key).orderBy("_blk").rowsBetween(-lookback, -1)
 
     def carried(c):
         prev = F.collect_list(F.col(c)).over(wk)
