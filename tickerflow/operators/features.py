@@ -31,28 +31,26 @@ def merge_sentiment(bars: DataFrame, daily: DataFrame, key: str = "ticker") -> D
     Sentiment on a day without a bar is dropped, not carried to the next bar.
     A ticker with no sentiment at all keeps NULL sentiment columns and
     ``sentiment_available = false`` (in the reference its file simply lacks them).
+
+    Plan shape: bars and daily are both aggregates keyed by (ticker, date), so the
+    full outer join needs no extra exchange; one exchange on ticker then feeds a
+    window that flags tickers having any sentiment row, the filter back to bar
+    rows, and every later window of the feature stage.
     """
     w = series_window(key)
-    have = daily.select(key).distinct().withColumn("sentiment_available", F.lit(True))
-    joined = (
-        bars.join(daily.withColumnRenamed("target_score", "_score"), [key, "date"], "left")
-        .join(have, key, "left")
-        .withColumn("sentiment_available", F.coalesce("sentiment_available", F.lit(False)))
-    )
+    d = daily.select(key, "date", F.col("target_score").alias("_score"), F.lit(True).alias("_has"))
+    joined = bars.withColumn("_bar", F.lit(True)).join(d, [key, "date"], "full_outer")
+    avail = F.coalesce(F.max(F.col("_has")).over(Window.partitionBy(key)), F.lit(False))
+    joined = joined.withColumn("sentiment_available", avail).filter(F.col("_bar").isNotNull())
     filled = F.coalesce(
         F.last("_score", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0.0)
     )
-    avail = F.col("sentiment_available")
-    out = (
-        joined.withColumn("sentiment_score", F.when(avail, filled))
-        .withColumn("sentiment_diff", F.col("sentiment_score") - F.lag("sentiment_score").over(w))
-        .withColumn(
-            "sentiment_ma5",
-            F.when(avail, F.coalesce(rolling(F.avg, "sentiment_score", SENTIMENT_MA, w), F.lit(0.0))),
-        )
-        .drop("_score")
-    )
-    return out
+    av = F.col("sentiment_available")
+    out = joined.withColumn("sentiment_score", F.when(av, filled)).withColumns({
+        "sentiment_diff": F.col("sentiment_score") - F.lag("sentiment_score").over(w),
+        "sentiment_ma5": F.when(av, F.coalesce(rolling(F.avg, "sentiment_score", SENTIMENT_MA, w), F.lit(0.0))),
+    })
+    return out.drop("_score", "_has", "_bar")
 
 
 def pick_source(primary: DataFrame, fallback: DataFrame, key: str = "ticker") -> DataFrame:
@@ -80,10 +78,15 @@ def complete_rows(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def build_features(bars: DataFrame, scores: DataFrame | None = None, key: str = "ticker") -> DataFrame:
-    """Bars (+ raw sentiment scores) → full feature table (pipeline stage 10)."""
-    df = add_rsi(add_price_indicators(bars, key), key)
+    """Bars (+ raw sentiment scores) → full feature table (pipeline stage 10).
+
+    The sentiment merge runs first so that every window of the stage shares one
+    exchange on ticker and one sort on (ticker, date)."""
+    df = bars
     if scores is not None:
         df = merge_sentiment(df, daily_sentiment(scores), key)
+    df = add_rsi(add_price_indicators(df, key), key)
+    if scores is not None:
         cols = FEATURE_COLUMNS
     else:
         cols = [c for c in FEATURE_COLUMNS if c not in SENTIMENT_COLUMNS]

@@ -52,15 +52,15 @@ def add_price_indicators(bars: DataFrame, key: str = "ticker") -> DataFrame:
     w = series_window(key)
     sma20 = rolling(F.avg, "close", SMA_LONG, w)
     bb_std = rolling(F.stddev_pop, "close", BOLLINGER_WINDOW, w)
-    return (
-        bars.withColumn("returns", pct_change("close", w))
-        .withColumn("vwap", typical_price())
-        .withColumn("sma_5", rolling(F.avg, "close", SMA_SHORT, w))
-        .withColumn("sma_20", sma20)
-        .withColumn("bb_upper", sma20 + F.lit(BOLLINGER_DEV) * bb_std)
-        .withColumn("bb_lower", sma20 - F.lit(BOLLINGER_DEV) * bb_std)
-        .withColumn("volatility", rolling(F.stddev_samp, "close", VOLATILITY_WINDOW, w))
-    )
+    return bars.withColumns({
+        "returns": pct_change("close", w),
+        "vwap": typical_price(),
+        "sma_5": rolling(F.avg, "close", SMA_SHORT, w),
+        "sma_20": sma20,
+        "bb_upper": sma20 + F.lit(BOLLINGER_DEV) * bb_std,
+        "bb_lower": sma20 - F.lit(BOLLINGER_DEV) * bb_std,
+        "volatility": rolling(F.stddev_samp, "close", VOLATILITY_WINDOW, w),
+    })
 
 
 def add_rsi(bars: DataFrame, key: str = "ticker", window: int = RSI_WINDOW,
@@ -72,7 +72,8 @@ def add_rsi(bars: DataFrame, key: str = "ticker", window: int = RSI_WINDOW,
     ``a * sum_{j<=i} (1-a)^(i-j) x_j``. Inside a block of ``block`` rows this is a
     running sum of ``x_j / (1-a)^(j-start)`` scaled back by ``(1-a)^(i-start)``;
     all terms are non-negative, so there is no cancellation. The value carried
-    into a block is a fold over the previous blocks' end values; only as many
+    into a block is a fold over the previous blocks' end values (a range window,
+    no join, so the series keeps its single partitioning); only as many
     previous blocks are folded as it takes for (1-a)^(blocks*block) to underflow to
     exactly 0.0 (3 for the default block), so the result is the exact double.
     Result: 100 when the average loss is 0, NULL for the first ``window-1`` rows.
@@ -80,41 +81,39 @@ def add_rsi(bars: DataFrame, key: str = "ticker", window: int = RSI_WINDOW,
     a = 1.0 / window
     keep = 1.0 - a
     w = series_window(key)
-    df = (
-        bars.withColumn("_i", F.row_number().over(w) - 1)
-        .withColumn("_d", F.col("close") - F.lag("close").over(w))
-        .withColumn("_up", F.coalesce(F.greatest(F.col("_d"), F.lit(0.0)), F.lit(0.0)))
-        .withColumn("_dn", F.coalesce(F.greatest(-F.col("_d"), F.lit(0.0)), F.lit(0.0)))
-        .withColumn("_blk", F.floor(F.col("_i") / block))
-        .withColumn("_off", F.col("_i") - F.col("_blk") * block)
-    )
+    d = F.col("close") - F.lag("close").over(w)
+    df = bars.withColumns({
+        "_i": F.row_number().over(w) - 1,
+        "_up": F.coalesce(F.greatest(d, F.lit(0.0)), F.lit(0.0)),
+        "_dn": F.coalesce(F.greatest(-d, F.lit(0.0)), F.lit(0.0)),
+    })
+    blk = F.floor(F.col("_i") / block)
+    df = df.withColumns({"_blk": blk, "_off": F.col("_i") - blk * block})
     wb = Window.partitionBy(key, "_blk").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
     grow = F.pow(F.lit(1.0 / keep), F.col("_off"))
     shrink = F.pow(F.lit(keep), F.col("_off"))
-    df = (
-        df.withColumn("_lu", F.lit(a) * shrink * F.sum(F.col("_up") * grow).over(wb))
-        .withColumn("_ld", F.lit(a) * shrink * F.sum(F.col("_dn") * grow).over(wb))
-    )
-    # One row per (series, block): the block's own contribution at its last row.
-    ends = (
-        df.groupBy(key, "_blk")
-        .agg(F.max_by(F.struct("_lu", "_ld"), "_i").alias("_e"))
-        .select(key, "_blk", F.col("_e._lu").alias("_eu"), F.col("_e._ld").alias("_ed"))
-    )
+    df = df.withColumns({
+        "_lu": F.lit(a) * shrink * F.sum(F.col("_up") * grow).over(wb),
+        "_ld": F.lit(a) * shrink * F.sum(F.col("_dn") * grow).over(wb),
+    })
+    # The carry into block k folds the end values of the previous blocks. A range
+    # frame over block numbers collects them without a join: only the end row of
+    # each block contributes (collect_list skips the NULLs), so each list holds at
+    # most ``lookback`` entries; the frame changes only at block boundaries.
     decay = keep ** block
     lookback = int(math.ceil(760.0 / (block * -math.log(keep)))) + 1
-    wk = Window.partitionBy(key).orderBy("_blk").rowsBetween(-lookback, -1)
+    wk = Window.partitionBy(key).orderBy("_blk").rangeBetween(-lookback, -1)
+    is_end = F.col("_off") == block - 1
 
     def carried(c):
-        prev = F.collect_list(F.col(c)).over(wk)
-        return F.aggregate(prev, F.lit(0.0), lambda acc, x: acc * F.lit(decay) + x)
+        prev = F.array_sort(F.collect_list(F.when(is_end, F.struct(F.col("_blk"), F.col(c)))).over(wk))
+        return F.aggregate(prev, F.lit(0.0), lambda acc, x: acc * F.lit(decay) + x[c])
 
-    carries = ends.select(key, "_blk", carried("_eu").alias("_cu"), carried("_ed").alias("_cd"))
-    df = df.join(carries, [key, "_blk"], "left")
+    df = df.withColumns({"_cu": carried("_lu"), "_cd": carried("_ld")})
     up = F.col("_lu") + F.pow(F.lit(keep), F.col("_off") + 1) * F.col("_cu")
     dn = F.col("_ld") + F.pow(F.lit(keep), F.col("_off") + 1) * F.col("_cd")
     value = F.when(dn == 0.0, F.lit(100.0)).otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + up / dn))
     return (
         df.withColumn(out, F.when(F.col("_i") >= window - 1, value))
-        .drop("_i", "_d", "_up", "_dn", "_blk", "_off", "_lu", "_ld", "_cu", "_cd")
+        .drop("_i", "_up", "_dn", "_blk", "_off", "_lu", "_ld", "_cu", "_cd")
     )

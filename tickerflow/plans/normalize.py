@@ -40,7 +40,8 @@ def finish(df: DataFrame) -> DataFrame:
         c = F.col(f"`{f.name}`")
         t = f.dataType
         if isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = sig_round(c.cast("double"))
+            # one parsed expression per column (the same text the DuckDB oracle uses)
+            c = F.expr(sql_sig(f"`{f.name}`"))
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType, T.LongType)):
             c = c.cast("bigint")
         elif isinstance(t, T.DateType):
