@@ -7,6 +7,7 @@ W12, P18-P20, J2-J7, F18, A13. The cascade runs once per **distinct**
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -159,26 +160,132 @@ def _steps(pairs: DataFrame, names: DataFrame, aliases: DataFrame, threshold: in
     return s
 
 
-def fuzzy_best(entities: DataFrame, names: DataFrame, threshold: int = FUZZY_THRESHOLD) -> DataFrame:
+def lcs_pairs(a_strs: list[str], b_strs: list[str], ai: "np.ndarray", bi: "np.ndarray") -> "np.ndarray":
+    """LCS lengths of the pairs (a_strs[ai[p]], b_strs[bi[p]]).
+
+    Bit-parallel over ``b`` (one uint64 per pair, b <= 63 characters): the masks
+    are built once per ``b`` string and the character codes once per ``a`` string,
+    then numpy advances every pair together, one step per character of ``a``.
+    Pairs with a longer ``b`` fall back to Python integers.
+    """
+    out = np.zeros(len(ai), dtype=np.int64)
+    if len(ai) == 0:
+        return out
+    blen = np.array([len(b) for b in b_strs], dtype=np.int64)
+    longb = blen > 63
+    for p in np.nonzero(longb[bi])[0]:
+        out[p] = _lcs(a_strs[ai[p]], b_strs[bi[p]])
+    sel = np.nonzero(~longb[bi])[0]
+    if len(sel) == 0:
+        return out
+    alphabet = sorted({ch for b, lng in zip(b_strs, longb) if not lng for ch in b})
+    pos = {ch: k for k, ch in enumerate(alphabet)}
+    none = len(alphabet)
+    table = np.zeros((len(b_strs), none + 1), dtype=np.uint64)  # last column: no match
+    for r, b in enumerate(b_strs):
+        if not longb[r]:
+            for j, ch in enumerate(b):
+                table[r, pos[ch]] |= np.uint64(1) << np.uint64(j)
+    maxa = max((len(a) for a in a_strs), default=0)
+    codes = np.full((len(a_strs), max(maxa, 1)), none, dtype=np.int64)
+    for r, a in enumerate(a_strs):
+        for k, ch in enumerate(a):
+            codes[r, k] = pos.get(ch, none)
+    pa, pb = ai[sel], bi[sel]
+    lb = blen[pb].astype(np.uint64)
+    full = (np.uint64(1) << lb) - np.uint64(1)
+    v = full.copy()
+    for k in range(maxa):
+        u = v & table[pb, codes[pa, k]]
+        v = ((v + u) | (v - u)) & full  # uint64 wraps; the mask keeps len(b) bits
+    out[sel] = blen[pb] - np.bitwise_count(v).astype(np.int64)
+    return out
+
+
+def fuzzy_best(entities: DataFrame, names: DataFrame, threshold: int = FUZZY_THRESHOLD,
+               max_names: int = 200_000) -> DataFrame:
     """Best name per entity by token-sort ratio (J5), over **all** names, ties to
     the first name in map order; only a best score >= threshold is returned.
 
-    Lossless length blocking: score >= t needs min/max length >= t / (200 - t)
-    on the token-sorted strings, so only those pairs are scored. A best below the
-    threshold would be rejected anyway, so the dropped pairs never matter.
+    Distinct entities are spread over tasks; the name dictionary (bounded by the
+    listing, size-checked; above ``max_names`` it is scored in chunks and the
+    chunk winners are merged exactly) travels with each task. Inside a task the
+    lossless length filter (score >= t needs min/max length >= t / (200 - t) on
+    the token-sorted strings) picks candidate pairs and their LCS is computed
+    for a whole Arrow batch at once. A best below the threshold would be rejected
+    anyway, so pairs dropped by the filter never change the result.
     """
     r = threshold / (200.0 - threshold)
-    e = entities.select("entity").distinct().withColumn("_es", sorted_tokens(F.col("entity")))
-    e = e.withColumn("_el", F.length("_es"))
-    n = names.select("ord", "name", "ticker").withColumn("_ns", sorted_tokens(F.col("name")))
-    n = n.withColumn("_nl", F.length("_ns"))
-    cond = (F.col("_nl") >= F.col("_el") * F.lit(r)) & (F.col("_el") >= F.col("_nl") * F.lit(r))
-    pairs = e.join(F.broadcast(n), cond)
-    scored = pairs.withColumn("score", token_sort_ratio(F.col("entity"), F.col("name")))
-    best = scored.groupBy("entity").agg(
-        F.max_by(F.struct("name", "ticker", "score"), F.struct("score", -F.col("ord"))).alias("b"))
-    return best.select("entity", F.col("b.name").alias("fuzzy_name"), F.col("b.ticker").alias("fuzzy_ticker"),
-                       F.col("b.score").alias("fuzzy_score")).filter(F.col("fuzzy_score") >= threshold)
+    ents = entities.select("entity").distinct()
+    n_total = names.count()
+    chunks = max(1, -(-n_total // max_names))
+    schema = "entity string, fuzzy_name string, fuzzy_ticker string, fuzzy_score double, _ord long"
+    parts = []
+    for c in range(chunks):
+        nc = names if chunks == 1 else names.filter(F.col("ord") % chunks == c)
+        rows = sorted((int(x["ord"]), x["name"], x["ticker"]) for x in nc.select("ord", "name", "ticker").collect())
+
+        def score(batches, rows=rows, pair_cap=2_000_000):
+            nsort = [token_sort(nm) for _, nm, _ in rows]
+            by_len = np.argsort(np.array([len(x) for x in nsort]), kind="stable")
+            nl_sorted = np.array([len(nsort[j]) for j in by_len], dtype=np.float64)
+            ords = np.array([o for o, _, _ in rows], dtype=np.int64)
+            nlen = np.array([len(x) for x in nsort], dtype=np.float64)
+            for pdf in batches:
+                ent = list(pdf["entity"])
+                esort = [token_sort(e or "") for e in ent]
+                elen = np.array([len(x) for x in esort], dtype=np.float64)
+                # candidate names per entity: a contiguous run of the length-sorted names
+                # (bounds relaxed by 1e-9 so rounding can only add candidates)
+                lo = np.searchsorted(nl_sorted, elen * r - 1e-9, "left")
+                hi = np.searchsorted(nl_sorted, elen / r + 1e-9, "right")
+                cnt = np.maximum(hi - lo, 0)
+                start = 0
+                while start < len(ent):
+                    stop, tot = start, 0
+                    while stop < len(ent) and (tot == 0 or tot + cnt[stop] <= pair_cap):
+                        tot += cnt[stop]
+                        stop += 1
+                    res = _best(np.arange(start, stop), lo, cnt, by_len, elen, nlen, ords, esort, nsort)
+                    if res is not None:
+                        ei, ni, sc = res
+                        yield pd.DataFrame({
+                            "entity": [ent[i] for i in ei],
+                            "fuzzy_name": [rows[j][1] for j in ni],
+                            "fuzzy_ticker": [rows[j][2] for j in ni],
+                            "fuzzy_score": sc.astype("float64"),
+                            "_ord": ords[ni],
+                        })
+                    start = stop
+
+        def _best(es, lo, cnt, by_len, elen, nlen, ords, esort, nsort):
+            c = cnt[es]
+            if c.sum() == 0:
+                return None
+            ei = np.repeat(es, c)
+            offs = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
+            ni = by_len[np.repeat(lo[es], c) + offs]
+            lcs = lcs_pairs(nsort, esort, ni, ei)
+            tot = elen[ei] + nlen[ni]
+            sc = np.where(tot == 0, 100.0, 200.0 * lcs / np.where(tot == 0, 1.0, tot))
+            order = np.lexsort((ords[ni], -sc, ei))  # per entity: highest score, then lowest ord
+            first = np.ones(len(order), dtype=bool)
+            first[1:] = ei[order][1:] != ei[order][:-1]
+            best = order[first]
+            keep = best[sc[best] >= threshold]
+            if len(keep) == 0:
+                return None
+            return ei[keep], ni[keep], sc[keep]
+
+        parts.append(ents.mapInPandas(score, schema))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    if chunks > 1:
+        out = out.groupBy("entity").agg(
+            F.max_by(F.struct("fuzzy_name", "fuzzy_ticker", "fuzzy_score", "_ord"),
+                     F.struct("fuzzy_score", -F.col("_ord"))).alias("b")).select("entity", "b.*")
+    return out.drop("_ord")
 
 
 def resolve(pairs: DataFrame, names: DataFrame, aliases: DataFrame, threshold: int = FUZZY_THRESHOLD) -> DataFrame:
@@ -186,75 +293,83 @@ def resolve(pairs: DataFrame, names: DataFrame, aliases: DataFrame, threshold: i
 
     Order: alias (ends), exact (ends), substring (ends), then fuzzy **and** direct
     ticker both apply. The target itself and unlisted aliases are dropped (P18, P19).
+    One pass: every pair carries the outcome of each step as a column, and a
+    single explode turns the applicable ones into rows (no union of re-derived
+    branches).
     """
     s = _steps(pairs, names, aliases, threshold)
+    rest_cond = ~F.col("_ah") & F.col("exact_ticker").isNull() & F.col("substring_ticker").isNull()
+    fz = fuzzy_best(s.filter(rest_cond), names, threshold).select("entity", "fuzzy_ticker")
     tickers = names.select(F.col("ticker").alias("_dt")).distinct()
-    rest = s.filter(~F.col("_ah") & F.col("exact_ticker").isNull() & F.col("substring_ticker").isNull())
-    fz = fuzzy_best(rest, names, threshold)
-    rest = rest.join(fz, "entity", "left").join(F.broadcast(tickers), F.upper("entity") == F.col("_dt"), "left")
-    stepped = [
-        s.filter(F.col("_ah")).select("entity", "target", F.lit("alias").alias("step"),
-                                      F.col("alias_ticker").alias("ticker")),
-        s.filter(~F.col("_ah") & F.col("exact_ticker").isNotNull()).select(
-            "entity", "target", F.lit("exact").alias("step"), F.col("exact_ticker").alias("ticker")),
-        s.filter(~F.col("_ah") & F.col("exact_ticker").isNull() & F.col("substring_ticker").isNotNull()).select(
-            "entity", "target", F.lit("substring").alias("step"), F.col("substring_ticker").alias("ticker")),
-        rest.filter(F.col("fuzzy_ticker").isNotNull()).select(
-            "entity", "target", F.lit("fuzzy").alias("step"), F.col("fuzzy_ticker").alias("ticker")),
-        rest.filter(F.col("_dt").isNotNull()).select(
-            "entity", "target", F.lit("direct").alias("step"), F.col("_dt").alias("ticker")),
-    ]
-    out = stepped[0]
-    for x in stepped[1:]:
-        out = out.unionByName(x)
+    s = s.join(fz, "entity", "left").join(F.broadcast(tickers), F.upper("entity") == F.col("_dt"), "left")
+    opts = F.array(
+        F.struct(F.lit("alias").alias("step"), F.when(F.col("_ah"), F.col("alias_ticker")).alias("ticker")),
+        F.struct(F.lit("exact").alias("step"), F.when(~F.col("_ah"), F.col("exact_ticker")).alias("ticker")),
+        F.struct(F.lit("substring").alias("step"),
+                 F.when(~F.col("_ah") & F.col("exact_ticker").isNull(), F.col("substring_ticker")).alias("ticker")),
+        F.struct(F.lit("fuzzy").alias("step"), F.when(rest_cond, F.col("fuzzy_ticker")).alias("ticker")),
+        F.struct(F.lit("direct").alias("step"), F.when(rest_cond, F.col("_dt")).alias("ticker")),
+    )
+    out = s.select("entity", "target", F.inline(opts))
     return out.filter(F.col("ticker").isNotNull() & (F.col("ticker") != F.col("target")))
 
 
 def related_per_article(mentions: DataFrame, resolved: DataFrame, doc: str = "article_id") -> DataFrame:
-    """Join resolved pairs back to mentions; set of tickers per article."""
-    j = mentions.select(doc, "entity", "target").join(resolved.select("entity", "target", "ticker"),
-                                                      ["entity", "target"])
+    """Join resolved pairs back to mentions; set of tickers per article.
+
+    The mentions side grows with the texts: it is pinned to a shuffle (merge)
+    join so a low size estimate can never make it the broadcast side."""
+    j = mentions.select(doc, "entity", "target").hint("merge").join(
+        resolved.select("entity", "target", "ticker"), ["entity", "target"])
     return j.groupBy(doc, "target").agg(F.array_sort(F.collect_set("ticker")).alias("related"))
 
 
 # ---------------------------------------------------------------- J7 dictionary scan
 
-def _is_word(ch: str) -> bool:
-    """Python ``\\w`` on str: alphanumeric (str.isalnum) or underscore."""
-    return ch.isalnum() or ch == "_"
-
-
 def scan_partition(keys: list[tuple[str, str]], short: int = SHORT_KEY):
-    """Build the per-task matcher: Aho-Corasick over all keys, one pass per text.
+    """Build the per-task matcher for the dictionary scan.
 
-    Keys of ``short`` characters or more match as plain substrings; shorter keys
-    need a regex word boundary on both sides (Python ``\\b`` semantics).
+    Keys of ``short`` characters or more match as plain substrings: one
+    Aho-Corasick pass per text. Shorter keys need a regex word boundary on both
+    sides (Python ``\\b``): a key made only of word characters matches exactly when
+    it equals one of the text's maximal word runs, so those are a set lookup over
+    ``\\w+`` runs; any other short key is searched with the boundary regex itself.
     """
+    import re
+
     import ahocorasick
 
-    auto = ahocorasick.Automaton()
     always = {t for k, t in keys if k == ""}  # '' is contained in every text
+    long_keys = [(k, t) for k, t in keys if len(k) >= short]
+    word_keys: dict[str, set[str]] = {}
+    other_keys = []
     for k, t in keys:
-        if k:
-            auto.add_word(k, (k, t))
-    if len(auto) == 0:
-        return lambda text: set(always)
-    auto.make_automaton()
-
-    def boundary(text: str, i: int) -> bool:
-        left = i > 0 and _is_word(text[i - 1])
-        right = i < len(text) and _is_word(text[i])
-        return left != right
+        if 0 < len(k) < short:
+            if re.fullmatch(r"\w+", k):
+                word_keys.setdefault(k, set()).add(t)
+            else:
+                other_keys.append((re.compile(r"\b" + re.escape(k) + r"\b"), t))
+    auto = None
+    if long_keys:
+        auto = ahocorasick.Automaton()
+        for k, t in long_keys:
+            auto.add_word(k, t)
+        auto.make_automaton()
+    word_re = re.compile(r"\w+")
 
     def run(text: str) -> set[str]:
         found = set(always)
-        for end, (k, t) in auto.iter(text):
-            if len(k) >= short:
+        if auto is not None:
+            for _, t in auto.iter(text):
+                found.add(t)
+        if word_keys:
+            for w in set(word_re.findall(text)):
+                hit = word_keys.get(w)
+                if hit:
+                    found |= hit
+        for rx, t in other_keys:
+            if t not in found and rx.search(text):
                 found.add(t)
-            else:
-                start = end - len(k) + 1
-                if boundary(text, start) and boundary(text, end + 1):
-                    found.add(t)
         return found
 
     return run
@@ -264,6 +379,10 @@ def dictionary_scan(articles: DataFrame, keys: DataFrame, doc: str = "arrival",
                     max_keys: int = 2_000_000) -> DataFrame:
     """``scan_tickers_from_text`` (J7): every key contained in lower(title + '. ' + content).
 
+    The key table is a few thousand names, the texts are the big side: each task
+    builds one Aho-Corasick automaton and makes a single pass per text, instead of
+    testing every key against every text.
+
     The key table (S5 output) is a dictionary of company names: bounded by the
     listing, not by the articles. Its size is checked; up to ``max_keys`` it is
     shipped to every task whole, above that it is split in chunks of
@@ -273,8 +392,9 @@ def dictionary_scan(articles: DataFrame, keys: DataFrame, doc: str = "arrival",
     from ..functions.text import article_text
 
     n = keys.count()
+    # lower-casing happens in the task with Python's str.lower (the reference's rule)
     text = articles.select(F.col(doc).alias("doc"), F.col(target).alias("target"),
-                           F.lower(article_text(F.col("title"), F.col("content"))).alias("text"))
+                           article_text(F.col("title"), F.col("content")).alias("text"))
     schema = "doc long, target string, ticker string"
     chunks = max(1, -(-n // max_keys))
     parts = []
@@ -287,7 +407,7 @@ def dictionary_scan(articles: DataFrame, keys: DataFrame, doc: str = "arrival",
             for pdf in batches:
                 out_doc, out_t, out_k = [], [], []
                 for d, t, x in zip(pdf["doc"], pdf["target"], pdf["text"]):
-                    for tk in run(x or ""):
+                    for tk in run((x or "").lower()):
                         if tk is not None and tk != t:
                             out_doc.append(d)
                             out_t.append(t)

@@ -14,13 +14,16 @@ from .views import bars, raw_articles, table, with_views
 # ---------------------------------------------------------------- SQL twins of the text functions
 
 
+_SQL_WS = " || ".join(f"chr({c})" for c in T.WS_CODES)
+
+
 def sql_strip(e: str) -> str:
-    return f"regexp_replace({e}, '{T.STRIP_RE}', '', 'g')"
+    return f"trim({e}, {_SQL_WS})"
 
 
 def sql_collapse(e: str) -> str:
-    inner = f"regexp_replace(regexp_replace({e}, '{T.CONTROL_RUN_RE}', ' ', 'g'), '{T.WS_RUN_RE}', ' ', 'g')"
-    return sql_strip(inner)
+    spaced = f"translate({e}, {_SQL_WS}, '{' ' * len(T.WS_CODES)}')"
+    return f"trim(regexp_replace({spaced}, ' {{2,}}', ' ', 'g'), ' ')"
 
 
 def sql_url_date(e: str) -> str:

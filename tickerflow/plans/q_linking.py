@@ -14,7 +14,7 @@ from ..operators import tickermap as M
 from .catalog import query
 from .normalize import sql_finish
 from .q_articles import CLEAN_CTE, sql_strip
-from .views import (article_targets, derived_aliases, listing, name_dictionary, raw_articles, tokens,
+from .views import (derived_aliases, target_of, listing, name_dictionary, raw_articles, tokens,
                     with_views)
 
 
@@ -243,8 +243,9 @@ def _resolved_steps(spark, sf_dir):
     names = name_dictionary(spark, sf_dir)
     aliases = derived_aliases(names)
     fixed = L.alias_frame(spark).join(aliases.select("alias"), "alias", "left_anti")
-    mentions = L.spans(tokens(spark, sf_dir)).filter(L.valid_entity(F.col("entity"))).join(
-        article_targets(spark, sf_dir), "article_id")
+    # the target is a function of the article id: no join against the documents
+    mentions = L.spans(tokens(spark, sf_dir)).filter(L.valid_entity(F.col("entity"))).withColumn(
+        "target", target_of("article_id"))
     return L.resolve(mentions, names, aliases.unionByName(fixed)), mentions
 
 

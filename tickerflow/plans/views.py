@@ -277,11 +277,14 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.withColumn("ner_tag", F.when(F.col("word").rlike("^\\p{Lu}"), F.lit("B-ORG")).otherwise(F.lit("O")))
 
 
+def target_of(article_id: str = "article_id"):
+    """The article's own ticker (same rule as the articles view: doc_id % 5)."""
+    return F.element_at(F.array(*[F.lit(t) for t in TICKERS]), (F.col(article_id) % 5 + 1).cast("int"))
+
+
 def article_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    return d.select(F.col("doc_id").alias("article_id"),
-                    F.element_at(F.array(*[F.lit(t) for t in TICKERS]), (F.col("doc_id") % 5 + 1).cast("int"))
-                    .alias("target"))
+    return d.select(F.col("doc_id").alias("article_id"), target_of("doc_id").alias("target"))
 
 
 # ---------------------------------------------------------------- listing items (from the raw articles)
