@@ -23,3 +23,13 @@ def global_row_number(df: DataFrame, order_cols: list[str], out: str = "rn",
     ).alias("_off"))
     return r.join(F.broadcast(offs), "_pid").withColumn(out, F.col("_off") + F.col("_lrn")).drop(
         "_pid", "_lrn", "_off")
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Hash-repartition ``df`` only when it has fewer partitions than the cluster's
+    default parallelism (e.g. one large single-row-group file feeding CPU-heavy
+    text work). A scan of many files is left alone: no shuffle is added there."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key) if key else df.repartition(want)

@@ -381,12 +381,11 @@ def dictionary_scan(articles: DataFrame, keys: DataFrame, doc: str = "arrival",
 
     The key table is a few thousand names, the texts are the big side: each task
     builds one Aho-Corasick automaton and makes a single pass per text, instead of
-    testing every key against every text.
-
-    The key table (S5 output) is a dictionary of company names: bounded by the
-    listing, not by the articles. Its size is checked; up to ``max_keys`` it is
-    shipped to every task whole, above that it is split in chunks of
-    ``max_keys`` and each chunk scans the articles (union of exact passes).
+    testing every key against every text. The key table (S5 output) is bounded by
+    the listing, not by the articles; its size is checked: up to ``max_keys`` it
+    ships whole with each task and the scan is one narrow map stage (one output
+    row per article, no shuffle, no join). Above that the keys are split in
+    chunks, each chunk scans the articles, and the per-article sets are merged.
     Output (doc, target, related ARRAY sorted, without the target) — A13.
     """
     from ..functions.text import article_text
@@ -395,7 +394,7 @@ def dictionary_scan(articles: DataFrame, keys: DataFrame, doc: str = "arrival",
     # lower-casing happens in the task with Python's str.lower (the reference's rule)
     text = articles.select(F.col(doc).alias("doc"), F.col(target).alias("target"),
                            article_text(F.col("title"), F.col("content")).alias("text"))
-    schema = "doc long, target string, ticker string"
+    schema = "doc long, target string, related array<string>"
     chunks = max(1, -(-n // max_keys))
     parts = []
     for c in range(chunks):
@@ -405,23 +404,18 @@ def dictionary_scan(articles: DataFrame, keys: DataFrame, doc: str = "arrival",
         def scan(batches, rows=rows):
             run = scan_partition(rows)
             for pdf in batches:
-                out_doc, out_t, out_k = [], [], []
-                for d, t, x in zip(pdf["doc"], pdf["target"], pdf["text"]):
-                    for tk in run((x or "").lower()):
-                        if tk is not None and tk != t:
-                            out_doc.append(d)
-                            out_t.append(t)
-                            out_k.append(tk)
-                yield pd.DataFrame({"doc": pd.Series(out_doc, dtype="int64"),
-                                    "target": pd.Series(out_t, dtype="object"),
-                                    "ticker": pd.Series(out_k, dtype="object")})
+                related = []
+                for t, x in zip(pdf["target"], pdf["text"]):
+                    related.append(sorted(tk for tk in run((x or "").lower()) if tk is not None and tk != t))
+                yield pd.DataFrame({"doc": pdf["doc"], "target": pdf["target"], "related": related})
 
         parts.append(text.mapInPandas(scan, schema))
-    hits = parts[0]
-    for p in parts[1:]:
-        hits = hits.unionByName(p)
-    found = hits.groupBy("doc", "target").agg(F.array_sort(F.collect_set("ticker")).alias("related"))
-    base = text.select("doc", "target")
-    return base.join(found, ["doc", "target"], "left").select(
-        F.col("doc").alias(doc), F.col("target").alias(target),
-        F.coalesce("related", F.array().cast("array<string>")).alias("related"))
+    if chunks == 1:
+        found = parts[0]
+    else:
+        allp = parts[0]
+        for p in parts[1:]:
+            allp = allp.unionByName(p)
+        found = allp.groupBy("doc", "target").agg(
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("related")))).alias("related"))
+    return found.select(F.col("doc").alias(doc), F.col("target").alias(target), "related")

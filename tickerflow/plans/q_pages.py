@@ -9,7 +9,8 @@ from ..operators import extraction as X
 from .catalog import query
 from .normalize import sql_finish
 from .q_articles import sql_strip
-from .views import (LISTING_PAGES, SOURCE_NAMES, TICKERS, listing_items, name_dictionary, table, with_views)
+from .views import (LISTING_PAGES, SOURCE_NAMES, TICKERS, listing_items, name_dictionary, pages_table, table,
+                    with_views)
 
 _LINK_RE = '<a href="([^"]*)"'
 
@@ -25,7 +26,7 @@ FROM (
 )""", {"page_id": "i", "pos": "i", "href": "s", "url": "s"}))
 def page_links(spark, sf_dir):
     """Links of every stored page in page order, made absolute."""
-    return X.page_links(table(spark, sf_dir, "pages"))
+    return X.page_links(pages_table(spark, sf_dir))
 
 
 def _sql_unescape(e: str) -> str:
@@ -57,7 +58,7 @@ SELECT page_id, ticker, title, content, published_date FROM (
 def page_extract(spark, sf_dir):
     """Title + paragraph text of each stored page (X7-X9), normalised like add_item
     (X13), tagged with a ticker (X14), title required (X11)."""
-    pages = table(spark, sf_dir, "pages")
+    pages = pages_table(spark, sf_dir)
     ex = X.extract_article(pages).withColumn("date", F.lit(None).cast("date")).withColumn(
         "ticker", F.element_at(F.array(*[F.lit(t) for t in TICKERS]), (F.col("page_id") % 5 + 1).cast("int")))
     ex = X.normalize_item(ex).withColumn("source", F.lit("VnExpress"))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.common import spread
+
 # The five order priorities stand for the five tickers of the reference.
 PRIORITY_TICKER = {
     "1-URGENT": "BID",
@@ -25,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def pages_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored pages, spread over the cluster when the file is under-split."""
+    return spread(table(spark, sf_dir, "pages"), "page_id")
+
+
 def _ticker_of(col: str):
     expr = None
     for prio, tick in PRIORITY_TICKER.items():
@@ -105,7 +112,7 @@ def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     second code that F4 must ignore. Shared (host, slug) pairs are the repeats A1
     removes. published_date is missing for doc_id % 11 = 0.
     """
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"), "doc_id")
     g = F.col("doc_id") % 100
     code = F.concat(
         (F.lit(2015) + g % 13).cast("string"),
@@ -269,7 +276,7 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     whitespace-split and stripped of non-letters/digits (empty ones dropped, their
     position kept); a capitalised word is tagged B-ORG, any other word O (a
     stand-in for the tagger). The target ticker is the article's."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"), "doc_id")
     t = d.select(F.col("doc_id").alias("article_id"),
                  F.posexplode(F.split("text", "[ \\t\\n\\x0B\\f\\r]+")).alias("pos", "raw"))
     t = t.select("article_id", "pos", F.regexp_replace("raw", "[^\\p{L}\\p{N}]", "").alias("word")).filter(
