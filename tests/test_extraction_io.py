@@ -47,7 +47,7 @@ def test_stop_at_old_random_vs_fold(spark):
 
 def test_frontier_page_ranges(spark):
     kw = spark.createDataFrame([("BID", "BIDV")], "ticker string, keyword string")
-    f = X.crawl_frontier(kw, X.profiles(spark), 8)
+    f = X.crawl_frontier(kw, 8)
     pages = {r["source"]: sorted(r["p"]) for r in f.groupBy("source").agg(F.collect_list("page").alias("p")).collect()}
     assert pages["VnExpress"] == [1, 2, 3, 4, 5] and pages["CafeF"] == list(range(1, 9))
     assert pages["FireAnt"] == list(range(0, 8))

@@ -33,3 +33,14 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want, key) if key else df.repartition(want)
+
+
+# Row bound under which a derived dimension table (a name dictionary, an alias
+# list) is shipped whole to every task.
+BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` only behind a size check: one count, and above ``max_rows``
+    the table is returned as is so Spark plans a shuffle join instead."""
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -40,17 +40,22 @@ def profiles(spark: SparkSession) -> DataFrame:
 
 # ---------------------------------------------------------------- X1, X2
 
-def crawl_frontier(keywords: DataFrame, profs: DataFrame, max_pages: int) -> DataFrame:
+def crawl_frontier(keywords: DataFrame, max_pages: int, sources=None) -> DataFrame:
     """Every (ticker, keyword, source, page) task with its search URL.
 
     ``keywords``: (ticker, keyword). Pages: first..first+n-1 with n = max_pages,
-    capped at 5 pages where the source caps it. The source table has seven rows,
-    so the product is a broadcast nested loop, not a shuffle.
+    capped at 5 pages where the source caps it. The seven source profiles are a
+    literal array exploded per keyword row: a narrow map, no join.
     """
-    n = F.when(F.col("cap5"), F.least(F.lit(max_pages), F.lit(PAGE_CAP))).otherwise(F.lit(max_pages))
-    tasks = keywords.crossJoin(F.broadcast(profs))
-    tasks = tasks.filter(n >= 1).withColumn(
-        "page", F.explode(F.sequence(F.col("first_page"), F.col("first_page") + n - 1)))
+    src = sources or SOURCES
+    profs = F.array(*[
+        F.struct(F.lit(name).alias("source"), F.lit(tpl).alias("template"), F.lit(first).alias("first_page"),
+                 F.lit(min(max_pages, PAGE_CAP) if cap5 else max_pages).alias("n"))
+        for name, tpl, first, cap5, _host, _ld, _tr in src
+    ])
+    tasks = keywords.select("ticker", "keyword", F.explode(profs).alias("p")).select("ticker", "keyword", "p.*")
+    tasks = tasks.filter(F.col("n") >= 1).withColumn(
+        "page", F.explode(F.sequence(F.col("first_page"), F.col("first_page") + F.col("n") - 1)))
     url = F.replace(F.replace(F.col("template"), F.lit("{keyword}"), F.col("keyword")),
                     F.lit("{page}"), F.col("page").cast("string"))
     return tasks.select("ticker", "keyword", "source", "page", url.alias("url"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import WS_RUN_RE, ustrip
+from .common import BROADCAST_ROWS, bounded_broadcast
 
 # NER tags accepted into a span.
 ACCEPTED_TAGS = ["B-ORG", "I-ORG", "B-LOC", "I-LOC", "B-PER", "I-PER"]
@@ -139,23 +140,37 @@ def sorted_tokens(c: Column) -> Column:
 
 # ---------------------------------------------------------------- cascade J2-J6
 
-def _steps(pairs: DataFrame, names: DataFrame, aliases: DataFrame, threshold: int):
-    """Per distinct (entity, target): each step's outcome. ``names`` = (ord, name, ticker)."""
+def _steps(pairs: DataFrame, names: DataFrame, aliases: DataFrame, threshold: int,
+           max_names: int = BROADCAST_ROWS):
+    """Per distinct (entity, target): each step's outcome. ``names`` = (ord, name, ticker).
+
+    The alias list and the name dictionary are bounded by the listing; they are
+    broadcast behind a size check (``bounded_broadcast``). The containment step
+    is a non-equi join, so its long-name side is always shipped whole: above
+    ``max_names`` long names it is split in chunks whose winners merge exactly.
+    """
     p = pairs.select("entity", "target").distinct().withColumn("_el", F.lower(ustrip(F.col("entity"))))
     # J2 alias: a hit ends the cascade whatever the ticker is.
     al = aliases.select(F.col("alias").alias("_el"), F.col("ticker").alias("alias_ticker"), F.lit(True).alias("_ah"))
-    s = p.join(F.broadcast(al), "_el", "left").withColumn("_ah", F.coalesce("_ah", F.lit(False)))
+    s = p.join(bounded_broadcast(al), "_el", "left").withColumn("_ah", F.coalesce("_ah", F.lit(False)))
     # J3 exact lower-case name: first in map order; a hit ends the cascade.
     ex = names.groupBy(F.lower("name").alias("_el")).agg(F.min_by("ticker", "ord").alias("exact_ticker"))
-    s = s.join(F.broadcast(ex), "_el", "left")
+    s = s.join(bounded_broadcast(ex), "_el", "left")
     # J4 containment between long names: first non-target name in map order.
     long_names = names.filter(F.length("name") >= SUBSTRING_MIN_NAME).select(
         F.lower("name").alias("_nl"), F.col("ticker").alias("_nt"), F.col("ord").alias("_no"))
-    cand = s.filter(F.length("entity") >= SUBSTRING_MIN_ENTITY).select("entity", "target", "_el").join(
-        F.broadcast(long_names),
-        (F.col("_nt") != F.col("target")) & (F.contains(F.col("_el"), F.col("_nl")) | F.contains(F.col("_nl"), F.col("_el"))),
-    )
-    sub = cand.groupBy("entity", "target").agg(F.min_by("_nt", "_no").alias("substring_ticker"))
+    n_long = long_names.count()
+    chunks = max(1, -(-n_long // max_names))
+    longs = s.filter(F.length("entity") >= SUBSTRING_MIN_ENTITY).select("entity", "target", "_el")
+    cands = None
+    for c in range(chunks):
+        part = long_names if chunks == 1 else long_names.filter(F.col("_no") % chunks == c)
+        cand = longs.join(
+            F.broadcast(part),
+            (F.col("_nt") != F.col("target")) & (F.contains(F.col("_el"), F.col("_nl")) | F.contains(F.col("_nl"), F.col("_el"))),
+        ).select("entity", "target", "_nt", "_no")
+        cands = cand if cands is None else cands.unionByName(cand)
+    sub = cands.groupBy("entity", "target").agg(F.min_by("_nt", "_no").alias("substring_ticker"))
     s = s.join(sub, ["entity", "target"], "left")
     return s
 
@@ -301,7 +316,7 @@ def resolve(pairs: DataFrame, names: DataFrame, aliases: DataFrame, threshold: i
     rest_cond = ~F.col("_ah") & F.col("exact_ticker").isNull() & F.col("substring_ticker").isNull()
     fz = fuzzy_best(s.filter(rest_cond), names, threshold).select("entity", "fuzzy_ticker")
     tickers = names.select(F.col("ticker").alias("_dt")).distinct()
-    s = s.join(fz, "entity", "left").join(F.broadcast(tickers), F.upper("entity") == F.col("_dt"), "left")
+    s = s.join(fz, "entity", "left").join(bounded_broadcast(tickers), F.upper("entity") == F.col("_dt"), "left")
     opts = F.array(
         F.struct(F.lit("alias").alias("step"), F.when(F.col("_ah"), F.col("alias_ticker")).alias("ticker")),
         F.struct(F.lit("exact").alias("step"), F.when(~F.col("_ah"), F.col("exact_ticker")).alias("ticker")),

@@ -87,7 +87,7 @@ CROSS JOIN LATERAL (SELECT unnest(range(p.first_page,
 """), {"ticker": "s", "keyword": "s", "source": "s", "page": "i", "url": "s"}))
 def crawl_frontier(spark, sf_dir):
     """Every (ticker, keyword, source, page) search task with its URL; MAX_PAGES = 8."""
-    return X.crawl_frontier(_keywords(spark, sf_dir), X.profiles(spark), _MAX_PAGES)
+    return X.crawl_frontier(_keywords(spark, sf_dir), _MAX_PAGES)
 
 
 # ---------------------------------------------------------------- X5 / X10 / X11 (no listing date)
