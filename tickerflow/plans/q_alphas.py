@@ -232,3 +232,17 @@ SELECT ticker, date, close, prev_close * (1 + pred) AS pred_close FROM ({_EVAL_C
 def price_path(spark, sf_dir):
     df = ls.chronological_split(_target_frame(spark, sf_dir)).withColumn("pred", F.col("returns"))
     return ls.price_path(ls.evaluation_rows(df)).select("ticker", "date", "close", "pred_close")
+
+
+@query("inverse_target", _learn_sql("""
+SELECT sc.ticker, sc.date, sc.split, spl.target AS target, sc.target * st.target__std + st.target__mean AS restored
+FROM sc JOIN spl ON sc.ticker = spl.ticker AND sc.date = spl.date JOIN st ON sc.ticker = st.ticker""",
+                                    {"ticker": "s", "date": "dt", "split": "s", "target": "d", "restored": "d"}))
+def inverse_target(spark, sf_dir):
+    """Scaled target mapped back with the train statistics (F21 inverse for column 0)."""
+    scaled, stats, df = _scaled(spark, sf_dir)
+    back = ls.inverse_first(scaled.select("ticker", "date", "split", F.col("target").alias("scaled")),
+                            stats.withColumnRenamed("target__mean", "scaled__mean")
+                                 .withColumnRenamed("target__std", "scaled__std"), "scaled", out="restored")
+    orig = df.select("ticker", "date", F.col("target").alias("target"))
+    return back.join(orig, ["ticker", "date"]).select("ticker", "date", "split", "target", "restored")

@@ -234,3 +234,13 @@ def full_features_sql(body: str, kinds: dict, extra: str = "") -> str:
 @query("full_features", full_features_sql("SELECT * FROM full_features", {"ticker": "s", "date": "dt", **FEATURE_KINDS}))
 def full_features(spark, sf_dir):
     return feat.build_features(bars(spark, sf_dir), sentiment_scores(spark, sf_dir)).drop("sentiment_available")
+
+
+# ---------------------------------------------------------------- P9 equality filters
+@query("equality_filters", sql_finish(with_views(["scores"], """
+SELECT ticker, count(*) AS n_zero FROM scores WHERE target_score = 0 GROUP BY ticker"""),
+    {"ticker": "s", "n_zero": "i"}))
+def equality_filters(spark, sf_dir):
+    """Rows whose score equals 0 (P9), counted per ticker."""
+    s = sentiment_scores(spark, sf_dir)
+    return s.filter(F.col("target_score") == 0).groupBy("ticker").agg(F.count(F.lit(1)).alias("n_zero"))
