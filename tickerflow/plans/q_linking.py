@@ -184,7 +184,7 @@ valid AS (
 
 
 def _spans(spark, sf_dir):
-    return L.spans(tokens(spark, sf_dir))
+    return L.spans(tokens(spark, sf_dir, accepted_only=True))
 
 
 @query("entity_spans", sql_finish(with_views([], "SELECT article_id, start, entity FROM spans", extra=_TOK_CTE),
@@ -244,7 +244,7 @@ def _resolved_steps(spark, sf_dir):
     aliases = derived_aliases(names)
     fixed = L.alias_frame(spark).join(aliases.select("alias"), "alias", "left_anti")
     # the target is a function of the article id: no join against the documents
-    mentions = L.spans(tokens(spark, sf_dir)).filter(L.valid_entity(F.col("entity"))).withColumn(
+    mentions = L.spans(tokens(spark, sf_dir, accepted_only=True)).filter(L.valid_entity(F.col("entity"))).withColumn(
         "target", target_of("article_id"))
     return L.resolve(mentions, names, aliases.unionByName(fixed)), mentions
 

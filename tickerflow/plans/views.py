@@ -271,14 +271,21 @@ aliases AS (
 
 
 # ---------------------------------------------------------------- tokens (from documents), whole texts
-def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tokens(spark: SparkSession, sf_dir: str, accepted_only: bool = False) -> DataFrame:
     """(article_id, pos, word, ner_tag) for every word of every document: words are
     whitespace-split and stripped of non-letters/digits (empty ones dropped, their
     position kept); a capitalised word is tagged B-ORG, any other word O (a
-    stand-in for the tagger). The target ticker is the article's."""
+    stand-in for the tagger). The target ticker is the article's.
+
+    ``accepted_only``: keep only B-ORG tokens. A word is capitalised exactly when
+    the first letter/digit of the raw token is upper case, so the raw tokens are
+    filtered with one anchored regex before any cleaning.
+    """
     d = spread(table(spark, sf_dir, "documents"), "doc_id")
     t = d.select(F.col("doc_id").alias("article_id"),
                  F.posexplode(F.split("text", "[ \\t\\n\\x0B\\f\\r]+")).alias("pos", "raw"))
+    if accepted_only:
+        t = t.filter(F.col("raw").rlike("^[^\\p{L}\\p{N}]*\\p{Lu}"))
     t = t.select("article_id", "pos", F.regexp_replace("raw", "[^\\p{L}\\p{N}]", "").alias("word")).filter(
         F.col("word") != "")
     return t.withColumn("ner_tag", F.when(F.col("word").rlike("^\\p{Lu}"), F.lit("B-ORG")).otherwise(F.lit("O")))
