@@ -22,34 +22,28 @@ from .features import SENTIMENT_COLUMNS
 c = F.col
 
 
-def _flag(cond: Column) -> Column:
-    """numpy bool × number: the boolean becomes 0.0 / 1.0 (Spark refuses bool × double)."""
-    return cond.cast("double")
-
-
-def _where(cond: Column, a, b) -> Column:
-    """np.where(cond, a, b); a NULL condition takes ``b`` like a NaN comparison."""
-    a = a if isinstance(a, Column) else F.lit(float(a))
-    b = b if isinstance(b, Column) else F.lit(float(b))
-    return F.when(cond, a).otherwise(b)
-
-
 @dataclass(frozen=True)
 class Formula:
+    """One alpha: the shipped numpy text, its input columns, and the same formula as
+    a Spark SQL expression (numpy bool × number → CAST(.. AS DOUBLE), np.where →
+    CASE, np.sign → sign, a zero divisor → NULL)."""
     text: str
     inputs: tuple[str, ...]
-    build: Callable[[], Column]
+    sql: str
 
+    def build(self) -> Column:
+        return F.expr(self.sql)
 
-def _f(text, inputs, build):
-    return Formula(text, tuple(inputs), build)
 
+def _f(text, inputs, sql):
+    return Formula(text, tuple(inputs), sql)
 
-# The shipped formula set per ticker (alpha_1..alpha_5), text and inputs.
+
+# The shipped formula set per ticker (alpha_1..alpha_5): text, inputs, SQL form.
 _A1 = _f("df['sentiment_ma5'] * (df['close'] - df['sma_20'])", ["sentiment_ma5", "close", "sma_20"],
-         lambda: c("sentiment_ma5") * (c("close") - c("sma_20")))
+         "sentiment_ma5 * (close - sma_20)")
 _A2 = _f("(df['sentiment_score'] > 0) * df['volume']", ["sentiment_score", "volume"],
-         lambda: _flag(c("sentiment_score") > 0) * c("volume"))
+         "CAST(sentiment_score > 0 AS DOUBLE) * volume")
 
 FORMULAS: dict[str, dict[str, Formula]] = {
     "BID": {
@@ -57,60 +51,60 @@ FORMULAS: dict[str, dict[str, Formula]] = {
         "alpha_2": _A2,
         "alpha_3": _f("np.where(df['rsi'] < 30, df['sentiment_score'], 0) * df['vwap']",
                       ["rsi", "sentiment_score", "vwap"],
-                      lambda: _where(c("rsi") < 30, c("sentiment_score"), 0) * c("vwap")),
+                      "(CASE WHEN rsi < 30 THEN sentiment_score ELSE 0.0 END) * vwap"),
         "alpha_4": _f("df['sentiment_diff'] * (df['close'] - df['bb_lower']) / df['volatility']",
                       ["sentiment_diff", "close", "bb_lower", "volatility"],
-                      lambda: F.try_divide(c("sentiment_diff") * (c("close") - c("bb_lower")), c("volatility"))),
+                      "sentiment_diff * (close - bb_lower) / NULLIF(volatility, 0)"),
         "alpha_5": _f("np.where(df['close'] > df['sma_5'], df['sentiment_ma5'], 0) * df['returns']",
                       ["close", "sma_5", "sentiment_ma5", "returns"],
-                      lambda: _where(c("close") > c("sma_5"), c("sentiment_ma5"), 0) * c("returns")),
+                      "(CASE WHEN close > sma_5 THEN sentiment_ma5 ELSE 0.0 END) * returns"),
     },
     "FPT": {
         "alpha_1": _A1,
         "alpha_2": _A2,
         "alpha_3": _f("np.where(df['rsi'] < 30, df['sentiment_score'] * df['close'], 0)",
                       ["rsi", "sentiment_score", "close"],
-                      lambda: _where(c("rsi") < 30, c("sentiment_score") * c("close"), 0)),
+                      "CASE WHEN rsi < 30 THEN sentiment_score * close ELSE 0.0 END"),
         "alpha_4": _f("df['sentiment_diff'] * (df['bb_upper'] - df['close'])",
                       ["sentiment_diff", "bb_upper", "close"],
-                      lambda: c("sentiment_diff") * (c("bb_upper") - c("close"))),
+                      "sentiment_diff * (bb_upper - close)"),
         "alpha_5": _f("df['vwap'] * (df['close'] - df['bb_lower']) * np.sign(df['sentiment_score'])",
                       ["vwap", "close", "bb_lower", "sentiment_score"],
-                      lambda: c("vwap") * (c("close") - c("bb_lower")) * F.signum(c("sentiment_score"))),
+                      "vwap * (close - bb_lower) * sign(sentiment_score)"),
     },
     "VIC": {
         "alpha_1": _A1,
         "alpha_2": _A2,
         "alpha_3": _f("df['sentiment_diff'] * (df['close'] - df['bb_lower'])",
                       ["sentiment_diff", "close", "bb_lower"],
-                      lambda: c("sentiment_diff") * (c("close") - c("bb_lower"))),
+                      "sentiment_diff * (close - bb_lower)"),
         "alpha_4": _f("df['rsi'] * (df['vwap'] - df['close'])", ["rsi", "vwap", "close"],
-                      lambda: c("rsi") * (c("vwap") - c("close"))),
+                      "rsi * (vwap - close)"),
         "alpha_5": _f("np.where((df['sentiment_score'] > 0) & (df['close'] > df['sma_5']), df['volatility'], 0)",
                       ["sentiment_score", "close", "sma_5", "volatility"],
-                      lambda: _where((c("sentiment_score") > 0) & (c("close") > c("sma_5")), c("volatility"), 0)),
+                      "CASE WHEN sentiment_score > 0 AND close > sma_5 THEN volatility ELSE 0.0 END"),
     },
     "VJC": {
         "alpha_1": _A1,
         "alpha_2": _A2,
         "alpha_3": _f("np.where(df['rsi'] < 30, df['sentiment_score'] * df['vwap'], 0)",
                       ["rsi", "sentiment_score", "vwap"],
-                      lambda: _where(c("rsi") < 30, c("sentiment_score") * c("vwap"), 0)),
+                      "CASE WHEN rsi < 30 THEN sentiment_score * vwap ELSE 0.0 END"),
         "alpha_4": _f("df['volatility'] * (df['bb_upper'] - df['close'])", ["volatility", "bb_upper", "close"],
-                      lambda: c("volatility") * (c("bb_upper") - c("close"))),
+                      "volatility * (bb_upper - close)"),
         "alpha_5": _f("df['sentiment_diff'] * (df['close'] - df['open'])", ["sentiment_diff", "close", "open"],
-                      lambda: c("sentiment_diff") * (c("close") - c("open"))),
+                      "sentiment_diff * (close - open)"),
     },
     "VNM": {
         "alpha_1": _A1,
         "alpha_2": _A2,
         "alpha_3": _f("df['sentiment_diff'] * (df['vwap'] - df['close'])", ["sentiment_diff", "vwap", "close"],
-                      lambda: c("sentiment_diff") * (c("vwap") - c("close"))),
+                      "sentiment_diff * (vwap - close)"),
         "alpha_4": _f("np.where(df['close'] > df['bb_upper'], 0, df['sentiment_score'] * df['volatility'])",
                       ["close", "bb_upper", "sentiment_score", "volatility"],
-                      lambda: _where(c("close") > c("bb_upper"), 0, c("sentiment_score") * c("volatility"))),
+                      "CASE WHEN close > bb_upper THEN 0.0 ELSE sentiment_score * volatility END"),
         "alpha_5": _f("df['sentiment_ma5'] * (df['rsi'] - 50)", ["sentiment_ma5", "rsi"],
-                      lambda: c("sentiment_ma5") * (c("rsi") - 50)),
+                      "sentiment_ma5 * (rsi - 50)"),
     },
 }
 
@@ -123,26 +117,25 @@ def formula_table(spark):
     return spark.createDataFrame(rows, "ticker string, formulas map<string,string>")
 
 
-def _alpha_column(df: DataFrame, name: str, registry: dict[str, dict[str, Formula]], key: str) -> Column:
-    has_avail = "sentiment_available" in df.columns
-    expr = None
+def alpha_sql(df_columns: list[str], name: str, registry: dict[str, dict[str, Formula]], key: str = "ticker",
+              availability: bool = False) -> str:
+    """One ``CASE key WHEN ...`` SQL expression for an alpha over all tickers.
+
+    A formula whose inputs are not all columns gives 0.0; with ``availability``,
+    a formula reading sentiment gives 0.0 for tickers without sentiment."""
+    cases = []
     for ticker, fs in registry.items():
         f = fs.get(name)
         if f is None:
             continue
-        if any(i not in df.columns for i in f.inputs):
-            value = F.lit(0.0)
+        if any(i not in df_columns for i in f.inputs):
+            value = "0.0"
         else:
-            value = f.build().cast("double")
-            if has_avail and any(i in SENTIMENT_COLUMNS for i in f.inputs):
-                value = F.when(c("sentiment_available"), value).otherwise(F.lit(0.0))
-        cond = c(key) == ticker
-        expr = F.when(cond, value) if expr is None else expr.when(cond, value)
-    return expr if expr is not None else F.lit(0.0)
-
-
-def finite_or_null(col: Column) -> Column:
-    return F.when(F.isnan(col) | (F.abs(col) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(col)
+            value = f"CAST({f.sql} AS DOUBLE)"
+            if availability and any(i in SENTIMENT_COLUMNS for i in f.inputs):
+                value = f"CASE WHEN sentiment_available THEN {value} ELSE 0.0 END"
+        cases.append(f"WHEN {key} = '{ticker}' THEN {value}")
+    return f"CASE {' '.join(cases)} END" if cases else "0.0"
 
 
 def drop_non_finite(df: DataFrame, key: str = "ticker") -> DataFrame:
@@ -155,13 +148,14 @@ def drop_non_finite(df: DataFrame, key: str = "ticker") -> DataFrame:
     Sentiment columns only count for tickers that have sentiment.
     """
     cols = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
-    cond = F.lit(True)
+    avail = "sentiment_available" in df.columns
+    parts = []
     for x in cols:
-        ok = F.coalesce(c(x) * F.lit(0.0) == F.lit(0.0), F.lit(False))
-        if x in SENTIMENT_COLUMNS and "sentiment_available" in df.columns:
-            ok = ok | ~c("sentiment_available")
-        cond = cond & ok
-    return df.filter(cond)
+        ok = f"coalesce(`{x}` * 0.0 = 0.0, false)"
+        if x in SENTIMENT_COLUMNS and avail:
+            ok = f"({ok} OR NOT sentiment_available)"
+        parts.append(ok)
+    return df.filter(F.expr(" AND ".join(parts))) if parts else df
 
 
 def apply_alphas(features: DataFrame, registry: dict[str, dict[str, Formula]] | None = None,
@@ -169,5 +163,7 @@ def apply_alphas(features: DataFrame, registry: dict[str, dict[str, Formula]] |
     """Add alpha_1..alpha_5 for every ticker in ``registry``; others are left out."""
     registry = registry or FORMULAS
     df = features.filter(c(key).isin(list(registry)))
-    df = df.select("*", *[_alpha_column(df, n, registry, key).alias(n) for n in ALPHA_NAMES])
+    avail = "sentiment_available" in df.columns
+    exprs = [f"{alpha_sql(df.columns, n, registry, key, avail)} AS {n}" for n in ALPHA_NAMES]
+    df = df.selectExpr("*", *exprs)
     return drop_non_finite(df, key)

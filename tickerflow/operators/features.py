@@ -68,13 +68,14 @@ def priority_union(frames: list[DataFrame], key: str = "ticker") -> DataFrame:
 def complete_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     """Drop rows with a NULL in any of ``columns`` (P11); sentiment columns only count
     for tickers that have sentiment."""
-    cond = F.lit(True)
+    avail = "sentiment_available" in df.columns
+    parts = []
     for c in columns:
-        ok = F.col(c).isNotNull()
-        if c in SENTIMENT_COLUMNS and "sentiment_available" in df.columns:
-            ok = ok | ~F.col("sentiment_available")
-        cond = cond & ok
-    return df.filter(cond)
+        ok = f"`{c}` IS NOT NULL"
+        if c in SENTIMENT_COLUMNS and avail:
+            ok = f"({ok} OR NOT sentiment_available)"
+        parts.append(ok)
+    return df.filter(F.expr(" AND ".join(parts))) if parts else df
 
 
 def build_features(bars: DataFrame, scores: DataFrame | None = None, key: str = "ticker") -> DataFrame:

@@ -59,6 +59,27 @@ def standardize(df: DataFrame, stats: DataFrame, columns: list[str], key: str =
     return joined.select(*keep, *scaled).select(*df.columns)
 
 
+def scale_in_place(df: DataFrame, columns: list[str], key: str = "ticker", keep_stats: bool = False) -> DataFrame:
+    """Fit on the train rows and standardise every row, without a join (A16 + F21).
+
+    Train-only mean and population std are window aggregates over the ticker
+    partition (``avg(when(train, x))``), so they reuse the exchange and sort the
+    series already has; std 0 becomes 1. ``keep_stats`` also returns
+    ``<col>__mean`` / ``<col>__std`` for the inverse transform.
+    """
+    w = f"OVER (PARTITION BY `{key}`)"
+    stats = []
+    for x in columns:
+        v = f"CASE WHEN split = 'train' THEN `{x}` END"
+        stats.append(f"avg({v}) {w} AS `{x}__mean`")
+        stats.append(f"CASE WHEN stddev_pop({v}) {w} = 0 THEN 1.0D ELSE stddev_pop({v}) {w} END AS `{x}__std`")
+    out = df.selectExpr("*", *stats)
+    keep = [f"`{x}`" for x in df.columns if x not in columns]
+    scaled = [f"(`{x}` - `{x}__mean`) / `{x}__std` AS `{x}`" for x in columns]
+    extra = [f"`{x}__{k}`" for x in columns for k in ("mean", "std")] if keep_stats else []
+    return out.selectExpr(*keep, *scaled, *extra).select(*df.columns, *[e.strip("`") for e in extra])
+
+
 def inverse_first(scaled: DataFrame, stats: DataFrame, column: str = "target", key: str = "ticker",
                   out: str = "pred") -> DataFrame:
     """Undo the scaling for one column (the inverse transform of column 0)."""

@@ -12,33 +12,11 @@ from .normalize import sql_finish
 from .q_features import _FULL_CTE, _roll, W
 from .views import TICKERS, bars, sentiment_scores, with_views
 
-# The same formulas written as SQL, for the DuckDB oracle only.
-_SQL_A1 = "sentiment_ma5 * (close - sma_20)"
-_SQL_A2 = "CAST(sentiment_score > 0 AS DOUBLE) * volume"
-SQL_FORMULAS = {
-    "BID": [_SQL_A1, _SQL_A2,
-            "(CASE WHEN rsi < 30 THEN sentiment_score ELSE 0.0 END) * vwap",
-            "sentiment_diff * (close - bb_lower) / NULLIF(volatility, 0)",
-            "(CASE WHEN close > sma_5 THEN sentiment_ma5 ELSE 0.0 END) * returns"],
-    "FPT": [_SQL_A1, _SQL_A2,
-            "CASE WHEN rsi < 30 THEN sentiment_score * close ELSE 0.0 END",
-            "sentiment_diff * (bb_upper - close)",
-            "vwap * (close - bb_lower) * sign(sentiment_score)"],
-    "VIC": [_SQL_A1, _SQL_A2,
-            "sentiment_diff * (close - bb_lower)",
-            "rsi * (vwap - close)",
-            "CASE WHEN sentiment_score > 0 AND close > sma_5 THEN volatility ELSE 0.0 END"],
-    "VJC": [_SQL_A1, _SQL_A2,
-            "CASE WHEN rsi < 30 THEN sentiment_score * vwap ELSE 0.0 END",
-            "volatility * (bb_upper - close)",
-            "sentiment_diff * (close - open)"],
-    "VNM": [_SQL_A1, _SQL_A2,
-            "sentiment_diff * (vwap - close)",
-            "CASE WHEN close > bb_upper THEN 0.0 ELSE sentiment_score * volatility END",
-            "sentiment_ma5 * (rsi - 50)"],
-}
+# The oracle evaluates the registry's SQL form of each formula in DuckDB.
+SQL_FORMULAS = {t: [al.FORMULAS[t][a].sql for a in al.ALPHA_NAMES] for t in TICKERS}
 # Formulas that do not read a sentiment column (the rest are 0.0 without sentiment).
-_NO_SENTIMENT = {("VIC", 3), ("VJC", 3)}
+_NO_SENTIMENT = {(t, k) for t in TICKERS for k, a in enumerate(al.ALPHA_NAMES)
+                 if not set(al.FORMULAS[t][a].inputs) & set(feat.SENTIMENT_COLUMNS)}
 
 _FEATURES = feat.FEATURE_COLUMNS
 _BASE_KINDS = {"ticker": "s", "date": "dt", **{c: "d" for c in _FEATURES}}
@@ -171,17 +149,15 @@ def next_return_target(spark, sf_dir):
     return _target_frame(spark, sf_dir).select("ticker", "date", "target", "volume", "close")
 
 
-def _scaled(spark, sf_dir):
+def _scaled(spark, sf_dir, keep_stats=False):
     df = ls.chronological_split(_target_frame(spark, sf_dir))
-    stats = ls.fit_scaler(df, _SCALE_COLS)
-    return ls.standardize(df, stats, _SCALE_COLS), stats, df
+    return ls.scale_in_place(df, _SCALE_COLS, keep_stats=keep_stats)
 
 
 @query("split_and_scale", _learn_sql("SELECT * FROM sc",
                                      {"ticker": "s", "date": "dt", "split": "s", **{c: "d" for c in _SCALE_COLS}}))
 def split_and_scale(spark, sf_dir):
-    scaled, _, _ = _scaled(spark, sf_dir)
-    return scaled.select("ticker", "date", "split", *_SCALE_COLS)
+    return _scaled(spark, sf_dir).select("ticker", "date", "split", *_SCALE_COLS)
 
 
 _WIN_BODY = f"""
@@ -199,8 +175,7 @@ FROM (
 @query("training_windows", _learn_sql(_WIN_BODY, {"ticker": "s", "split": "s", "window": "i", "label_date": "dt",
                                                   "x_rows": "i", "x_first": "d", "x_last": "d", "y": "d"}))
 def training_windows(spark, sf_dir):
-    scaled, _, _ = _scaled(spark, sf_dir)
-    win = ls.training_windows(scaled, _SCALE_COLS)
+    win = ls.training_windows(_scaled(spark, sf_dir), _SCALE_COLS)
     return win.select(
         "ticker", "split", "window", "label_date", F.size("x").alias("x_rows"),
         F.col("x")[0][0].alias("x_first"), F.element_at("x", -1)[0].alias("x_last"), "y",
@@ -240,9 +215,7 @@ FROM sc JOIN spl ON sc.ticker = spl.ticker AND sc.date = spl.date JOIN st ON sc.
                                     {"ticker": "s", "date": "dt", "split": "s", "target": "d", "restored": "d"}))
 def inverse_target(spark, sf_dir):
     """Scaled target mapped back with the train statistics (F21 inverse for column 0)."""
-    scaled, stats, df = _scaled(spark, sf_dir)
-    back = ls.inverse_first(scaled.select("ticker", "date", "split", F.col("target").alias("scaled")),
-                            stats.withColumnRenamed("target__mean", "scaled__mean")
-                                 .withColumnRenamed("target__std", "scaled__std"), "scaled", out="restored")
-    orig = df.select("ticker", "date", F.col("target").alias("target"))
-    return back.join(orig, ["ticker", "date"]).select("ticker", "date", "split", "target", "restored")
+    df = ls.chronological_split(_target_frame(spark, sf_dir))
+    scaled = ls.scale_in_place(df.withColumn("_orig", F.col("target")), _SCALE_COLS, keep_stats=True)
+    restored = F.col("target") * F.col("target__std") + F.col("target__mean")
+    return scaled.select("ticker", "date", "split", F.col("_orig").alias("target"), restored.alias("restored"))
