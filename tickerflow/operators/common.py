@@ -44,3 +44,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     """``broadcast(df)`` only behind a size check: one count, and above ``max_rows``
     the table is returned as is so Spark plans a shuffle join instead."""
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def cpu_parallel(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Repartition a small-in-bytes but CPU-heavy input (distinct entities before
+    fuzzy scoring, long entities before a containment join) to the cluster's
+    parallelism. AQE would coalesce such a shuffle by size into one or two tasks;
+    an explicit partition count is left as is."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n, key) if key else df.repartition(n)

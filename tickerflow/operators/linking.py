@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import WS_RUN_RE, ustrip
-from .common import BROADCAST_ROWS, bounded_broadcast
+from .common import BROADCAST_ROWS, bounded_broadcast, cpu_parallel
 
 # NER tags accepted into a span.
 ACCEPTED_TAGS = ["B-ORG", "I-ORG", "B-LOC", "I-LOC", "B-PER", "I-PER"]
@@ -161,7 +161,8 @@ def _steps(pairs: DataFrame, names: DataFrame, aliases: DataFrame, threshold: in
         F.lower("name").alias("_nl"), F.col("ticker").alias("_nt"), F.col("ord").alias("_no"))
     n_long = long_names.count()
     chunks = max(1, -(-n_long // max_names))
-    longs = s.filter(F.length("entity") >= SUBSTRING_MIN_ENTITY).select("entity", "target", "_el")
+    longs = cpu_parallel(s.filter(F.length("entity") >= SUBSTRING_MIN_ENTITY).select("entity", "target", "_el"),
+                         "entity")
     cands = None
     for c in range(chunks):
         part = long_names if chunks == 1 else long_names.filter(F.col("_no") % chunks == c)
@@ -231,7 +232,7 @@ def fuzzy_best(entities: DataFrame, names: DataFrame, threshold: int = FUZZY_THR
     anyway, so pairs dropped by the filter never change the result.
     """
     r = threshold / (200.0 - threshold)
-    ents = entities.select("entity").distinct()
+    ents = cpu_parallel(entities.select("entity").distinct(), "entity")
     n_total = names.count()
     chunks = max(1, -(-n_total // max_names))
     schema = "entity string, fuzzy_name string, fuzzy_ticker string, fuzzy_score double, _ord long"

@@ -88,7 +88,7 @@ def ticker_map_first(spark, sf_dir):
 def _scan_names(spark, sf_dir):
     """The name dictionary plus two-letter short keys (every 7th name's first two
     letters) so the word-boundary rule of short keys is exercised."""
-    names = name_dictionary(spark, sf_dir)
+    names = _dictionary(spark, sf_dir)
     short = names.filter(F.col("ord") % 7 == 0).select(
         (F.col("ord") + 1).alias("ord"), F.lower(F.substring("name", 1, 2)).alias("name"), "ticker")
     return names.unionByName(short)
@@ -239,13 +239,21 @@ s_direct AS (
 )"""
 
 
+def _dictionary(spark, sf_dir):
+    """The name dictionary, written once to the shared checkpoint folder: it feeds
+    many joins of one plan, and re-deriving it per reference would repeat its scan."""
+    return name_dictionary(spark, sf_dir).checkpoint()
+
+
 def _resolved_steps(spark, sf_dir):
-    names = name_dictionary(spark, sf_dir)
+    names = _dictionary(spark, sf_dir)
     aliases = derived_aliases(names)
     fixed = L.alias_frame(spark).join(aliases.select("alias"), "alias", "left_anti")
-    # the target is a function of the article id: no join against the documents
+    # the target is a function of the article id: no join against the documents.
+    # Mentions feed the distinct pairs and the final join back: written once to the
+    # shared checkpoint folder instead of tokenising every document per branch.
     mentions = L.spans(tokens(spark, sf_dir, accepted_only=True)).filter(L.valid_entity(F.col("entity"))).withColumn(
-        "target", target_of("article_id"))
+        "target", target_of("article_id")).checkpoint()
     return L.resolve(mentions, names, aliases.unionByName(fixed)), mentions
 
 
