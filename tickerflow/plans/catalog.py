@@ -23,6 +23,8 @@ def query(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_checkpoint_dir(spark)
+            # day boundaries and timestamp text are defined in UTC (as in get_spark)
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return finish(fn(spark, sf_dir))
 
         run.__name__ = fn.__name__
