@@ -7,7 +7,7 @@ per source) that is broadcast; everything else is ordinary DataFrame work.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import ustrip
@@ -138,33 +138,32 @@ def stop_at_old(items: DataFrame, pages: list[int], start_year: int = START_YEAR
     listing year < ``start_year``, the rest of the page is dropped (and not marked).
 
     Pages are processed in order, one set-at-a-time step per page (the page count
-    is the crawl parameter, not the data size). Per page: one left join against
-    the URLs seen so far, then windows: the first occurrence of each fresh URL
-    (row_number over group + url), the stop position = the first fresh, first,
-    old item (min over the group); kept = fresh firsts before the stop, marked =
-    everything up to and including the stop. The item table is checkpointed once
-    and the seen set every ``checkpoint_every`` pages, which bounds the lineage.
+    is the crawl parameter, not the data size). Per page, with aggregates and
+    joins only, so a crawl run or URL holding a third of all rows is pre-combined
+    map-side and split by AQE's skew join instead of landing in one task:
+    fresh = not seen on earlier pages (left anti join); first occurrence of a
+    fresh URL = ``min(pos)`` per (run, url) joined back (semi join); the stop
+    position = ``min(pos)`` over fresh, first, old items per run, one row per run
+    (AQE broadcasts it when its measured size is small); kept = fresh firsts
+    before the stop; marked = every item up to and including the stop.
+    The item table is checkpointed once and the seen set every
+    ``checkpoint_every`` pages, which bounds the lineage.
     """
     k = list(keys)
     base = items.select(*k, "page", "pos", "url", "year").checkpoint()
-    wg = Window.partitionBy(*k)
-    wu = Window.partitionBy(*k, "url").orderBy("pos")
     seen = None
     kept = []
     for i, p in enumerate(pages):
         page = base.filter(F.col("page") == p)
-        if seen is None:
-            page = page.withColumn("_seen", F.lit(False))
-        else:
-            page = page.join(seen.withColumn("_seen", F.lit(True)), k + ["url"], "left").withColumn(
-                "_seen", F.coalesce("_seen", F.lit(False)))
-        first = ~F.col("_seen") & (F.row_number().over(wu) == 1)
-        page = page.withColumn("_first", first)
-        stop = F.min(F.when(F.col("_first") & (F.col("year") < start_year), F.col("pos"))).over(wg)
-        page = page.withColumn("_stop", stop)
-        before_stop = F.col("_stop").isNull() | (F.col("pos") < F.col("_stop"))
-        kept.append(page.filter(F.col("_first") & before_stop).select(*k, "page", "pos", "url", "year"))
-        marks = page.filter(F.col("_stop").isNull() | (F.col("pos") <= F.col("_stop"))).select(*k, "url")
+        fresh = page if seen is None else page.join(seen, k + ["url"], "left_anti")
+        firsts = fresh.join(fresh.groupBy(*k, "url").agg(F.min("pos").alias("pos")), k + ["url", "pos"], "left_semi")
+        # one row per run: AQE broadcasts it at run time when its measured size is small
+        stop = firsts.filter(F.col("year") < start_year).groupBy(*k).agg(F.min("pos").alias("_stop"))
+        kept.append(firsts.join(stop, k, "left")
+                    .filter(F.col("_stop").isNull() | (F.col("pos") < F.col("_stop")))
+                    .select(*k, "page", "pos", "url", "year"))
+        marks = page.join(stop, k, "left").filter(
+            F.col("_stop").isNull() | (F.col("pos") <= F.col("_stop"))).select(*k, "url")
         seen = marks.distinct() if seen is None else seen.unionByName(marks).distinct()
         if checkpoint_every and (i + 1) % checkpoint_every == 0 and i + 1 < len(pages):
             seen = seen.checkpoint()

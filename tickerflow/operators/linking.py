@@ -80,7 +80,7 @@ def spans(tokens: DataFrame, doc: str = "article_id", accepted: list[str] | None
 
 
 def spans_any_tag(tokens: DataFrame, doc: str = "article_id") -> DataFrame:
-    """Notebook variant: every tag other than ``O`` is accepted."""
+    """Variant that accepts every tag other than ``O``."""
     t = tokens.withColumn("ner_tag", F.when(F.col("ner_tag") != "O", F.lit("B-ORG")).otherwise(F.lit("O")))
     return spans(t, doc, ["B-ORG"])
 
