@@ -94,7 +94,6 @@ def _scan_names(spark, sf_dir):
     return names.unionByName(short)
 
 
-_WORD = "[^\\p{L}\\p{N}_]"
 SCAN_CTE = CLEAN_CTE + f""",
 scan_names AS (
   SELECT ord, name, ticker FROM names
@@ -105,11 +104,19 @@ keys AS (SELECT {sql_strip('lower(name)')} AS key, arg_max(ticker, ord) AS ticke
 txt AS (
   SELECT arrival, ticker AS target, lower(coalesce(title, '') || '. ' || coalesce(content, '')) AS text FROM clean
 ),
+words AS (
+  SELECT DISTINCT arrival, target, unnest(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]+')) AS w FROM txt
+),
 hits AS (
   SELECT txt.arrival, txt.target, keys.ticker
-  FROM txt JOIN keys ON (CASE WHEN length(keys.key) >= 3 THEN contains(txt.text, keys.key)
-                              ELSE regexp_matches(txt.text, '(^|{_WORD})' || keys.key || '({_WORD}|$)') END)
+  FROM txt JOIN keys ON length(keys.key) >= 3 AND contains(txt.text, keys.key)
   WHERE keys.ticker <> txt.target
+  UNION ALL
+  -- a short key made of word characters matches on word boundaries exactly when
+  -- it equals one of the text's maximal word-character runs
+  SELECT words.arrival, words.target, keys.ticker
+  FROM words JOIN keys ON length(keys.key) < 3 AND keys.key = words.w
+  WHERE keys.ticker <> words.target
 ),
 scan AS (
   SELECT txt.arrival, txt.target AS ticker,
