@@ -165,15 +165,17 @@ FROM (
   UNION ALL
   SELECT ticker, date, target_score FROM fb WHERE ticker NOT IN (SELECT ticker FROM p)
 ) u GROUP BY 1, 2""", extra="""
-p AS (SELECT * FROM scores_all WHERE l_returnflag = 'R' AND ticker IN ('BID', 'VIC', 'VNM')),
-fb AS (SELECT * FROM scores_all WHERE l_returnflag = 'A')"""),
+p AS (SELECT ticker, date, CASE WHEN l_returnflag = 'R' THEN target_score END AS target_score
+      FROM scores_all WHERE ticker IN ('BID', 'VIC', 'VNM')),
+fb AS (SELECT ticker, date, CASE WHEN l_returnflag = 'A' THEN target_score END AS target_score FROM scores_all)"""),
     {"ticker": "s", "date": "dt", "target_score": _D, "n": "i"},
 )
 
 
 @query("sentiment_source_fallback", _FALLBACK_SQL)
 def sentiment_source_fallback(spark, sf_dir):
-    """The preferred file (returnflag R, three tickers) beats the plain file (flag A)."""
+    """The preferred file (scores of returned items, three tickers) beats the
+    plain file (scores of accepted items, all tickers)."""
     primary = sentiment_scores(spark, sf_dir, "R").filter(F.col("ticker").isin("BID", "VIC", "VNM"))
     fallback = sentiment_scores(spark, sf_dir, "A")
     chosen = feat.pick_source(primary, fallback)

@@ -60,15 +60,21 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentiment_scores(spark: SparkSession, sf_dir: str, returnflag: str | None = "R") -> DataFrame:
-    """Raw per-article scores: lineitem ⋈ orders, score = discount*20 - 1 on the ship day."""
+    """Raw per-article scores: lineitem ⋈ orders, score = discount*20 - 1 on the ship day.
+
+    Every lineitem row is kept. With ``returnflag`` set, only items with that flag
+    carry a score and the others a NULL score, so some days have no usable
+    sentiment (their daily mean is NULL) and the forward fill is exercised.
+    """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate", "l_discount", "l_returnflag")
+    score = F.col("l_discount") * 20 - 1
     if returnflag is not None:
-        li = li.filter(F.col("l_returnflag") == returnflag)
+        score = F.when(F.col("l_returnflag") == returnflag, score)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         _ticker_of("o_orderpriority").alias("ticker"),
         F.to_date("l_shipdate").alias("date"),
-        (F.col("l_discount") * 20 - 1).alias("target_score"),
+        score.alias("target_score"),
     )
 
 
@@ -90,9 +96,8 @@ scores_all AS (
     "scores": f"""
 scores AS (
   SELECT {_ticker_sql('o_orderpriority')} AS ticker, CAST(l_shipdate AS DATE) AS date,
-         l_discount * 20 - 1 AS target_score
+         CASE WHEN l_returnflag = 'R' THEN l_discount * 20 - 1 END AS target_score
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_returnflag = 'R'
 )""",
 }
 
