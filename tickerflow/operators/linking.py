@@ -133,11 +133,6 @@ def token_sort_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([token_sort_ratio_py(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
 
 
-def sorted_tokens(c: Column) -> Column:
-    """Token-sorted text in Spark: split on whitespace, sort, join with one space."""
-    return F.array_join(F.array_sort(F.filter(F.split(ustrip(c), WS_RUN_RE), lambda x: x != "")), " ")
-
-
 # ---------------------------------------------------------------- cascade J2-J6
 
 def _steps(pairs: DataFrame, names: DataFrame, aliases: DataFrame, threshold: int,

@@ -20,19 +20,6 @@ MAX_DECIMALS = 6
 NUDGE = "1.0000000000001"
 
 
-def sig_round(c: Column, digits: int = SIG) -> Column:
-    y = c * F.lit(float(NUDGE))
-    k = F.least(F.lit(digits - 1) - F.floor(F.log10(F.abs(y))), F.lit(MAX_DECIMALS))
-    up = F.round(y * F.pow(F.lit(10.0), k)) / F.pow(F.lit(10.0), k)
-    down = F.round(y / F.pow(F.lit(10.0), -k)) * F.pow(F.lit(10.0), -k)
-    return (
-        F.when(c.isNull() | F.isnan(c), F.lit(None).cast("double"))
-        .when(c == 0.0, F.lit(0.0))
-        .when(k >= 0, up + F.lit(0.0))
-        .otherwise(down + F.lit(0.0))
-    )
-
-
 def finish(df: DataFrame) -> DataFrame:
     """Apply the presentation rules column by column, by type."""
     cols = []

@@ -301,11 +301,6 @@ def target_of(article_id: str = "article_id"):
     return F.element_at(F.array(*[F.lit(t) for t in TICKERS]), (F.col(article_id) % 5 + 1).cast("int"))
 
 
-def article_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
-    return d.select(F.col("doc_id").alias("article_id"), target_of("doc_id").alias("target"))
-
-
 # ---------------------------------------------------------------- listing items (from the raw articles)
 SOURCE_NAMES = ["VnExpress", "ThanhNien", "VnEconomy", "Vietnamnet", "CafeF", "Vietstock", "FireAnt"]
 LISTING_PAGES = [1, 2, 3, 4]

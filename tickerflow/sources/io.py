@@ -60,11 +60,11 @@ def read_articles_json(spark: SparkSession, folder: str, schema: T.StructType =
     return df.filter(F.col("ticker").isin(tickers)) if tickers else df
 
 
-def read_json_array_files(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFrame:
+def read_json_array_files(spark: SparkSession, pattern: str, schema: T.StructType | str) -> DataFrame:
     """Files holding one JSON array each (``X_clean.json``): multiLine read, ticker
     from the file name (S2)."""
     df = spark.read.schema(schema).option("multiLine", True).json(pattern)
-    return df.withColumn("ticker", ticker_from_path()) if "ticker" not in schema.fieldNames() else df
+    return df.withColumn("ticker", ticker_from_path()) if "ticker" not in df.columns else df
 
 
 # ---------------------------------------------------------------- S3 / S9 / S11 CSV
