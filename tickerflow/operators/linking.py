@@ -226,6 +226,9 @@ def fuzzy_best(entities: DataFrame, names: DataFrame, threshold: int = FUZZY_THR
     for a whole Arrow batch at once. A best below the threshold would be rejected
     anyway, so pairs dropped by the filter never change the result.
     """
+    from ..session import ship_package
+
+    ship_package(entities.sparkSession)
     r = threshold / (200.0 - threshold)
     ents = cpu_parallel(entities.select("entity").distinct(), "entity")
     n_total = names.count()
@@ -400,7 +403,9 @@ def dictionary_scan(articles: DataFrame, keys: DataFrame, doc: str = "arrival",
     Output (doc, target, related ARRAY sorted, without the target) — A13.
     """
     from ..functions.text import article_text
+    from ..session import ship_package
 
+    ship_package(articles.sparkSession)
     n = keys.count()
     # lower-casing happens in the task with Python's str.lower (the reference's rule)
     text = articles.select(F.col(doc).alias("doc"), F.col(target).alias("target"),

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, ship_package
 from .normalize import finish
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,7 @@ def query(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_checkpoint_dir(spark)
+            ship_package(spark)
             # day boundaries and timestamp text are defined in UTC (as in get_spark)
             spark.conf.set("spark.sql.session.timeZone", "UTC")
             return finish(fn(spark, sf_dir))
