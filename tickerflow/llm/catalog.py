@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir, ship_package
-from . import op06_decontaminate
+from . import op05_shards, op06_decontaminate, op07_mixing
 
 _QUERIES = {
+    "op5_shards": op05_shards.query,
     "op6_decontaminate": op06_decontaminate.query,
+    "op7_mixing": op07_mixing.query,
 }
 
 
@@ -29,4 +31,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_mixing": op07_mixing.SQL}
