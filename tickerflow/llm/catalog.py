@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir, ship_package
-from . import op05_shards, op06_decontaminate, op07_mixing
+from . import op05_shards, op06_decontaminate, op07_mixing, op10_quality
 
 _QUERIES = {
     "op5_shards": op05_shards.query,
     "op6_decontaminate": op06_decontaminate.query,
     "op7_mixing": op07_mixing.query,
+    "op10_quality": op10_quality.query,
 }
 
 
@@ -31,4 +32,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": op07_mixing.SQL}
+    return {"op7_mixing": op07_mixing.SQL, "op10_quality": op10_quality.SQL}
