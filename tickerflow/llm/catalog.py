@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir, ship_package
-from . import op05_shards, op06_decontaminate, op07_mixing, op10_quality
+from . import op02_substrings, op03_jaccard, op05_shards, op06_decontaminate, op07_mixing, op10_quality
 
 _QUERIES = {
+    "op2_substrings": op02_substrings.query,
+    "op3_jaccard": op03_jaccard.query,
     "op5_shards": op05_shards.query,
     "op6_decontaminate": op06_decontaminate.query,
     "op7_mixing": op07_mixing.query,
