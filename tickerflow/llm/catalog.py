@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir, ship_package
-from . import op02_substrings, op03_jaccard, op04_toxicity, op05_shards, op06_decontaminate, op07_mixing, op08_main_text, op10_quality
+from . import op01_lm_score, op02_substrings, op03_jaccard, op04_toxicity, op05_shards, op06_decontaminate, op07_mixing, op08_main_text, op09_token_counts, op10_quality
 
 _QUERIES = {
+    "op1_lm_score": op01_lm_score.query,
     "op2_substrings": op02_substrings.query,
     "op3_jaccard": op03_jaccard.query,
     "op4_toxicity": op04_toxicity.query,
@@ -17,6 +18,7 @@ _QUERIES = {
     "op6_decontaminate": op06_decontaminate.query,
     "op7_mixing": op07_mixing.query,
     "op8_main_text": op08_main_text.query,
+    "op9_token_counts": op09_token_counts.query,
     "op10_quality": op10_quality.query,
 }
 
