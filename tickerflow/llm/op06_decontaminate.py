@@ -109,6 +109,7 @@ def _scan(batches, shared, window: int):
             mark = np.zeros(len(b.starts) + 1, np.int64)
             np.add.at(mark, where, 1)
             np.add.at(mark, where + length, -1)
+            covered = np.cumsum(mark)
             order = np.argsort(doc, kind="stable")
             item = item[order]
             cut = np.searchsorted(doc[order], np.arange(b.n_docs + 1))
@@ -119,7 +120,7 @@ def _scan(batches, shared, window: int):
                 earlier = before[0][b.first + d] if before else []
                 if cut[d] < cut[d + 1] or earlier:
                     inside = np.zeros(hi - lo + 2, np.int64)
-                    inside[1:-1] = np.cumsum(mark[lo:hi])
+                    inside[1:-1] = covered[lo:hi]
                     for x in earlier:
                         inside[x["from"] + 1 : x["to"] + 1] += 1
                     inside = inside > 0
