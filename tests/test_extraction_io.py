@@ -74,6 +74,30 @@ def test_extract_article(spark):
     assert r["title"] == "T & U" and r["content"] == "One Two"
 
 
+def test_extract_article_paragraph_ends(spark):
+    html = "<article><h1>T</h1>lead<p>a</p>caption<p class='x'>b</p><figure>fig</figure><pre>no</pre></article>"
+    assert X.extract_article(spark.createDataFrame([(1, html)], "page_id long, html string")).first()["content"] == "a b"
+
+
+def test_frontier_offsets(spark):
+    kw = spark.createDataFrame([("BID", "BIDV")], "ticker string, keyword string")
+    urls = {r["page"]: r["url"] for r in X.crawl_frontier(kw, 3).where("source = 'FireAnt'").collect()}
+    assert urls == {p: f"https://restv2.fireant.vn/posts?symbol=BIDV&type=1&limit=20&offset={20 * p}" for p in range(3)}
+
+
+def test_stop_at_old_takes_all_pages(spark):
+    items = [(0, 0, "u0", 2024), (5, 0, "u5", 2024), (5, 1, "u0", 2024)]
+    assert _run(spark, items, None) == [(0, 0, "u0"), (5, 0, "u5")]
+    assert _run(spark, [(1, 0, None, 2024)], None) == [(1, 0, None)] and _run(spark, [], None) == []
+
+
+def test_api_posts(spark):
+    body = '[{"postID": 1, "title": "", "date": "2024-01-01"}, {"postID": 2, "title": "t", "date": "2024-03-01T00:30:00+07:00", "content": "<p>a</p><p>b &lt; c</p>"}, {"postID": 3, "title": "u", "content": "", "description": "d"}]'
+    df = spark.createDataFrame([("BID", body), ("FPT", "oops"), ("VIC", None)], "ticker string, body string")
+    got = [(r["pos"], r["url"], r["published_date"], r["year"], r["content"]) for r in X.api_posts(df).collect()]
+    assert got == [(1, "https://fireant.vn/bai-viet/2", "2024-03-01", 2024, "a\nb < c"), (2, "https://fireant.vn/bai-viet/3", None, None, "d")]
+
+
 def test_index_frames(spark):
     a = spark.createDataFrame([("2024-01-01", 1.0, 2.0)], "time string, close double, volume double")
     b = spark.createDataFrame([("2024-01-01", 1.0)], "time string, close double")
@@ -94,3 +118,17 @@ def test_split_halves(spark):
     s = spark.createDataFrame([(f"s{i}", i) for i in range(7)], "symbol string, ord long")
     parts = {r["symbol"]: r["part"] for r in MK.split_halves(s).collect()}
     assert [parts[f"s{i}"] for i in range(7)] == [1, 1, 1, 2, 2, 2, 2]
+
+
+def test_split_halves_keeps_all_rows_when_partitions_coalesce(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.parallelismFirst")}
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        n = 2_000_000
+        s = spark.range(n).selectExpr("id as ord", "concat('s', id % 9973, '-', id) as symbol")
+        got = {r["part"]: r["count"] for r in MK.split_halves(s).groupBy("part").count().collect()}
+        assert got == {1: n // 2, 2: n // 2}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

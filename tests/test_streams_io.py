@@ -37,6 +37,21 @@ def test_stream_daily_mentions(spark, tmp_path):
     assert got == want
 
 
+def test_streams_equal_batch_for_files_in_any_order(spark, tmp_path):
+    """Six files, one per trigger, out of time order: still one row per URL and every event counted."""
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(hours=h), f"u{h % 5}", "VIC" if h % 2 else "FPT") for h in range(240)]
+    src = tmp_path / "parts"
+    for k in (3, 0, 5, 1, 4, 2):
+        spark.createDataFrame(rows[k * 40:(k + 1) * 40], "ts timestamp, url string, related string").coalesce(1).write.mode("append").parquet(str(src))
+    s = ST.file_stream(spark, str(src), spark.read.parquet(str(src)).schema, max_files=1)
+    urls = ST.run_to_table(spark, ST.intake_unique_urls(s.select("url", "ts")), "o-urls", mode="append")
+    assert sorted(r["url"] for r in urls.collect()) == [f"u{k}" for k in range(5)]
+    n = ST.run_to_table(spark, ST.daily_mentions(s), "o-mentions", mode="update", upsert_keys=["w", "related"])
+    got = [(r["n"], r["related"]) for r in n.collect()]
+    assert len(got) == 20 and sum(x for x, _ in got) == 240
+
+
 def test_csv_roundtrip_and_empty_guard(spark, tmp_path):
     rows = [("BID", dt.date(2024, 1, 2)) + tuple(float(i) for i in range(16))]
     df = spark.createDataFrame(rows, schemas.FEATURES)

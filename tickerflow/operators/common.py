@@ -13,9 +13,11 @@ def global_row_number(df: DataFrame, order_cols: list[str], out: str = "rn",
     Range-partition on the order, number rows inside each partition, then add the
     row count of all earlier partitions. Only the per-partition counts (one row
     per partition) meet in one place; ``order_cols`` must be a total order.
+    The rows are checkpointed with their partition numbers before both uses: a second
+    evaluation may be cut into other partitions (AQE coalesces each by its own sizes).
     """
     r = df.repartitionByRange(partitions, *order_cols) if partitions else df.repartitionByRange(*order_cols)
-    r = r.withColumn("_pid", F.spark_partition_id())
+    r = r.withColumn("_pid", F.spark_partition_id()).checkpoint()
     r = r.withColumn("_lrn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)))
     counts = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
     offs = counts.select("_pid", F.coalesce(

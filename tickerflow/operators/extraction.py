@@ -17,14 +17,15 @@ from ..functions.text import ustrip
 SOURCES = [
     # name,        template,                                                         first, cap5, host,                           listing_date, title_required
     ("VnExpress", "https://timkiem.vnexpress.net/?q={keyword}&page={page}", 1, True, "https://vnexpress.net", True, True),
-    ("ThanhNien", "https://thanhnien.vn/timelinesearch/{keyword}/{page}.htm", 1, False, "https://thanhnien.vn", True, False),
+    ("ThanhNien", "https://thanhnien.vn/timelinesearch/{keyword}/{page}.htm?sort=0", 1, False, "https://thanhnien.vn", True, False),
     ("VnEconomy", "https://vneconomy.vn/tim-kiem.html?Text={keyword}&page={page}", 1, False, "https://vneconomy.vn", False, False),
     ("Vietnamnet", "https://vietnamnet.vn/tim-kiem-p{page}?q={keyword}&od=2", 0, False, "https://vietnamnet.vn", False, False),
     ("CafeF", "https://cafef.vn/tim-kiem.chn?keywords={keyword}&page={page}", 1, False, "https://cafef.vn", False, False),
     ("Vietstock", "https://finance.vietstock.vn/View/PagingNewsContent?code={keyword}&page={page}", 1, False, "https://finance.vietstock.vn", True, False),
-    ("FireAnt", "https://restv2.fireant.vn/posts?symbol={keyword}&offset={page}", 0, False, "https://fireant.vn", True, True),
+    ("FireAnt", "https://restv2.fireant.vn/posts?symbol={keyword}&type=1&limit=20&offset={offset}", 0, False, "https://fireant.vn", True, True),
 ]
 PAGE_CAP = 5
+PAGE_ITEMS = 20  # items of a page where the search takes an offset
 START_YEAR = 2022
 
 # HTML entities decoded by the text extraction (named ones only).
@@ -58,6 +59,7 @@ def crawl_frontier(keywords: DataFrame, max_pages: int, sources=None) -> DataFra
         "page", F.explode(F.sequence(F.col("first_page"), F.col("first_page") + F.col("n") - 1)))
     url = F.replace(F.replace(F.col("template"), F.lit("{keyword}"), F.col("keyword")),
                     F.lit("{page}"), F.col("page").cast("string"))
+    url = F.replace(url, F.lit("{offset}"), (F.col("page") * PAGE_ITEMS).cast("string"))
     return tasks.select("ticker", "keyword", "source", "page", url.alias("url"))
 
 
@@ -107,14 +109,16 @@ def extract_article(pages: DataFrame, container: str = "article", join_with: str
     """Field extraction from a stored detail page.
 
     title = text of the first ``<h1>`` in the container; content = the container's
-    paragraphs (split at every ``<p>`` opening, tags removed, entities decoded,
-    stripped, empty ones dropped) joined by ``join_with``.
+    paragraphs (from ``<p>`` to its ``</p>``, the next ``<p>`` or the container's end; tags
+    removed, entities decoded, stripped, empty ones dropped) joined by ``join_with``. Text outside
+    paragraphs, such as captions, is left out.
     """
     clean = remove_subtrees(F.col("html"))
     body = F.regexp_extract(clean, f"(?is)<{container}[^>]*>(.*?)</{container}>", 1)
     title = node_text(F.regexp_extract(body, "(?is)<h1[^>]*>(.*?)</h1>", 1))
-    rest = F.regexp_replace(body, "(?is)<h1[^>]*>.*?</h1>", "")
-    paras = F.filter(F.transform(F.split(rest, "(?i)<p[^>]*>"), node_text), lambda x: x != "")
+    opened = F.split(body, r"(?i)<p(?:\s[^>]*)?>")
+    own = F.transform(F.slice(opened, 2, F.size(opened)), lambda x: node_text(F.get(F.split(x, "(?i)</p>"), 0)))
+    paras = F.filter(own, lambda x: x != "")
     return pages.select("*", title.alias("title"), F.array_join(paras, join_with).alias("content"))
 
 
@@ -129,7 +133,7 @@ def first_seen(items: DataFrame, keys=("ticker", "keyword", "source")) -> DataFr
         (F.col("page") == F.col("_f.page")) & (F.col("pos") == F.col("_f.pos"))).drop("_f")
 
 
-def stop_at_old(items: DataFrame, pages: list[int], start_year: int = START_YEAR,
+def stop_at_old(items: DataFrame, pages: list[int] | None = None, start_year: int = START_YEAR,
                 keys=("ticker", "keyword", "source"), checkpoint_every: int = 4) -> DataFrame:
     """Seen-URL filter fused with stop-at-first-old-item (X5 + X6).
 
@@ -137,29 +141,30 @@ def stop_at_old(items: DataFrame, pages: list[int], start_year: int = START_YEAR
     earlier on this page) is skipped; otherwise it is marked seen and, if its
     listing year < ``start_year``, the rest of the page is dropped (and not marked).
 
-    Pages are processed in order, one set-at-a-time step per page (the page count
-    is the crawl parameter, not the data size). Per page, with aggregates and
-    joins only, so a crawl run or URL holding a third of all rows is pre-combined
-    map-side and split by AQE's skew join instead of landing in one task:
-    fresh = not seen on earlier pages (left anti join); first occurrence of a
-    fresh URL = ``min(pos)`` per (run, url) joined back (semi join); the stop
-    position = ``min(pos)`` over fresh, first, old items per run, one row per run
-    (AQE broadcasts it when its measured size is small); kept = fresh firsts
-    before the stop; marked = every item up to and including the stop.
-    The item table is checkpointed once and the seen set every
-    ``checkpoint_every`` pages, which bounds the lineage.
+    Only the first occurrence of a URL on a page matters, so the items are first reduced to
+    one row per (run, page, url), which combines map-side, and checkpointed. Pages
+    (``pages``, or all that occur) are then processed in order, one set-at-a-time step per page (their
+    count is the crawl parameter, not the data size): fresh = not seen on earlier pages (left
+    anti join); the stop position = ``min(pos)`` over fresh old items per run, one row per
+    run (AQE broadcasts it when its measured size is small); kept = fresh before the
+    stop; marked = every item up to and including the stop. The seen set is
+    checkpointed every ``checkpoint_every`` pages, which bounds the lineage.
     """
     k = list(keys)
-    base = items.select(*k, "page", "pos", "url", "year").checkpoint()
+    base = items.groupBy(*k, "page", "url").agg(F.min(F.struct("pos", "year")).alias("_f")).select(
+        *k, "page", F.col("_f.pos").alias("pos"), "url", F.col("_f.year").alias("year")).checkpoint()
+    if pages is None:
+        pages = sorted(r[0] for r in base.select("page").distinct().collect() if r[0] is not None)
+    if not pages:
+        return base
     seen = None
     kept = []
     for i, p in enumerate(pages):
         page = base.filter(F.col("page") == p)
         fresh = page if seen is None else page.join(seen, k + ["url"], "left_anti")
-        firsts = fresh.join(fresh.groupBy(*k, "url").agg(F.min("pos").alias("pos")), k + ["url", "pos"], "left_semi")
         # one row per run: AQE broadcasts it at run time when its measured size is small
-        stop = firsts.filter(F.col("year") < start_year).groupBy(*k).agg(F.min("pos").alias("_stop"))
-        kept.append(firsts.join(stop, k, "left")
+        stop = fresh.filter(F.col("year") < start_year).groupBy(*k).agg(F.min("pos").alias("_stop"))
+        kept.append(fresh.join(stop, k, "left")
                     .filter(F.col("_stop").isNull() | (F.col("pos") < F.col("_stop")))
                     .select(*k, "page", "pos", "url", "year"))
         marks = page.join(stop, k, "left").filter(
@@ -202,6 +207,25 @@ def json_path(c: Column, path: str) -> Column:
     return F.get_json_object(c, path)
 
 
+POSTS = "array<struct<postID: bigint, title: string, date: string, content: string, description: string>>"
+
+
+def api_posts(replies: DataFrame, body: str = "body", post_url: str = "https://fireant.vn/bai-viet/") -> DataFrame:
+    """Posts of API replies (X12), one row per array element in reply order: pos, post_id, title,
+    url, published_date, year and content. Untitled posts are skipped here, before any
+    seen-URL step (X11). The date is the day that the post's own time names, NULL where it doesn't
+    parse. Content is the post's HTML as text, one line per tag boundary, else the
+    description. A reply that isn't an array gives no rows."""
+    p = replies.select("*", F.posexplode(F.from_json(body, POSTS)).alias("pos", "post")).drop(body)
+    p = p.where(F.length(F.coalesce("post.title", F.lit(""))) > 0)
+    day = F.try_to_date(F.substring("post.date", 1, 10), "yyyy-MM-dd")
+    lines = F.filter(F.transform(F.split(remove_subtrees(F.col("post.content")), "<[^>]*>"), lambda x: unescape(x)), lambda x: x != "")
+    text = F.when(F.coalesce("post.content", F.lit("")) != "", ustrip(F.array_join(lines, "\n"))).otherwise(F.coalesce("post.description", F.lit("")))
+    return p.select(*[c for c in p.columns if c not in ("pos", "post")], "pos", F.col("post.postID").alias("post_id"), F.col("post.title").alias("title"),
+                    F.concat(F.lit(post_url), F.col("post.postID").cast("string")).alias("url"), F.date_format(day, "yyyy-MM-dd").alias("published_date"),
+                    F.year(day).alias("year"), text.alias("content"))
+
+
 def post_text(content: Column, description: Column) -> Column:
     """API post body: the content, else the description when content is empty."""
     return F.coalesce(F.nullif(content, F.lit("")), description)

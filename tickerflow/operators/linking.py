@@ -87,12 +87,12 @@ def spans_any_tag(tokens: DataFrame, doc: str = "article_id") -> DataFrame:
 
 def valid_entity(e: Column) -> Column:
     """``is_valid_entity`` (P20): length >= 3; no noise word as a substring of the
-    lower-case text; not all digits once space / - . , are removed; not blacklisted."""
+    lower-case text; not all (Unicode decimal) digits once space / - . , are removed; not blacklisted."""
     low = F.lower(e)
     noise = F.lit(False)
     for w in NOISE_WORDS:
         noise = noise | F.contains(low, F.lit(w))
-    digits = F.translate(e, " /-.,", "").rlike("^[0-9]+$")
+    digits = F.translate(e, " /-.,", "").rlike("^\\p{Nd}+$")
     return (F.length(e) >= 3) & ~noise & ~digits & ~ustrip(low).isin(BLACKLIST)
 
 

@@ -185,7 +185,7 @@ _VALID_CTE = _TOK_CTE + f""",
 valid AS (
   SELECT * FROM spans
   WHERE length(entity) >= 3 AND NOT ({_NOISE})
-    AND NOT regexp_matches(translate(entity, ' /-.,', ''), '^[0-9]+$')
+    AND NOT regexp_matches(translate(entity, ' /-.,', ''), '^\\p{{Nd}}+$')
     AND {sql_strip('lower(entity)')} NOT IN ({_BLACK})
 )"""
 

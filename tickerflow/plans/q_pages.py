@@ -47,8 +47,8 @@ SELECT page_id, ticker, title, content, published_date FROM (
          CASE page_id % 5 {' '.join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(TICKERS))} END AS ticker,
          {_sql_node_text("regexp_extract(body, '(?is)<h1[^>]*>(.*?)</h1>', 1)")} AS title,
          array_to_string(list_filter(list_transform(
-             regexp_split_to_array(regexp_replace(body, '(?is)<h1[^>]*>.*?</h1>', '', 'g'), '(?i)<p[^>]*>'),
-             lambda x: {_sql_node_text('x')}), lambda x: x <> ''), ' ') AS content,
+             (regexp_split_to_array(body, '(?i)<p(?:\\s[^>]*)?>'))[2:],
+             lambda x: {_sql_node_text("regexp_split_to_array(x, '(?i)</p>')[1]")}), lambda x: x <> ''), ' ') AS content,
          CAST(NULL AS VARCHAR) AS published_date
   FROM (SELECT page_id, regexp_extract({_CLEAN_HTML}, '(?is)<article[^>]*>(.*?)</article>', 1) AS body FROM pages)
 ) WHERE length(title) > 0""", {"page_id": "i", "ticker": "s", "title": "s", "content": "s", "published_date": "s"})
@@ -73,15 +73,23 @@ def _keywords(spark, sf_dir):
 
 
 _MAX_PAGES = 8
-_PROFILE_ROWS = ", ".join(
-    f"('{s[0]}', '{s[1]}', {s[2]}, {str(s[3]).upper()})" for s in X.SOURCES)
+# Written out by hand, not taken from the operator's table: a wrong template there must show.
+_PROFILE_ROWS = """
+  ('VnExpress', 'https://timkiem.vnexpress.net/?q=', '&page=', 1, '', 1, TRUE),
+  ('ThanhNien', 'https://thanhnien.vn/timelinesearch/', '/', 1, '.htm?sort=0', 1, FALSE),
+  ('VnEconomy', 'https://vneconomy.vn/tim-kiem.html?Text=', '&page=', 1, '', 1, FALSE),
+  ('Vietnamnet', NULL, NULL, 1, '', 0, FALSE),
+  ('CafeF', 'https://cafef.vn/tim-kiem.chn?keywords=', '&page=', 1, '', 1, FALSE),
+  ('Vietstock', 'https://finance.vietstock.vn/View/PagingNewsContent?code=', '&page=', 1, '', 1, FALSE),
+  ('FireAnt', 'https://restv2.fireant.vn/posts?symbol=', '&type=1&limit=20&offset=', 20, '', 0, FALSE)"""
 
 
 @query("crawl_frontier", sql_finish(with_views(["names"], f"""
 SELECT k.ticker, k.keyword, p.source, pg AS page,
-       replace(replace(p.template, '{{keyword}}', k.keyword), '{{page}}', CAST(pg AS VARCHAR)) AS url
+       CASE WHEN p.source = 'Vietnamnet' THEN 'https://vietnamnet.vn/tim-kiem-p' || pg || '?q=' || k.keyword || '&od=2'
+            ELSE p.before || k.keyword || p.between || pg * p.step || p.after END AS url
 FROM (SELECT ticker, name AS keyword FROM names WHERE ticker IN ({', '.join(f"'{t}'" for t in TICKERS)})) k
-CROSS JOIN (VALUES {_PROFILE_ROWS}) AS p(source, template, first_page, cap5)
+CROSS JOIN (VALUES {_PROFILE_ROWS}) AS p(source, before, between, step, after, first_page, cap5)
 CROSS JOIN LATERAL (SELECT unnest(range(p.first_page,
                     p.first_page + CASE WHEN p.cap5 THEN least({_MAX_PAGES}, 5) ELSE {_MAX_PAGES} END)) AS pg)
 """), {"ticker": "s", "keyword": "s", "source": "s", "page": "i", "url": "s"}))
@@ -101,7 +109,7 @@ SELECT ticker, keyword, source, page, pos, url FROM (
   SELECT *, row_number() OVER (PARTITION BY {_K}, url ORDER BY page, pos) AS rk
   FROM items WHERE source IN ({', '.join(f"'{s}'" for s in _NO_DATE)})
 ) WHERE rk = 1 AND (year IS NULL OR year >= 2022)
-  AND (source NOT IN ('VnExpress', 'FireAnt') OR length(coalesce(title, '')) > 0)"""),
+  AND (source <> 'VnEconomy' OR length(coalesce(title, '')) > 0)"""),
     {"ticker": "s", "keyword": "s", "source": "s", "page": "i", "pos": "i", "url": "s"}))
 def seen_urls(spark, sf_dir):
     """First occurrence per URL within a crawl run (X5), then the detail-page year
@@ -109,7 +117,7 @@ def seen_urls(spark, sf_dir):
     items = listing_items(spark, sf_dir).filter(F.col("source").isin(_NO_DATE))
     kept = X.first_seen(items)
     kept = X.detail_year_filter(kept.withColumn("date", F.try_to_date("published_date", "yyyy-MM-dd")))
-    kept = X.title_required(kept, ["VnExpress", "FireAnt"])
+    kept = X.title_required(kept, ["VnEconomy"])
     return kept.select("ticker", "keyword", "source", "page", "pos", "url")
 
 
@@ -117,7 +125,7 @@ def seen_urls(spark, sf_dir):
 def _stop_sql(pages: list[int]) -> str:
     ctes = []
     src = ", ".join(f"'{s}'" for s in _WITH_DATE)
-    ctes.append(f"it AS (SELECT * FROM items WHERE source IN ({src}))")
+    ctes.append(f"it AS (SELECT * FROM items WHERE source IN ({src}) AND (source <> 'FireAnt' OR length(coalesce(title, '')) > 0))")
     for i, p in enumerate(pages):
         seen_prev = f"seen{i}" if i > 0 else None
         fresh = (f"SELECT * FROM it WHERE page = {p}" if seen_prev is None else
@@ -145,9 +153,10 @@ def _stop_sql(pages: list[int]) -> str:
 @query("stop_at_old", sql_finish(_stop_sql(LISTING_PAGES),
                                  {"ticker": "s", "keyword": "s", "source": "s", "page": "i", "pos": "i", "url": "s"}))
 def stop_at_old(spark, sf_dir):
-    """Sources with a listing date: seen-URL filter fused with stop-at-first-old-item (X5 + X6)."""
+    """Sources with a listing date: seen-URL filter fused with stop-at-first-old-item (X5 + X6).
+    Untitled FireAnt posts are skipped before they count as seen (X11)."""
     items = listing_items(spark, sf_dir).filter(F.col("source").isin(_WITH_DATE))
-    out = X.stop_at_old(items, LISTING_PAGES)
+    out = X.stop_at_old(X.title_required(items, ["FireAnt"]))
     return out.select("ticker", "keyword", "source", "page", "pos", "url")
 
 
@@ -178,6 +187,24 @@ def embedded_json(spark, sf_dir):
     )
 
 
+@query("api_posts", sql_finish("""
+SELECT event_id // 20 AS page, event_id % 20 AS pos, event_id AS post_id, event_type AS title,
+       'https://fireant.vn/bai-viet/' || event_id AS url, strftime(ts, '%Y-%m-%d') AS published_date, year(ts) AS year,
+       CASE WHEN event_id % 3 = 0 THEN 'd' || user_id ELSE 'a & b' || chr(10) || user_id END AS content
+FROM events WHERE event_id % 7 <> 0""",
+    {"page": "i", "pos": "i", "post_id": "i", "title": "s", "url": "s", "published_date": "s", "year": "i", "content": "s"}))
+def api_posts(spark, sf_dir):
+    """Posts of API replies of 20 (built from the events): exploded, untitled ones skipped, HTML
+    content as lines, else the description (X11, X12)."""
+    e = table(spark, sf_dir, "events")
+    post = F.struct(F.col("event_id").alias("postID"), F.when(F.col("event_id") % 7 != 0, F.col("event_type")).alias("title"),
+                    F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
+                    F.when(F.col("event_id") % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("<p>a &amp; b</p><p>"), F.col("user_id").cast("string"), F.lit("</p>"))).alias("content"),
+                    F.concat(F.lit("d"), F.col("user_id").cast("string")).alias("description"))
+    replies = e.groupBy(F.floor(F.col("event_id") / 20).alias("page")).agg(F.to_json(F.array_sort(F.collect_list(post))).alias("body"))
+    return X.api_posts(replies)
+
+
 @query("reply_json", sql_finish("""
 SELECT conv_id, turn, block IS NOT NULL AS has_json,
        coalesce(json_valid(block) AND json_extract_string(block, '$.alpha_1') IS NOT NULL, false) AS parsed,
@@ -188,7 +215,7 @@ FROM (
   FROM (
     SELECT conv_id, turn,
            CASE WHEN turn % 4 = 3 THEN text
-                ELSE 'Here you go:' || chr(10) || '{"alpha_1": "' || regexp_replace(substr(text, 1, 40), '[\\x00-\\x1f"\\\\]', ' ', 'g')
+                ELSE 'Here you go:' || chr(10) || '{"alpha_1": "' || regexp_replace(text, '[\\x00-\\x1f"\\\\]', ' ', 'g')
                      || '",' || chr(10) || ' "n": ' || CAST(length(text) AS VARCHAR) || '}' || chr(10) || 'done.' END AS reply
     FROM conversations
   )
@@ -198,7 +225,7 @@ def reply_json(spark, sf_dir):
     parse; no braces → NULL (F16). Every 4th turn carries no JSON at all."""
     c = table(spark, sf_dir, "conversations")
     body = F.concat(F.lit('{"alpha_1": "'),
-                    F.regexp_replace(F.substring("text", 1, 40), '[\\x00-\\x1f"\\\\]', " "),
+                    F.regexp_replace("text", '[\\x00-\\x1f"\\\\]', " "),
                     F.lit('",\n "n": '), F.length("text").cast("string"), F.lit("}"))
     reply = F.when(F.col("turn") % 4 == 3, F.col("text")).otherwise(
         F.concat(F.lit("Here you go:\n"), body, F.lit("\ndone.")))

@@ -1,8 +1,11 @@
 """Structured Streaming versions of two batch operators.
 
 The reference has no stream; these are user-level re-aims of the seen-URL set
-(X5) and of the related-ticker counts (A9), built on file sources with a
-watermark so state stays bounded.
+(X5) and of the related-ticker counts (A9), built on file sources. Without a
+``delay`` their results equal the batch ones however the input is split into files and
+in whatever order these arrive; the state then holds every URL, or every (key, day). With a
+``delay`` state older than the watermark goes: a URL can come again after that time, and rows
+later than that are not counted.
 """
 
 from __future__ import annotations
@@ -22,15 +25,17 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return r.load(path)
 
 
-def intake_unique_urls(stream: DataFrame, ts: str = "ts", delay: str = "1 day") -> DataFrame:
-    """Incremental article intake, one row per URL (T1): duplicates inside the
-    watermark delay are dropped; state older than the watermark is evicted."""
+def intake_unique_urls(stream: DataFrame, ts: str = "ts", delay: str | None = None) -> DataFrame:
+    """Incremental article intake, one row per URL (T1); with ``delay`` one row per
+    URL and watermark delay."""
+    if delay is None:
+        return stream.dropDuplicates(["url"])
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["url"])
 
 
-def daily_mentions(stream: DataFrame, ts: str = "ts", key: str = "related", delay: str = "1 day") -> DataFrame:
-    """Mentions per key and tumbling day."""
-    return (stream.withWatermark(ts, delay)
+def daily_mentions(stream: DataFrame, ts: str = "ts", key: str = "related", delay: str | None = None) -> DataFrame:
+    """Mentions per key and tumbling day (T2); rows later than ``delay`` are dropped where it is given."""
+    return ((stream if delay is None else stream.withWatermark(ts, delay))
             .groupBy(F.window(ts, "1 day").alias("w"), key)
             .agg(F.count(F.lit(1)).alias("n")))
 
