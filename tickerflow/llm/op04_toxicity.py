@@ -30,6 +30,8 @@ FOLDS, HELD_OUT = 5, 0
 #: Labelled rows to learn from, about this many of each label (hash of the id; all if there are fewer).
 SAMPLE = {1: 20_000, 0: 40_000}
 MAX_TERMS, MIN_ROWS, MIN_ODDS = 200, 5, 3.0
+#: Words within distance one of a term that are ordinary words (two clean rows have them), the most frequent ones.
+MAX_ORDINARY = 50_000
 STEMS, MIN_STEM_WORDS = (4, 5, 6), 5
 FUZZY_LENGTH, CONTEXT, BLOCK = 5, 60, 1 << 19
 
@@ -38,7 +40,7 @@ QUOTES = '"“”„«»‘’‹›'
 REPORTING = "said says wrote writes called quoted quote word term insult reads".split()
 
 #: Weights before any row is seen: bias, exact, misspelled, quoted hits (log of 1 + count), odds of the strongest unquoted term.
-PRIOR, PRIOR_STRENGTH = np.array([-4.0, 3.0, 2.0, -0.5, 1.0]), np.array([0.2, 0.5, 2.0, 2.0, 0.5])
+PRIOR, PRIOR_STRENGTH = np.array([-4.0, 3.0, 4.0, -0.5, 1.0]), np.array([0.2, 0.5, 8.0, 2.0, 0.5])
 
 
 def fold(doc_id: Column) -> Column:
@@ -62,6 +64,8 @@ class Automaton:
     substitution of a letter (or exactly, for short terms), a stem if it begins with it.
     """
 
+    ordinary: frozenset[str] = frozenset()  # words that only look like misspelled terms
+
     def __init__(self, terms: list[tuple[str, float, bool]]):
         self.odds = np.array([0.0] + [o for _, o, _ in terms])
         children: list[dict[str, int]] = [{}]
@@ -173,6 +177,9 @@ def features(column, automaton: Automaton) -> np.ndarray:
         stop[:-1] &= ~word[1:] | edge[1:-1]
         starts, ends = np.flatnonzero(start), np.flatnonzero(stop) + 1
         term, exact = automaton.match(points, starts, ends)
+        for i in np.flatnonzero((term > 0) & ~exact) if automaton.ordinary else ():
+            if points[starts[i] : ends[i]].tobytes().decode("utf-32-le", "replace") in automaton.ordinary:
+                term[i] = 0
         hit = np.flatnonzero(term)
         if len(hit):
             doc = np.searchsorted(begins, starts[hit], side="right") - 1
@@ -201,11 +208,23 @@ def fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def lexicon(rows: DataFrame) -> list[tuple[str, float, bool]]:
-    """(term, log odds, is a stem) from rows (text, toxic); MAX_TERMS at most."""
+def _near(batches, shared):
+    """The words (term) that are within distance one of a term, but none themselves."""
+    automaton = shared.value
+    for batch in batches:
+        words = batch.column("term").to_pylist()
+        size = np.array([len(w) for w in words], np.int64)
+        starts = np.r_[0, np.cumsum(size + 1)][:-1]
+        points = np.frombuffer(" ".join(words).encode("utf-32-le"), np.uint32)
+        term, exact = automaton.match(points, starts, starts + size)
+        yield batch.filter(pa.array((term > 0) & ~exact))
+
+
+def learn_lexicon(rows: DataFrame) -> Automaton:
+    """The automaton of the terms (MAX_TERMS at most) that rows (text, toxic) teach, with the ordinary words near them."""
     total = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("toxic").alias("n")).collect()}
     if not total.get(1) or not total.get(0):
-        return []
+        return Automaton([])
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"([a-z0-9$@\x{C0}-\x{10FFFF}]{3,40})"), 1))
     counts = rows.select("toxic", F.explode(words).alias("term")).groupBy("term").agg(F.sum("toxic").cast("long").alias("bad"), F.sum(1 - F.col("toxic")).cast("long").alias("fine"))
     counts = written(counts.where("bad > 0 or fine > 1"), "toxic-words")
@@ -218,7 +237,11 @@ def lexicon(rows: DataFrame) -> list[tuple[str, float, bool]]:
         if not any(r["term"].startswith(s) for s, _, _ in stems):
             stems.append((r["term"], float(r["odds"]), True))
     terms = [(r["term"], float(r["odds"]), False) for r in strong(counts) if not any(r["term"].startswith(s) for s, _, _ in stems)]
-    return (stems + terms)[:MAX_TERMS]
+    automaton = Automaton((stems + terms)[:MAX_TERMS])
+    shared = rows.sparkSession.sparkContext.broadcast(automaton)
+    near = counts.where("fine > 1").select("term", "fine").mapInArrow(partial(_near, shared=shared), "term string, fine long")
+    automaton.ordinary = frozenset(r["term"] for r in near.orderBy(F.desc("fine"), "term").limit(MAX_ORDINARY).collect())
+    return automaton
 
 
 def _features(batches, shared):
@@ -242,7 +265,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[Automaton, np.ndarray]:
     share = F.when(F.col("toxic") == 1, SAMPLE[1] / max(total.get(1, 0), 1)).otherwise(SAMPLE[0] / max(total.get(0, 0), 1))
     rows = docs.select("doc_id", "text").join(F.broadcast(known.where(draw < share)), "doc_id").select("text", "toxic")  # SAMPLE ids are broadcast
     rows = written(rows, "toxic-sample")
-    automaton = Automaton(lexicon(rows))
+    automaton = learn_lexicon(rows)
     shared = spark.sparkContext.broadcast(automaton)
     names = [f"x{i}" for i in range(len(PRIOR))]
     table = rows.mapInArrow(partial(_features, shared=shared), "toxic int, " + ", ".join(f"{n} double" for n in names)).toPandas()
