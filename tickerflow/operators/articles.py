@@ -59,32 +59,37 @@ def dedup_by_url(raw: DataFrame, key: list[str] | None = None) -> DataFrame:
     **newest** duplicate. A missing date sorts above every date.
 
     ``pos_date`` / ``pos_arrival`` carry the position: order the output by
-    ``pos_date DESC, pos_arrival ASC``.
+    ``pos_date DESC, pos_arrival ASC``. Only dates and arrivals are aggregated; the
+    kept rows are found again by (key, date, arrival), so titles and texts are in no
+    aggregate and, where they aren't selected, in no exchange. ``arrival`` must be unique.
     """
     key = key or ["ticker", "url"]
     d = F.coalesce(F.col("published_date"), F.lit("None"))
     order = F.struct(d.alias("d"), (-F.col("arrival")).alias("na"))
-    cols = [c for c in raw.columns if c not in key]
-    g = raw.groupBy(*key).agg(
-        F.min_by(F.struct(*cols), order).alias("_keep"),
-        F.max(order).alias("_pos"),
-    )
-    return g.select(*key, *[F.col(f"_keep.{c}").alias(c) for c in cols],
-                    F.col("_pos.d").alias("pos_date"), (-F.col("_pos.na")).alias("pos_arrival"))
+    win = raw.groupBy(*key).agg(F.min(order).alias("_keep"), F.max(order).alias("_pos")).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)], (-F.col("_keep.na")).alias("_arrival"),
+        F.col("_pos.d").alias("pos_date"), (-F.col("_pos.na")).alias("pos_arrival"))
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(key)] + [F.col("arrival") == F.col("_arrival")]
+    rest = [c for c in raw.columns if c not in key]
+    return raw.join(win, on).select(*key, *rest, "pos_date", "pos_arrival")
 
 
 def dedup_by_content(df: DataFrame, order_col: str = "arrival", key: list[str] | None = None) -> DataFrame:
     """``drop_duplicates(subset=['content'], keep='first')`` (A2) with an explicit
-    first: the smallest ``order_col``. An aggregate, not a window, so a hot content
-    value is pre-combined on the map side. ``key`` defaults to the content alone."""
+    first: the smallest ``order_col``, which must be unique. An aggregate, not a window, so a hot
+    content value is pre-combined on the map side; contents are grouped by SHA-256, so
+    no text is a key. ``key`` defaults to the content alone."""
     key = key or ["content"]
-    cols = [c for c in df.columns if c not in key]
-    g = df.groupBy(*key).agg(F.min_by(F.struct(*cols), F.col(order_col)).alias("_k"))
-    return g.select(*key, *[F.col(f"_k.{c}").alias(c) for c in cols]).select(*df.columns)
+    d = df.withColumn("_digest", F.sha2("content", 256))
+    own = [k for k in key if k != "content"] + ["_digest"]
+    first = d.groupBy(*own).agg(F.min(order_col).alias("_first")).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(own)], "_first")
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(own)] + [F.col(order_col) == F.col("_first")]
+    return d.join(first, on, "left_semi").select(*df.columns)
 
 
 def profile_nulls(df: DataFrame, group: str | None = None) -> DataFrame:
-    """Non-null count (A3), null count (A4) per column, rows (A19), distinct content (A5)."""
+    """Non-null count (A3), null count (A4) per column, rows (A19), distinct content (A5, by SHA-256)."""
     aggs = [F.count(F.lit(1)).alias("rows")]
     for c in df.columns:
         if c == group:
@@ -92,7 +97,7 @@ def profile_nulls(df: DataFrame, group: str | None = None) -> DataFrame:
         aggs.append(F.count(c).alias(f"{c}_count"))
         aggs.append(F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"))
     if "content" in df.columns:
-        aggs.append(F.countDistinct("content").alias("content_nunique"))
+        aggs.append(F.countDistinct(F.sha2("content", 256)).alias("content_nunique"))
     return df.groupBy(group).agg(*aggs) if group else df.agg(*aggs)
 
 
@@ -117,9 +122,11 @@ def counts_by_year(df: DataFrame, by_ticker: bool = False) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def counts_by_ticker(df: DataFrame) -> DataFrame:
-    """Articles per ticker (A8); its key set is the distinct tickers."""
-    return df.groupBy("ticker").agg(F.count(F.lit(1)).alias("n"))
+def counts_by_ticker(df: DataFrame, before_day: str | None = None) -> DataFrame:
+    """Articles per ticker (A8); its key set is the distinct tickers (A14). With
+    ``before_day`` also how many are older, in the same pass."""
+    early = [] if before_day is None else [F.count_if(F.col("date") < F.lit(before_day).cast("date")).alias("n_before")]
+    return df.groupBy("ticker").agg(F.count(F.lit(1)).alias("n"), *early)
 
 
 def sort_for_write(df: DataFrame, partitions: int | None = None) -> DataFrame:

@@ -101,9 +101,9 @@ SELECT ticker, url, arrival, length(content) AS n_chars FROM (
 @query("article_dedup_content", _DEDUP_CONTENT_SQL)
 def article_dedup_content(spark, sf_dir):
     """EDA flow: keep length >= 10 (P7), drop the title (P10), then first copy per content (A2)."""
-    raw = A.keep_min_length(raw_articles(spark, sf_dir)).drop("title")
+    raw = A.keep_min_length(raw_articles(spark, sf_dir)).drop("title").withColumn("n_chars", F.length("content"))
     kept = A.dedup_by_content(raw, key=["ticker", "content"])
-    return kept.select("ticker", "url", "arrival", F.length("content").alias("n_chars"))
+    return kept.select("ticker", "url", "arrival", "n_chars")
 
 
 # ---------------------------------------------------------------- profiling
@@ -185,10 +185,7 @@ def counts_by_year_ticker(spark, sf_dir):
     "FROM clean GROUP BY ticker", {"ticker": "s", "n": "i", "n_before": "i"}, extra=CLEAN_CTE))
 def counts_by_ticker(spark, sf_dir):
     """Articles per ticker (A8, A14) and how many fall before the lower bound (P4 complement)."""
-    clean = _clean(spark, sf_dir)
-    per = A.counts_by_ticker(clean)
-    early = A.before(clean, "2022-01-01").groupBy("ticker").agg(F.count(F.lit(1)).alias("n_before"))
-    return per.join(early, "ticker", "left").select("ticker", "n", F.coalesce("n_before", F.lit(0)).alias("n_before"))
+    return A.counts_by_ticker(_clean(spark, sf_dir), before_day="2022-01-01")
 
 
 # ---------------------------------------------------------------- date_clip on bars
