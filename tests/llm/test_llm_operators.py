@@ -195,9 +195,11 @@ def _classes(rows, percent=85):
     return [(r[0], len(s), None if r[0] is None else root(r[0])) for r, s in zip(rows, sets)]
 
 
-@pytest.mark.parametrize(("rounds", "hot"), [(2, 32), (0, 4)])
-def test_jaccard(docs, rows, monkeypatch, rounds, hot):
+@pytest.mark.parametrize(("rounds", "hot", "long"), [(2, 8, 64), (1, 4, 3), (0, 2, 2)])
+def test_jaccard(docs, rows, monkeypatch, rounds, hot, long):
     monkeypatch.setattr(op3, "HOT_DF", hot)
+    monkeypatch.setattr(op3, "LONG", long)
+    monkeypatch.setattr(op3, "BLOCK", 5)
     same([tuple(r) for r in op3.jaccard_classes(docs, star_rounds=rounds).collect()], _classes(rows))
 
 

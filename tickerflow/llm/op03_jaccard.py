@@ -13,18 +13,22 @@ taken block by block and never in full:
   the rest of the smaller side could add is below the overlap that the two sizes demand.
 * The pairs left are compared by their whole sets.
 
-Links are wanted for the classes that they connect. The first block rounds multiply each column by one of
+Links are wanted for the classes that they connect. The first rounds multiply each column by one of
 its documents only (a different one each round), which already connects a large group of near copies in time
 proportional to its size. Then all pairs whose documents aren't yet in one class are multiplied, so no link
-between different classes is lost. Shingles are compared by 63-bit hashes.
+between different classes is lost: pairs of short columns one by one, those of documents that long columns
+connect in blocks of rows, as dense products of BLOCK by BLOCK documents over the shingles that they have.
+Shingles are compared by 63-bit hashes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,9 +41,11 @@ from .words import Block, SPACE_SPLIT, blocks
 SHINGLE, PERCENT = 4, 85
 #: Rounds that multiply each column by one document.
 STAR_ROUNDS = 2
-#: A shingle is frequent if it is in HOT_DF documents, counting only blocks where it is in HOT_LOCAL. At most
-#: HOT_MAX (8 bytes each) are kept in the order; further ones count as rare.
-HOT_LOCAL, HOT_DF, HOT_MAX = 3, 32, 200_000
+#: A shingle is frequent if HOT_DF documents have it in the first HOT_SHARE of their sets (in the order of hashes, where
+#: the compared columns come from). HOT_MAX (16 bytes each) are kept in the order; further ones count as rare.
+HOT_SHARE, HOT_DF, HOT_MAX = 0.25, 8, 1_000_000
+#: Columns of more documents are long; rows and columns of a block, shingles of a product.
+LONG, BLOCK, WIDTH = 64, 256, 4096
 #: Ids (8 bytes each) up to which a list of documents is broadcast.
 BROADCAST_IDS = 1_000_000
 _COUNT_TOKENS = 2_000_000
@@ -62,17 +68,16 @@ def _sets(b: Block, shingle: int) -> list[np.ndarray]:
 
 
 def _count(batches, shingle: int):
-    """(token, documents) of the shingles that HOT_LOCAL documents of a block share."""
+    """(token, documents) of the first shingles of the sets."""
     held, n = [], 0
 
     def counts():
         token, c = np.unique(np.concatenate(held), return_counts=True)
-        token, c = token[c >= HOT_LOCAL], c[c >= HOT_LOCAL]
         return pa.RecordBatch.from_arrays([pa.array(token), pa.array(c.astype(np.int64))], names=["token", "n"])
 
     for batch in batches:
         for b in blocks(batch.column("text"), SPACE_SPLIT, lower=True):
-            own = _sets(b, shingle)
+            own = [x[: math.ceil(HOT_SHARE * len(x))] for x in _sets(b, shingle)]
             held += own
             n += sum(map(len, own))
             if n >= _COUNT_TOKENS:
@@ -140,14 +145,77 @@ def _surviving(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return pairs.where(F.col("both") + F.least(rest("a"), rest("b")) >= _needed(F.col("na"), F.col("nb"), percent)).select("a", "b")
 
 
-def _links(pairs: DataFrame, text: DataFrame, order, shingle: int, percent: int) -> DataFrame:
-    """The pairs that are links by their whole sets."""
-    pairs = written(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def _whole_sets(ids: DataFrame, text: DataFrame, order, shingle: int, percent: int) -> DataFrame:
+    """(id, tokens) of the documents ``ids`` (doc_id)."""
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     sets = text.join(ids, "doc_id", "left_semi").mapInArrow(partial(_rows, shingle=shingle, percent=percent, order=order, whole=True), "id long, tokens array<bigint>")
-    sets = written(sets, "sets")
+    return written(sets, "sets")
+
+
+def _product(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Overlaps of all sets of x with all of y: a product of the two incidence matrices, WIDTH columns at a time."""
+    columns = np.unique(np.concatenate(x))
+    out = np.zeros((len(x), len(y)), np.float32)
+
+    def places(sets):
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        token = np.concatenate(sets)
+        at = np.minimum(np.searchsorted(columns, token), len(columns) - 1)
+        own = columns[at] == token
+        row, at = row[own], at[own]
+        by = np.argsort(at, kind="stable")
+        return row[by], at[by]
+
+    (rx, cx), (ry, cy) = places(x), places(y)
+    for low in range(0, len(columns), WIDTH):
+        a, b = np.zeros((len(x), WIDTH), np.float32), np.zeros((len(y), WIDTH), np.float32)
+        for m, r, c in ((a, rx, cx), (b, ry, cy)):
+            s = slice(*np.searchsorted(c, [low, low + WIDTH]))
+            m[r[s], c[s] - low] = 1
+        out += a @ b.T
+    return out
+
+
+def _block_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links of different labels between the rows (left) and columns of one block."""
+    x, y = rows[rows["left"]], rows[~rows["left"]]
+    if not len(x) or not len(y):
+        return pd.DataFrame({"a": [], "b": []}).astype("int64")
+    both = _product(list(x["tokens"]), list(y["tokens"])).round().astype(np.int64)
+    sizes = x["tokens"].map(len).to_numpy()[:, None] + y["tokens"].map(len).to_numpy()[None, :]
+    link = (100 * both >= percent * (sizes - both)) & (x["label"].to_numpy()[:, None] != y["label"].to_numpy()[None, :])
+    i, j = np.nonzero(link)
+    a, b = x["id"].to_numpy()[i], y["id"].to_numpy()[j]
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
+def _blocks(clusters: DataFrame, text: DataFrame, order, shingle: int, percent: int) -> DataFrame:
+    """All links of different labels within the clusters (id, label, cluster).
+
+    The rows of the product are the documents outside the largest class of their cluster, the columns all.
+    """
+    main = clusters.groupBy("cluster", "label").agg(F.count("id").alias("n")).groupBy("cluster").agg(F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("main"))
+    d = clusters.join(main, "cluster").withColumn("out", F.col("label") != F.col("main"))
+    outside = d.groupBy("cluster").agg(F.count_if("out").alias("m"))
+    d = written(d.join(outside, "cluster").where("m > 0"), "jaccard-clusters")
+    d = d.join(_whole_sets(d.select(F.col("id").alias("doc_id")).distinct(), text, order, shingle, percent), "id")
+    count = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    own = lambda c: F.pmod(F.xxhash64("id"), count(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), count(c) - 1))
+    x = d.where("out").select("cluster", own("m").alias("i"), every("n").alias("j"), F.lit(True).alias("left"), "id", "label", "tokens")
+    y = d.select("cluster", every("m").alias("i"), own("n").alias("j"), F.lit(False).alias("left"), "id", "label", "tokens")
+
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        return _block_links(rows, percent)
+
+    return x.unionByName(y).groupBy("cluster", "i", "j").applyInPandas(links, "a long, b long").distinct()
+
+
+def _links(pairs: DataFrame, text: DataFrame, order, shingle: int, percent: int) -> DataFrame:
+    """The pairs that are links by their whole sets."""
+    pairs = written(pairs, "pairs")
+    sets = _whole_sets(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), text, order, shingle, percent)
     for side in "ba":
         pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("tokens").alias(f"t{side}")), side)
     both = F.size(F.array_intersect("ta", "tb"))
@@ -173,9 +241,10 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     sets = written(text.mapInArrow(rows, "doc_id long, n_shingles long, digest binary, prefix array<bigint>"), "jaccard-sets")
     known = sets.where("doc_id is not null and n_shingles > 0")
     reps = written(known.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix")), "jaccard-reps")
-    cells = reps.select("id", "n", F.size("prefix").alias("p"), F.element_at("prefix", -1).alias("last"), F.explode("prefix").alias("token"))
+    cells = reps.select("id", F.explode("prefix").alias("token"))
     shared = cells.groupBy("token").agg(F.count("id").alias("c")).where("c > 1")
-    cells = written(cells.join(shared.hint("shuffle_hash"), "token"), "jaccard-cells")
+    cells = cells.join(shared.hint("shuffle_hash"), "token")
+    cells = written(cells.join(reps.select("id", "n", F.size("prefix").alias("p"), F.element_at("prefix", -1).alias("last")), "id"), "jaccard-cells")
 
     links, checked, labels = None, None, None
     for turn in range(star_rounds + 1):
@@ -188,8 +257,15 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
             hub = left.groupBy("token").agg(F.min_by(F.struct(F.col("id").alias("hub"), F.col("label").alias("hub_label")), F.struct(F.xxhash64("id", F.lit(turn)), "id")).alias("h")).select("token", "h.*")
             pairs = left.join(hub, "token").where("label <> hub_label and id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
         else:
-            x, y = (left.select("token", *[F.col(c).alias(c + s) for c in ("id", "n", "p", "last", "label")]) for s in "ab")
-            pairs = x.join(y, "token").where((F.col("ida") < F.col("idb")) & (F.col("labela") != F.col("labelb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
+            spokes = left.where(F.col("c") > LONG)
+            spokes = spokes.join(spokes.groupBy("token").agg(F.min("id").alias("hub")), "token").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+            clusters = components(spokes).withColumnRenamed("component", "cluster")
+            known = labels if labels is not None else clusters.select("id", F.col("id").alias("component"))
+            in_blocks = _blocks(clusters.join(known, "id", "left").select("id", F.coalesce("component", "id").alias("label"), "cluster"), text, order, shingle, percent)
+            links = links.union(written(in_blocks, "jaccard-links")) if links is not None else written(in_blocks, "jaccard-links")
+            left = left.where(F.col("c") <= LONG).join(clusters, "id", "left")
+            x, y = (left.select("token", *[F.col(c).alias(c + s) for c in ("id", "n", "p", "last", "label", "cluster")]) for s in "ab")
+            pairs = x.join(y, "token").where((F.col("ida") < F.col("idb")) & (F.col("labela") != F.col("labelb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & ~F.coalesce(F.col("clustera") == F.col("clusterb"), F.lit(False)))
             pairs = pairs.groupBy(F.col("ida").alias("a"), F.col("idb").alias("b")).agg(F.count("token").alias("both"), *[F.first(c).alias(c) for c in ("na", "nb", "pa", "pb", "lasta", "lastb")])
             rest = F.when(F.col("lasta") <= F.col("lastb"), F.col("na") - F.col("pa")).otherwise(F.col("nb") - F.col("pb"))
             pairs = pairs.where(F.col("both") + rest >= _needed(F.col("na"), F.col("nb"), percent)).select("a", "b")
@@ -199,7 +275,7 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         found = written(_links(_surviving(pairs, reps, percent), text, order, shingle, percent), "jaccard-links")
         links = found if links is None else links.union(found)
         checked = pairs if checked is None else checked.union(pairs)
-        if labels is None or found.limit(1).count():
+        if turn >= star_rounds or labels is None or found.limit(1).count():
             labels = components(links)
     classes = reps.select("digest", F.col("id")).join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     out = sets.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
