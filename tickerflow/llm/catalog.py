@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from ..session import ensure_checkpoint_dir, ship_package
 from . import op01_lm_score, op02_substrings, op03_jaccard, op04_toxicity, op05_shards, op06_decontaminate, op07_mixing, op08_main_text, op09_token_counts, op10_quality
 
@@ -20,6 +22,7 @@ _QUERIES = {
     "op8_main_text": op08_main_text.query,
     "op9_token_counts": op09_token_counts.query,
     "op10_quality": op10_quality.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from .tables import written
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, written=written) -> DataFrame:
     """(id, component) of every id in ``links`` (a, b); component is the smallest id that can be reached.
 
     Each round takes the smallest label among the neighbours and then the label of that label, until
-    nothing changes. Labels are written after each round. Sums per id combine before the
+    nothing changes. Labels are written after each round, by ``written``. Sums per id combine before the
     shuffle, so an id with very many links isn't gathered in one task.
     """
     both = written(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "links")

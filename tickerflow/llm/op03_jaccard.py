@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from .components import components
-from .tables import written
+from .tables import Scratch, written
 from .words import Block, SPACE_SPLIT, blocks
 
 SHINGLE, PERCENT = 4, 85
@@ -145,7 +145,7 @@ def _surviving(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return pairs.where(F.col("both") + F.least(rest("a"), rest("b")) >= _needed(F.col("na"), F.col("nb"), percent)).select("a", "b")
 
 
-def _whole_sets(ids: DataFrame, text: DataFrame, order, shingle: int, percent: int) -> DataFrame:
+def _whole_sets(ids: DataFrame, text: DataFrame, order, shingle: int, percent: int, written: Scratch) -> DataFrame:
     """(id, tokens) of the documents ``ids`` (doc_id)."""
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
@@ -190,7 +190,7 @@ def _block_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
-def _blocks(clusters: DataFrame, text: DataFrame, order, shingle: int, percent: int) -> DataFrame:
+def _blocks(clusters: DataFrame, text: DataFrame, order, shingle: int, percent: int, written: Scratch) -> DataFrame:
     """All links of different labels within the clusters (id, label, cluster).
 
     The rows of the product are the documents outside the largest class of their cluster, the columns all.
@@ -199,7 +199,7 @@ def _blocks(clusters: DataFrame, text: DataFrame, order, shingle: int, percent:
     d = clusters.join(main, "cluster").withColumn("out", F.col("label") != F.col("main"))
     outside = d.groupBy("cluster").agg(F.count_if("out").alias("m"))
     d = written(d.join(outside, "cluster").where("m > 0"), "jaccard-clusters")
-    d = d.join(_whole_sets(d.select(F.col("id").alias("doc_id")).distinct(), text, order, shingle, percent), "id")
+    d = d.join(_whole_sets(d.select(F.col("id").alias("doc_id")).distinct(), text, order, shingle, percent, written), "id")
     count = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
     own = lambda c: F.pmod(F.xxhash64("id"), count(c)).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), count(c) - 1))
@@ -212,10 +212,10 @@ def _blocks(clusters: DataFrame, text: DataFrame, order, shingle: int, percent:
     return x.unionByName(y).groupBy("cluster", "i", "j").applyInPandas(links, "a long, b long").distinct()
 
 
-def _links(pairs: DataFrame, text: DataFrame, order, shingle: int, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, text: DataFrame, order, shingle: int, percent: int, written: Scratch) -> DataFrame:
     """The pairs that are links by their whole sets."""
     pairs = written(pairs, "pairs")
-    sets = _whole_sets(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), text, order, shingle, percent)
+    sets = _whole_sets(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), text, order, shingle, percent, written)
     for side in "ba":
         pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("tokens").alias(f"t{side}")), side)
     both = F.size(F.array_intersect("ta", "tb"))
@@ -235,16 +235,17 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     """
     spark = docs.sparkSession
     ship_package(spark)
+    scratch = Scratch(spark)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     order = spark.sparkContext.broadcast(_order(text, shingle))
     rows = partial(_rows, shingle=shingle, percent=percent, order=order, whole=False)
-    sets = written(text.mapInArrow(rows, "doc_id long, n_shingles long, digest binary, prefix array<bigint>"), "jaccard-sets")
+    sets = scratch(text.mapInArrow(rows, "doc_id long, n_shingles long, digest binary, prefix array<bigint>"), "jaccard-sets")
     known = sets.where("doc_id is not null and n_shingles > 0")
-    reps = written(known.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix")), "jaccard-reps")
+    reps = scratch(known.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix")), "jaccard-reps")
     cells = reps.select("id", F.explode("prefix").alias("token"))
     shared = cells.groupBy("token").agg(F.count("id").alias("c")).where("c > 1")
     cells = cells.join(shared.hint("shuffle_hash"), "token")
-    cells = written(cells.join(reps.select("id", "n", F.size("prefix").alias("p"), F.element_at("prefix", -1).alias("last")), "id"), "jaccard-cells")
+    cells = scratch(cells.join(reps.select("id", "n", F.size("prefix").alias("p"), F.element_at("prefix", -1).alias("last")), "id"), "jaccard-cells")
 
     links, checked, labels = None, None, None
     for turn in range(star_rounds + 1):
@@ -259,10 +260,10 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         else:
             spokes = left.where(F.col("c") > LONG)
             spokes = spokes.join(spokes.groupBy("token").agg(F.min("id").alias("hub")), "token").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-            clusters = components(spokes).withColumnRenamed("component", "cluster")
+            clusters = components(spokes, scratch).withColumnRenamed("component", "cluster")
             known = labels if labels is not None else clusters.select("id", F.col("id").alias("component"))
-            in_blocks = _blocks(clusters.join(known, "id", "left").select("id", F.coalesce("component", "id").alias("label"), "cluster"), text, order, shingle, percent)
-            links = links.union(written(in_blocks, "jaccard-links")) if links is not None else written(in_blocks, "jaccard-links")
+            in_blocks = _blocks(clusters.join(known, "id", "left").select("id", F.coalesce("component", "id").alias("label"), "cluster"), text, order, shingle, percent, scratch)
+            links = links.union(scratch(in_blocks, "jaccard-links")) if links is not None else scratch(in_blocks, "jaccard-links")
             left = left.where(F.col("c") <= LONG).join(clusters, "id", "left")
             x, y = (left.select("token", *[F.col(c).alias(c + s) for c in ("id", "n", "p", "last", "label", "cluster")]) for s in "ab")
             pairs = x.join(y, "token").where((F.col("ida") < F.col("idb")) & (F.col("labela") != F.col("labelb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & ~F.coalesce(F.col("clustera") == F.col("clusterb"), F.lit(False)))
@@ -271,15 +272,17 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
             pairs = pairs.where(F.col("both") + rest >= _needed(F.col("na"), F.col("nb"), percent)).select("a", "b")
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = written(pairs, "jaccard-pairs")
-        found = written(_links(_surviving(pairs, reps, percent), text, order, shingle, percent), "jaccard-links")
+        pairs = scratch(pairs, "jaccard-pairs")
+        found = scratch(_links(_surviving(pairs, reps, percent), text, order, shingle, percent, scratch), "jaccard-links")
         links = found if links is None else links.union(found)
         checked = pairs if checked is None else checked.union(pairs)
         if turn >= star_rounds or labels is None or found.limit(1).count():
-            labels = components(links)
+            labels = components(links, scratch)
     classes = reps.select("digest", F.col("id")).join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     out = sets.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    out = written(out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")), "jaccard-classes")
+    scratch.clear()
+    return out
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -288,11 +291,14 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     Rows without words, and rows with a null id, all stay.
     """
     classes = jaccard_classes(docs, shingle, percent)
-    kept = classes.where("doc_id = component_id").groupBy("doc_id").agg((F.max("n_shingles") > 0).alias("_has"))
+    kept = classes.where("doc_id = component_id").groupBy("doc_id").agg((F.max("n_shingles") > 0).alias("_has"), F.count("doc_id").alias("_rows"))
+    if kept.count() <= BROADCAST_IDS:
+        kept = F.broadcast(kept)
     names = [f"_in{i}" if c not in ("doc_id", "text") else c for i, c in enumerate(docs.columns)]
     d = docs.toDF(*names)
     stay = d.join(kept, "doc_id")
-    once = stay.where("_has").dropDuplicates(["doc_id"]).unionByName(stay.where("not _has")).select(*names)
+    single = ~F.col("_has") | (F.col("_rows") == 1)  # the others are repeated ids only
+    once = stay.where(single).unionByName(stay.where(~single).dropDuplicates(["doc_id"])).select(*names)
     return once.unionByName(d.where("doc_id is null")).toDF(*docs.columns)
 
 

@@ -128,9 +128,11 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows are judged alike. Without labels only the base rules reject; an empty table gives none.
     """
     names = [f"_in{i}" if c in _OWN else c for i, c in enumerate(docs.columns)]
-    counted = written(features(docs.toDF(*names)), "quality")
-    limits = cutoffs(counted, labels).checkpoint()
-    return judge(counted, limits).where("kept").select(*names).toDF(*docs.columns)
+    docs_in = docs.toDF(*names)
+    limits = cutoffs(written(features(docs_in.select("doc_id", "lang", "text")).drop("text"), "quality"), labels).checkpoint()
+    # The texts aren't written: they are counted again here. The random column holds the filter above the counting.
+    judged = judge(features(docs_in).withColumn("_held", F.rand()), limits)
+    return judged.where(F.col("kept") & (F.col("_held") >= 0)).select(*names).toDF(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
