@@ -49,6 +49,6 @@ def test_query_matches_oracle(spark, duck, name):
     assert _digest(srows, scols) == _digest(drows, dcols)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(entry.catalog.QUERIES) - set(entry.oracle_sql())))
 def test_rows_only_queries_run(spark, name):
     assert entry.queries()[name](spark, SF).count() >= 0

@@ -104,3 +104,24 @@ def test_relations_document(spark):
     doc = {r["target"]: r for r in R.relations_document(R.related_counts(linked), targets).collect()}
     assert doc["BID"]["top_related"] == ["CTG", "VCB"] and doc["BID"]["stats"] == {"CTG": 2, "VCB": 1}
     assert doc["VNM"]["top_related"] == [] and doc["VNM"]["stats"] == {}
+
+
+def test_contained_names_equal_all_pairs(spark):
+    """The gram joins against every pair, on random names that often hold each other."""
+    import random
+
+    rng = random.Random(3)
+    parts = ["Tap doan ", "Viet Nam ", "Ngan hang ", "Vin", "group", "Bank ", "Co phan "]
+    name = lambda n: "".join(rng.choice(parts) for _ in range(n)).strip()
+    names = [(k, name(rng.randint(2, 5)), f"T{k % 7}") for k in range(150)]
+    pairs = list({(name(rng.randint(1, 6)), f"T{rng.randint(0, 7)}") for _ in range(200)})
+    want = {}
+    for e, t in pairs:
+        for k, n, x in names:
+            a, b = e.lower(), n.lower()
+            if len(e) >= 10 and len(n) >= 15 and x != t and (a in b or b in a):
+                want.setdefault((e, t), x)
+    rest = spark.createDataFrame(pairs, "entity string, target string").withColumn("_el", F.lower("entity"))
+    got = L.contained_names(rest, spark.createDataFrame(names, "ord long, name string, ticker string"))
+    assert {(r["entity"], r["target"]): r["ticker"] for r in got.collect()} == want and len(want) > 20
+    assert "NestedLoop" not in got._jdf.queryExecution().toString()

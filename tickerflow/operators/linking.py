@@ -7,6 +7,8 @@ W12, P18-P20, J2-J7, F18, A13. The cascade runs once per **distinct**
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -135,40 +137,32 @@ def token_sort_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 
 # ---------------------------------------------------------------- cascade J2-J6
 
-def _steps(pairs: DataFrame, names: DataFrame, aliases: DataFrame, threshold: int,
-           max_names: int = BROADCAST_ROWS):
-    """Per distinct (entity, target): each step's outcome. ``names`` = (ord, name, ticker).
+STEPS = ("alias", "exact", "substring", "fuzzy", "direct")
+GRAM = 10  # characters that two names must share at least for one to hold the other
+
+
+def _grams(c: Column) -> Column:
+    """The distinct runs of ``GRAM`` characters of a text."""
+    return F.when(F.length(c) >= GRAM, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.length(c) - (GRAM - 1)), lambda i: F.substr(c, i, F.lit(GRAM)))))
+
 
-    The alias list and the name dictionary are bounded by the listing; they are
-    broadcast behind a size check (``bounded_broadcast``). The containment step
-    is a non-equi join, so its long-name side is always shipped whole: above
-    ``max_names`` long names it is split in chunks whose winners merge exactly.
+def contained_names(rest: DataFrame, names: DataFrame) -> DataFrame:
+    """Containment between long names (J4): (entity, target, ticker) with the first
+    non-target name in map order that holds the entity or that the entity holds.
+
+    A text that holds another holds its first ``GRAM`` characters, so both directions are
+    equi-joins on one gram (all grams of the longer side against the first of the
+    shorter), verified with ``contains``; no pair without a shared gram is formed.
     """
-    p = pairs.select("entity", "target").distinct().withColumn("_el", F.lower(ustrip(F.col("entity"))))
-    # J2 alias: a hit ends the cascade whatever the ticker is.
-    al = aliases.select(F.col("alias").alias("_el"), F.col("ticker").alias("alias_ticker"), F.lit(True).alias("_ah"))
-    s = p.join(bounded_broadcast(al), "_el", "left").withColumn("_ah", F.coalesce("_ah", F.lit(False)))
-    # J3 exact lower-case name: first in map order; a hit ends the cascade.
-    ex = names.groupBy(F.lower("name").alias("_el")).agg(F.min_by("ticker", "ord").alias("exact_ticker"))
-    s = s.join(bounded_broadcast(ex), "_el", "left")
-    # J4 containment between long names: first non-target name in map order.
-    long_names = names.filter(F.length("name") >= SUBSTRING_MIN_NAME).select(
+    e = rest.filter((F.length("entity") >= SUBSTRING_MIN_ENTITY) & (F.length("_el") >= GRAM)).select("entity", "target", "_el")
+    n = names.filter(F.length("name") >= SUBSTRING_MIN_NAME).select(
         F.lower("name").alias("_nl"), F.col("ticker").alias("_nt"), F.col("ord").alias("_no"))
-    n_long = long_names.count()
-    chunks = max(1, -(-n_long // max_names))
-    longs = cpu_parallel(s.filter(F.length("entity") >= SUBSTRING_MIN_ENTITY).select("entity", "target", "_el"),
-                         "entity")
-    cands = None
-    for c in range(chunks):
-        part = long_names if chunks == 1 else long_names.filter(F.col("_no") % chunks == c)
-        cand = longs.join(
-            F.broadcast(part),
-            (F.col("_nt") != F.col("target")) & (F.contains(F.col("_el"), F.col("_nl")) | F.contains(F.col("_nl"), F.col("_el"))),
-        ).select("entity", "target", "_nt", "_no")
-        cands = cand if cands is None else cands.unionByName(cand)
-    sub = cands.groupBy("entity", "target").agg(F.min_by("_nt", "_no").alias("substring_ticker"))
-    s = s.join(sub, ["entity", "target"], "left")
-    return s
+    first, every = lambda c: F.substring(c, 1, GRAM).alias("_g"), lambda c: F.explode(_grams(F.col(c))).alias("_g")
+    holds = e.select("*", every("_el")).join(n.select("*", first("_nl")), "_g").filter(F.contains("_el", "_nl"))
+    held = e.select("*", first("_el")).join(n.select("*", every("_nl")), "_g").filter(F.contains("_nl", "_el"))
+    both = holds.unionByName(held).filter(F.col("_nt") != F.col("target"))
+    return both.groupBy("entity", "target").agg(F.min_by("_nt", "_no").alias("ticker"))
 
 
 def lcs_pairs(a_strs: list[str], b_strs: list[str], ai: "np.ndarray", bi: "np.ndarray") -> "np.ndarray":
@@ -302,30 +296,44 @@ def fuzzy_best(entities: DataFrame, names: DataFrame, threshold: int = FUZZY_THR
     return out.drop("_ord")
 
 
-def resolve(pairs: DataFrame, names: DataFrame, aliases: DataFrame, threshold: int = FUZZY_THRESHOLD) -> DataFrame:
+def resolve(pairs: DataFrame, names: DataFrame, aliases: DataFrame, threshold: int = FUZZY_THRESHOLD,
+            steps: tuple[str, ...] = STEPS) -> DataFrame:
     """``map_to_tickers`` for distinct (entity, target) pairs → (entity, target, step, ticker).
 
     Order: alias (ends), exact (ends), substring (ends), then fuzzy **and** direct
     ticker both apply. The target itself and unlisted aliases are dropped (P18, P19).
-    One pass: every pair carries the outcome of each step as a column, and a
-    single explode turns the applicable ones into rows (no union of re-derived
-    branches).
+    Each step takes the pairs that the steps before left over (checkpointed, so that neither they
+    nor the mentions are computed again) and only the wanted ``steps``, and those before
+    them, run. Aliases, names and tickers are bounded by the listing and broadcast behind a size check.
     """
-    s = _steps(pairs, names, aliases, threshold)
-    rest_cond = ~F.col("_ah") & F.col("exact_ticker").isNull() & F.col("substring_ticker").isNull()
-    fz = fuzzy_best(s.filter(rest_cond), names, threshold).select("entity", "fuzzy_ticker")
-    tickers = names.select(F.col("ticker").alias("_dt")).distinct()
-    s = s.join(fz, "entity", "left").join(bounded_broadcast(tickers), F.upper("entity") == F.col("_dt"), "left")
-    opts = F.array(
-        F.struct(F.lit("alias").alias("step"), F.when(F.col("_ah"), F.col("alias_ticker")).alias("ticker")),
-        F.struct(F.lit("exact").alias("step"), F.when(~F.col("_ah"), F.col("exact_ticker")).alias("ticker")),
-        F.struct(F.lit("substring").alias("step"),
-                 F.when(~F.col("_ah") & F.col("exact_ticker").isNull(), F.col("substring_ticker")).alias("ticker")),
-        F.struct(F.lit("fuzzy").alias("step"), F.when(rest_cond, F.col("fuzzy_ticker")).alias("ticker")),
-        F.struct(F.lit("direct").alias("step"), F.when(rest_cond, F.col("_dt")).alias("ticker")),
-    )
-    out = s.select("entity", "target", F.inline(opts))
-    return out.filter(F.col("ticker").isNotNull() & (F.col("ticker") != F.col("target")))
+    rest = pairs.select("entity", "target").distinct().withColumn("_el", F.lower(ustrip(F.col("entity"))))
+    last = max(STEPS.index(x) for x in steps)
+    found = []
+
+    def step(name: str, key: str, table: DataFrame, rest: DataFrame) -> DataFrame:
+        """``table``: (key, ticker), one row per key; a hit ends the cascade whatever its ticker is."""
+        t = table.select(F.col(key).alias("_k"), F.col("ticker"), F.lit(True).alias("_hit"))
+        out = rest.join(bounded_broadcast(t), F.col("_el") == F.col("_k"), "left").drop("_k").checkpoint()
+        found.append(out.filter("_hit").select("entity", "target", F.lit(name).alias("step"), "ticker"))
+        return out.filter(F.col("_hit").isNull()).drop("ticker", "_hit")
+
+    rest = step("alias", "alias", aliases.select("alias", "ticker"), rest)
+    if last >= STEPS.index("exact"):
+        exact = names.groupBy(F.lower("name").alias("_el")).agg(F.min_by("ticker", "ord").alias("ticker"))
+        rest = step("exact", "_el", exact, rest)
+    if last >= STEPS.index("substring"):
+        sub = contained_names(rest, names).checkpoint()
+        found.append(sub.select("entity", "target", F.lit("substring").alias("step"), "ticker"))
+        rest = rest.join(sub, ["entity", "target"], "left_anti")
+    if "fuzzy" in steps:
+        best = fuzzy_best(rest, names, threshold).select("entity", F.col("fuzzy_ticker").alias("ticker"))
+        found.append(rest.join(best, "entity").select("entity", "target", F.lit("fuzzy").alias("step"), "ticker"))
+    if "direct" in steps:
+        tickers = names.select("ticker").distinct()
+        found.append(rest.join(bounded_broadcast(tickers), F.upper("entity") == F.col("ticker")).select(
+            "entity", "target", F.lit("direct").alias("step"), "ticker"))
+    out = reduce(DataFrame.unionByName, found)
+    return out.filter(F.col("step").isin(*steps) & F.col("ticker").isNotNull() & (F.col("ticker") != F.col("target")))
 
 
 def related_per_article(mentions: DataFrame, resolved: DataFrame, doc: str = "article_id") -> DataFrame:

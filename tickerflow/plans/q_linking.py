@@ -252,7 +252,7 @@ def _dictionary(spark, sf_dir):
     return name_dictionary(spark, sf_dir).checkpoint()
 
 
-def _resolved_steps(spark, sf_dir):
+def _resolved_steps(spark, sf_dir, steps=L.STEPS):
     names = _dictionary(spark, sf_dir)
     aliases = derived_aliases(names)
     fixed = L.alias_frame(spark).join(aliases.select("alias"), "alias", "left_anti")
@@ -261,15 +261,15 @@ def _resolved_steps(spark, sf_dir):
     # shared checkpoint folder instead of tokenising every document per branch.
     mentions = L.spans(tokens(spark, sf_dir, accepted_only=True)).filter(L.valid_entity(F.col("entity"))).withColumn(
         "target", target_of("article_id")).checkpoint()
-    return L.resolve(mentions, names, aliases.unionByName(fixed)), mentions
+    return L.resolve(mentions, names, aliases.unionByName(fixed), steps=steps), mentions
 
 
 def _step_query(step: str, sql_body: str):
     @query(f"link_{step}", sql_finish(with_views(["names", "aliases"], sql_body, extra=_CASCADE_CTE),
                                       {"entity": "s", "target": "s", "ticker": "s"}))
     def run(spark, sf_dir):
-        res, _ = _resolved_steps(spark, sf_dir)
-        return res.filter(F.col("step") == step).select("entity", "target", "ticker")
+        res, _ = _resolved_steps(spark, sf_dir, (step,))
+        return res.select("entity", "target", "ticker")
 
     run.__doc__ = f"Distinct (entity, target) pairs resolved by the {step} step."
     return run
@@ -288,8 +288,8 @@ for _step, _body in [
 def link_fuzzy(spark, sf_dir):
     """Fuzzy step (J5, F18): best token-sort-ratio name >= 90 per remaining entity.
     No SQL oracle (LCS is not a DuckDB function); brute force is checked in tests."""
-    res, _ = _resolved_steps(spark, sf_dir)
-    return res.filter(F.col("step") == "fuzzy").select("entity", "target", "ticker")
+    res, _ = _resolved_steps(spark, sf_dir, ("fuzzy",))
+    return res.select("entity", "target", "ticker")
 
 
 @query("link_cascade")
