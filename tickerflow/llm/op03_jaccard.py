@@ -178,7 +178,7 @@ def _product(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
 
 
 def _block_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Links of different labels between the rows (left) and columns of one block."""
+    """Links between the rows (left) and columns of one block: one for each row and class of another label that it links with."""
     x, y = rows[rows["left"]], rows[~rows["left"]]
     if not len(x) or not len(y):
         return pd.DataFrame({"a": [], "b": []}).astype("int64")
@@ -186,12 +186,15 @@ def _block_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     sizes = x["tokens"].map(len).to_numpy()[:, None] + y["tokens"].map(len).to_numpy()[None, :]
     link = (100 * both >= percent * (sizes - both)) & (x["label"].to_numpy()[:, None] != y["label"].to_numpy()[None, :])
     i, j = np.nonzero(link)
+    # one link of each row to each class is enough to join them
+    _, first = np.unique(np.stack([i, y["label"].to_numpy()[j]]), axis=1, return_index=True)
+    i, j = i[first], j[first]
     a, b = x["id"].to_numpy()[i], y["id"].to_numpy()[j]
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
 def _blocks(clusters: DataFrame, text: DataFrame, order, shingle: int, percent: int, written: Scratch) -> DataFrame:
-    """All links of different labels within the clusters (id, label, cluster).
+    """Links that join all classes with links between them within the clusters (id, label, cluster).
 
     The rows of the product are the documents outside the largest class of their cluster, the columns all.
     """
