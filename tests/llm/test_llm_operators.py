@@ -214,6 +214,17 @@ def test_jaccard_keeps_one(docs, rows, none):
     assert op3.one_of_each(none).count() == 0 and op3.jaccard_classes(none).count() == 0
 
 
+def test_most_frequent(spark):
+    from tickerflow.llm.tables import most_frequent
+
+    counts = spark.range(400).selectExpr("id as word", "case when id < 20 then 5000 + id * id * 100 else 1 + id % 40 end as n")
+    for limit in (0, 7, 60, 1000):
+        got = sorted((r.n for r in most_frequent(counts, limit).collect()), reverse=True)
+        every = sorted((r.n for r in counts.collect()), reverse=True)
+        assert len(got) <= limit and got == every[: len(got)]
+        assert limit < 60 or len(got) > limit - 20 or len(got) == 400
+
+
 def test_components(spark):
     links = [(5, 4), (4, 3), (3, 2), (9, 8), (2, 1), (7, 7), (20, 10)] + [(30, k) for k in range(31, 60)]
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from .components import components
-from .tables import Scratch, written
+from .tables import Scratch, most_frequent, written
 from .words import Block, SPACE_SPLIT, blocks
 
 SHINGLE, PERCENT = 4, 85
@@ -118,10 +118,11 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int64)))
 
 
-def _order(text: DataFrame, shingle: int):
+def _order(text: DataFrame, shingle: int, written: Scratch):
     """The frequent shingles (sorted) and their numbers."""
     counts = text.mapInArrow(partial(_count, shingle=shingle), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    rows = counts.where(F.col("n") >= HOT_DF).orderBy(F.desc("n"), "token").limit(HOT_MAX).toPandas()
+    rows = most_frequent(written(counts.where(F.col("n") >= HOT_DF), "frequent"), HOT_MAX).toPandas()
+    rows = rows.sort_values(["n", "token"], ascending=[False, True])
     token = rows["token"].to_numpy(np.int64)
     code = np.int64(2**63 - 1) - np.arange(len(token), dtype=np.int64)
     by = np.argsort(token)
@@ -240,7 +241,7 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     ship_package(spark)
     scratch = Scratch(spark)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    order = spark.sparkContext.broadcast(_order(text, shingle))
+    order = spark.sparkContext.broadcast(_order(text, shingle, scratch))
     rows = partial(_rows, shingle=shingle, percent=percent, order=order, whole=False)
     sets = scratch(text.mapInArrow(rows, "doc_id long, n_shingles long, digest binary, prefix array<bigint>"), "jaccard-sets")
     known = sets.where("doc_id is not null and n_shingles > 0")

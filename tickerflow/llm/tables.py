@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
@@ -15,6 +16,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def most_frequent(counts: DataFrame, limit: int) -> DataFrame:
+    """The rows of ``counts`` with the greatest ``n``, ``limit`` at most, without sorting them.
+
+    Counts fall into buckets (of one value up to 1024, of 1 % beyond); the buckets that fit are taken from
+    the top. The driver only sees the sizes of some thousand buckets.
+    """
+    bucket = F.when(F.col("n") <= 1024, F.col("n")).otherwise(1024 + F.floor(F.log2(F.col("n") / 1024.0) * 64)).cast("long")
+    total, least = 0, None
+    for r in sorted(counts.groupBy(bucket.alias("b")).agg(F.count("n").alias("c")).collect(), reverse=True):
+        total += r["c"]
+        if total > limit:
+            break
+        least = r["b"]
+    return counts.where(bucket >= least) if least is not None else counts.limit(0)
+
+
 class Scratch:
     """Intermediate tables of one operator, which ``clear`` deletes once nothing reads them any more."""
 
