@@ -84,6 +84,18 @@ def test_pipeline_by_brute_force(spark, folder):
     assert max(sum(r.size for r in x) for x in shards.values()) == _least_capacity([groups[k] for k in sorted(groups)], 24)
 
 
+def test_near_copies_between_the_limits(spark):
+    """Two of 100 words replaced: 86 of 106 five-word shingles shared (a near copy), 89 of 105 four-word ones (0.848)."""
+    words = [f"w{k}" for k in range(100)]
+    two, three = list(words), list(words)
+    for k in (30, 70):
+        two[k] = f"x{k}"
+    for k in (20, 50, 80):  # 81 of 111: none
+        three[k] = f"y{k}"
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate((words, two, three))], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [0, 2]
+
+
 def test_stages_keep_the_columns(spark, folder):
     path, _ = folder
     docs = spark.read.parquet(f"{path}/documents.parquet")
