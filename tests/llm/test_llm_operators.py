@@ -102,6 +102,17 @@ def test_lm_empty_and_unlearned(none, spark):
     assert sorted((r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got) == [(1, 0, 0, 0.0), (3, 0, 0, 0.0)]
 
 
+def test_lm_learns_every_token_of_every_training_document():
+    from tickerflow.llm import gru
+
+    assert [k for low, high in op1.ROUNDS for k in range(low, high)] == list(range(24))  # each document in one round
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 15, 16, 17, 1000, 128 * 64 + 1, 128 * 79 + 127):
+        trainer = gru.Trainer(gru.new_weights(30, np.zeros(7), np.zeros((4, gru.PLACES))), 0.01)
+        trainer.learn(rng.integers(1, 30, n), rng.integers(0, 7, n), rng.integers(0, gru.PLACES, n), 0)
+        assert trainer.tokens == n and math.isfinite(trainer.loss)
+
+
 def test_gradients_and_carried_state():
     from tickerflow.llm import gru
 
