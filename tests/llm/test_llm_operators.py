@@ -255,6 +255,23 @@ def _distance(a, b):
     return row[-1]
 
 
+def test_toxic_lexicon_keeps_every_term(spark, monkeypatch):
+    names = [f"q{k:03d}" for k in range(230)]
+    rows = [(" ".join(names), 1)] * 8 + [("plain words", 0)] * 40
+    lexicon = op4.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    terms = [(n, 9.0 - k / 100, False) for k, n in enumerate(["moron", "idiot", "maron", "abc", "idiom"])]
+    words = ["moron", "meron", "idiot", "idiod", "abc", "abd", "maron", "x"]
+    points = np.frombuffer(" ".join(words).encode("utf-32-le"), np.uint32)
+    starts = np.cumsum([0] + [len(w) + 1 for w in words])[:-1]
+    ends = starts + [len(w) for w in words]
+    whole = op4.Automaton(terms).match(points, starts, ends)
+    monkeypatch.setattr(op4, "PART_TERMS", 2)
+    assert all((a == b).all() for a, b in zip(whole, op4.Automaton(terms).match(points, starts, ends)))
+    points = np.frombuffer(" ".join(names).encode("utf-32-le"), np.uint32)
+    starts = np.arange(230) * 5
+    assert lexicon.match(points, starts, starts + 4)[1].all()
+
+
 def test_levenshtein_automaton():
     automaton = op4.Automaton([("moron", 5.0, False), ("idiot", 4.0, False), ("abc", 3.0, False), ("lowei", 6.0, True)])
     rng, words = random.Random(1), ["moron", "idiot", "abc", "abd", "loweix", "lowe", "möron"]

@@ -29,7 +29,9 @@ from .words import text_buffers
 FOLDS, HELD_OUT = 5, 0
 #: Labelled rows to learn from, about this many of each label (hash of the id; all if there are fewer).
 SAMPLE = {1: 20_000, 0: 40_000}
-MAX_TERMS, MIN_ROWS, MIN_ODDS = 200, 5, 3.0
+MIN_ROWS, MIN_ODDS = 5, 3.0
+#: Terms of one automaton; a larger lexicon is matched part by part.
+PART_TERMS = 200
 #: Words within distance one of a term that are ordinary words (two clean rows have them), the most frequent ones.
 MAX_ORDINARY = 50_000
 STEMS, MIN_STEM_WORDS = (4, 5, 6), 5
@@ -57,15 +59,13 @@ _WORD = np.zeros(0x80, bool)
 _WORD[0x30:0x3A] = _WORD[0x61:0x7B] = _WORD[[0x24, 0x40]] = True  # digits, letters, and $ and @ as letters are misspelled with them
 
 
-class Automaton:
-    """The lexicon's trie within edit distance one, as a table; words are code points.
+class _Part:
+    """The trie of some terms within edit distance one, as a table; words are code points.
 
     Terms: (text, odds, is a stem). A word matches a term within one insertion, deletion or
     substitution of a letter (or exactly, for short terms), a stem if it begins with it.
     """
 
-    ordinary: frozenset[str] = frozenset()  # words that only look like misspelled terms
-
     def __init__(self, terms: list[tuple[str, float, bool]]):
         self.odds = np.array([0.0] + [o for _, o, _ in terms])
         children: list[dict[str, int]] = [{}]
@@ -141,7 +141,7 @@ class Automaton:
         self.exact, self.near = np.array(self.exact, np.int32), np.array(self.near, np.int32)
 
     def match(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The strongest term (0: none) that each word matches, and whether it does exactly."""
+        """The strongest terms (0: none) that each word matches exactly, and with an edit."""
         states = np.zeros(len(starts), np.int32)
         alive, state, at = np.arange(len(starts)), np.ones(len(starts), np.int32), starts.copy()
         while len(alive):
@@ -152,7 +152,26 @@ class Automaton:
             states[alive[done]] = state[done]
             go = ~done & (state > 0)
             alive, state, at = alive[go], state[go], at[go]
-        exact, near = self.exact[states], self.near[states]
+        return self.exact[states], self.near[states]
+
+
+class Automaton:
+    """All terms (text, odds, is a stem), PART_TERMS in each part."""
+
+    ordinary: frozenset[str] = frozenset()  # words that only look like misspelled terms
+
+    def __init__(self, terms: list[tuple[str, float, bool]]):
+        self.odds = np.array([0.0] + [o for _, o, _ in terms])
+        self.parts = [(low, _Part(terms[low : low + PART_TERMS])) for low in range(0, len(terms), PART_TERMS)]
+
+    def match(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The strongest term (0: none) that each word matches, and whether it does exactly."""
+        exact, near = np.zeros(len(starts), np.int32), np.zeros(len(starts), np.int32)
+        for low, part in self.parts:
+            for best, own in zip((exact, near), part.match(points, starts, ends)):
+                own = np.where(own > 0, own + low, 0)
+                better = (own > 0) & ((best == 0) | (self.odds[own] > self.odds[best]))
+                best[better] = own[better]
         return np.where(exact > 0, exact, near), exact > 0
 
 
@@ -221,7 +240,7 @@ def _near(batches, shared):
 
 
 def learn_lexicon(rows: DataFrame) -> Automaton:
-    """The automaton of the terms (MAX_TERMS at most) that rows (text, toxic) teach, with the ordinary words near them."""
+    """The automaton of all terms that rows (text, toxic) teach, with the ordinary words near them."""
     total = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("toxic").alias("n")).collect()}
     if not total.get(1) or not total.get(0):
         return Automaton([])
@@ -229,7 +248,7 @@ def learn_lexicon(rows: DataFrame) -> Automaton:
     counts = rows.select("toxic", F.explode(words).alias("term")).groupBy("term").agg(F.sum("toxic").cast("long").alias("bad"), F.sum(1 - F.col("toxic")).cast("long").alias("fine"))
     counts = written(counts.where("bad > 0 or fine > 1"), "toxic-words")
     odds = F.log((F.col("bad") + 0.5) / (total[1] + 1.0)) - F.log((F.col("fine") + 0.5) / (total[0] + 1.0))
-    strong = lambda t, extra="true": t.withColumn("odds", odds).where((F.col("odds") >= MIN_ODDS) & (F.col("bad") >= MIN_ROWS)).where(extra).orderBy(F.desc("odds"), "term").limit(MAX_TERMS).collect()
+    strong = lambda t, extra="true": t.withColumn("odds", odds).where((F.col("odds") >= MIN_ODDS) & (F.col("bad") >= MIN_ROWS)).where(extra).orderBy(F.desc("odds"), "term").collect()
     stems: list[tuple[str, float, bool]] = []
     begun = counts.select("bad", "fine", F.explode(F.array(*[F.substring("term", 1, n) for n in STEMS])).alias("stem"), F.col("term").alias("word")).where("length(word) > length(stem)")
     begun = begun.groupBy(F.col("stem").alias("term")).agg(F.sum("bad").alias("bad"), F.sum("fine").alias("fine"), F.count_if(F.col("bad") >= 2).alias("words"))
@@ -237,7 +256,7 @@ def learn_lexicon(rows: DataFrame) -> Automaton:
         if not any(r["term"].startswith(s) for s, _, _ in stems):
             stems.append((r["term"], float(r["odds"]), True))
     terms = [(r["term"], float(r["odds"]), False) for r in strong(counts) if not any(r["term"].startswith(s) for s, _, _ in stems)]
-    automaton = Automaton((stems + terms)[:MAX_TERMS])
+    automaton = Automaton(stems + terms)
     shared = rows.sparkSession.sparkContext.broadcast(automaton)
     near = counts.where("fine > 1").select("term", "fine").mapInArrow(partial(_near, shared=shared), "term string, fine long")
     automaton.ordinary = frozenset(r["term"] for r in near.orderBy(F.desc("fine"), "term").limit(MAX_ORDINARY).collect())
