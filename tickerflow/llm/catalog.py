@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 
 from ..session import ensure_checkpoint_dir, ship_package
-from . import op01_lm_score, op02_substrings, op03_jaccard, op04_toxicity, op05_shards, op06_decontaminate, op07_mixing, op08_main_text, op09_token_counts, op10_quality
+from . import op01_lm_score, op02_substrings, op03_jaccard, op04_toxicity, op05_shards, op06_decontaminate, op07_mixing, op08_main_text, op09_token_counts, op10_quality, op11_codes, op12_minhash, op13_manifest
 
 _QUERIES = {
     "op1_lm_score": op01_lm_score.query,
@@ -22,6 +22,9 @@ _QUERIES = {
     "op8_main_text": op08_main_text.query,
     "op9_token_counts": op09_token_counts.query,
     "op10_quality": op10_quality.query,
+    "op11_codes": op11_codes.query,
+    "op12_minhash": op12_minhash.query,
+    "op13_manifest": op13_manifest.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -41,4 +44,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": op07_mixing.SQL, "op10_quality": op10_quality.SQL}
+    return {
+        "op7_mixing": op07_mixing.SQL,
+        "op10_quality": op10_quality.SQL,
+        "op11_codes": op11_codes.SQL,
+        "op12_minhash": op12_minhash.SQL,
+        "op13_manifest": op13_manifest.SQL,
+    }
