@@ -41,4 +41,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so their queries register."""
-    from . import q_alphas, q_articles, q_features, q_io, q_linking, q_pages  # noqa: F401
+    from . import q_alphas, q_articles, q_features, q_io, q_linking, q_pages, q_sources  # noqa: F401
