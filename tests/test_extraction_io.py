@@ -21,10 +21,10 @@ def _fold(items, start_year=2022):
     return kept
 
 
-def _run(spark, items, pages):
+def _run(spark, items, pages, max_run=1000):
     df = spark.createDataFrame([("T", "k", "S", p, pos, u, y) for p, pos, u, y in items],
                                "ticker string, keyword string, source string, page int, pos int, url string, year int")
-    return sorted((r["page"], r["pos"], r["url"]) for r in X.stop_at_old(df, pages, checkpoint_every=2).collect())
+    return sorted((r["page"], r["pos"], r["url"]) for r in X.stop_at_old(df, pages, checkpoint_every=2, max_run=max_run).collect())
 
 
 def test_stop_at_old_fixtures(spark):
@@ -43,6 +43,18 @@ def test_stop_at_old_random_vs_fold(spark):
         for pos in range(8):
             items.append((p, pos, f"u{random.randint(0, 12)}", random.choice([2024, 2023, 2015, None])))
     assert _run(spark, items, [1, 2, 3, 4, 5]) == sorted(_fold(items))
+    assert _run(spark, items, [1, 2, 3, 4, 5], max_run=10) == sorted(_fold(items))  # too large for one task
+
+
+def test_stop_at_old_many_runs(spark):
+    """Runs of several sizes in one pass, some of them too large for it; items without a page are left out."""
+    rng = random.Random(5)
+    rows = [(f"T{t}", p, pos, f"u{rng.randint(0, 30)}", rng.choice([2024, 2023, 2015, None])) for t in range(40) for p in range(4) for pos in range(t % 13)]
+    df = spark.createDataFrame([(t, "k", "S", p, pos, u, y) for t, p, pos, u, y in rows] + [("T1", "k", "S", None, 0, "u", 2024)],
+                               "ticker string, keyword string, source string, page int, pos int, url string, year int")
+    expected = sorted((f"T{t}", *r) for t in range(40) for r in _fold([x[1:] for x in rows if x[0] == f"T{t}"]))
+    got = sorted((r["ticker"], r["page"], r["pos"], r["url"]) for r in X.stop_at_old(df.repartition(3), max_run=30).collect())
+    assert got == expected
 
 
 def test_frontier_page_ranges(spark):

@@ -1,8 +1,8 @@
 """Formulaic alphas per ticker (pipeline stage 11, SURVEY §2.9).
 
-The reference evaluates formula text with ``eval``; here each formula is a
-``Column`` expression in a registry. Over the multi-ticker table every alpha is
-one ``CASE ticker WHEN ... END`` so all tickers run in a single projection.
+The reference evaluates formula text with ``eval``; here ``formulas`` compiles the text to a
+``Column``. Over the multi-ticker table every alpha is one ``CASE ticker WHEN ... END``, so all
+tickers run in a single projection. The registry also holds each shipped formula as SQL, which only the oracles use.
 Rules kept from the reference:
   * a formula whose inputs are missing (no sentiment for that ticker, or the
     column is absent) yields 0.0 for the whole column;
@@ -12,12 +12,12 @@ Rules kept from the reference:
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import SENTIMENT_COLUMNS
+from .formulas import with_formulas
 
 c = F.col
 
@@ -31,9 +31,6 @@ class Formula:
     inputs: tuple[str, ...]
     sql: str
 
-    def build(self) -> Column:
-        return F.expr(self.sql)
-
 
 def _f(text, inputs, sql):
     return Formula(text, tuple(inputs), sql)
@@ -117,27 +114,6 @@ def formula_table(spark):
     return spark.createDataFrame(rows, "ticker string, formulas map<string,string>")
 
 
-def alpha_sql(df_columns: list[str], name: str, registry: dict[str, dict[str, Formula]], key: str = "ticker",
-              availability: bool = False) -> str:
-    """One ``CASE key WHEN ...`` SQL expression for an alpha over all tickers.
-
-    A formula whose inputs are not all columns gives 0.0; with ``availability``,
-    a formula reading sentiment gives 0.0 for tickers without sentiment."""
-    cases = []
-    for ticker, fs in registry.items():
-        f = fs.get(name)
-        if f is None:
-            continue
-        if any(i not in df_columns for i in f.inputs):
-            value = "0.0"
-        else:
-            value = f"CAST({f.sql} AS DOUBLE)"
-            if availability and any(i in SENTIMENT_COLUMNS for i in f.inputs):
-                value = f"CASE WHEN sentiment_available THEN {value} ELSE 0.0 END"
-        cases.append(f"WHEN {key} = '{ticker}' THEN {value}")
-    return f"CASE {' '.join(cases)} END" if cases else "0.0"
-
-
 def drop_non_finite(df: DataFrame, key: str = "ticker") -> DataFrame:
     """Drop rows with ±inf, NaN or NULL in a double column (P12: inf → NaN, then dropna).
 
@@ -158,12 +134,11 @@ def drop_non_finite(df: DataFrame, key: str = "ticker") -> DataFrame:
     return df.filter(F.expr(" AND ".join(parts))) if parts else df
 
 
-def apply_alphas(features: DataFrame, registry: dict[str, dict[str, Formula]] | None = None,
-                 key: str = "ticker") -> DataFrame:
-    """Add alpha_1..alpha_5 for every ticker in ``registry``; others are left out."""
-    registry = registry or FORMULAS
-    df = features.filter(c(key).isin(list(registry)))
-    avail = "sentiment_available" in df.columns
-    exprs = [f"{alpha_sql(df.columns, n, registry, key, avail)} AS {n}" for n in ALPHA_NAMES]
-    df = df.selectExpr("*", *exprs)
-    return drop_non_finite(df, key)
+def apply_alphas(features: DataFrame, registry: dict[str, dict[str, Formula]] | None = None, key: str = "ticker",
+                 texts: dict[str, dict[str, str]] | None = None) -> DataFrame:
+    """Add alpha_1..alpha_5 for every ticker of ``texts`` (ticker → name → formula text; else those of ``registry``); others are left
+    out. The texts are compiled (``formulas``); the registry's SQL forms are not used here."""
+    texts = texts or {t: {n: f.text for n, f in fs.items()} for t, fs in (registry or FORMULAS).items()}
+    df = features.filter(c(key).isin(list(texts)))
+    flags = {x: "sentiment_available" for x in SENTIMENT_COLUMNS} if "sentiment_available" in df.columns else None
+    return drop_non_finite(with_formulas(df, texts, ALPHA_NAMES, key, available=flags), key)

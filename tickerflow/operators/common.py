@@ -37,6 +37,16 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     return df.repartition(want, key) if key else df.repartition(want)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared checkpoint folder as Parquet and read again: computed once (a checkpoint runs its
+    plan twice), kept if executors are lost, and with its size known to the planner."""
+    from ..session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # Row bound under which a derived dimension table (a name dictionary, an alias
 # list) is shipped whole to every task.
 BROADCAST_ROWS = 1_000_000

@@ -7,6 +7,9 @@ per source) that is broadcast; everything else is ordinary DataFrame work.
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,14 +18,14 @@ from ..functions.text import ustrip
 # The seven news sources — search URL template, first page, whether the
 # page range is capped at 5, site host, listing carries a date, title required.
 SOURCES = [
-    # name,        template,                                                         first, cap5, host,                           listing_date, title_required
+    # name, template ({keyword} as it is, {parameter} encoded as a form parameter), first, cap5, host, listing_date, title_required
     ("VnExpress", "https://timkiem.vnexpress.net/?q={keyword}&page={page}", 1, True, "https://vnexpress.net", True, True),
     ("ThanhNien", "https://thanhnien.vn/timelinesearch/{keyword}/{page}.htm?sort=0", 1, False, "https://thanhnien.vn", True, False),
-    ("VnEconomy", "https://vneconomy.vn/tim-kiem.html?Text={keyword}&page={page}", 1, False, "https://vneconomy.vn", False, False),
+    ("VnEconomy", "https://vneconomy.vn/tim-kiem.html?Text={parameter}&page={page}", 1, False, "https://vneconomy.vn", False, False),
     ("Vietnamnet", "https://vietnamnet.vn/tim-kiem-p{page}?q={keyword}&od=2", 0, False, "https://vietnamnet.vn", False, False),
     ("CafeF", "https://cafef.vn/tim-kiem.chn?keywords={keyword}&page={page}", 1, False, "https://cafef.vn", False, False),
-    ("Vietstock", "https://finance.vietstock.vn/View/PagingNewsContent?code={keyword}&page={page}", 1, False, "https://finance.vietstock.vn", True, False),
-    ("FireAnt", "https://restv2.fireant.vn/posts?symbol={keyword}&type=1&limit=20&offset={offset}", 0, False, "https://fireant.vn", True, True),
+    ("Vietstock", "https://finance.vietstock.vn/View/PagingNewsContent", 1, False, "https://finance.vietstock.vn", True, False),
+    ("FireAnt", "https://restv2.fireant.vn/posts?symbol={parameter}&type=1&limit=20&offset={offset}", 0, False, "https://fireant.vn", True, True),
 ]
 PAGE_CAP = 5
 PAGE_ITEMS = 20  # items of a page where the search takes an offset
@@ -59,10 +62,21 @@ def crawl_frontier(keywords: DataFrame, max_pages: int, sources=None) -> DataFra
         "page", F.explode(F.sequence(F.col("first_page"), F.col("first_page") + F.col("n") - 1)))
     url = F.replace(F.replace(F.col("template"), F.lit("{keyword}"), F.col("keyword")),
                     F.lit("{page}"), F.col("page").cast("string"))
-    url = F.replace(url, F.lit("{offset}"), (F.col("page") * PAGE_ITEMS).cast("string"))
+    url = F.replace(F.replace(url, F.lit("{offset}"), (F.col("page") * PAGE_ITEMS).cast("string")), F.lit("{parameter}"), F.url_encode("keyword"))
     return tasks.select("ticker", "keyword", "source", "page", url.alias("url"))
 
 
+def vietstock_form(tasks: DataFrame, run_date: Column | str, token: Column | str = "", start_year: int = START_YEAR) -> DataFrame:
+    """``tasks`` (keyword, page) with the fields that Vietstock's search takes as a POST body, as ``form`` (map of texts).
+
+    ``token`` is the verification token of the site's page for the keyword."""
+    as_column = lambda v: F.lit(v) if isinstance(v, str) else v
+    fields = {"view": F.lit("1"), "code": F.col("keyword"), "type": F.lit("1"), "fromDate": F.lit(f"01/01/{start_year}"),
+              "toDate": F.date_format(as_column(run_date).cast("date"), "dd/MM/yyyy"), "channelID": F.lit("-1"), "page": F.col("page").cast("string"),
+              "pageSize": F.lit("20"), "__RequestVerificationToken": as_column(token)}
+    return tasks.withColumn("form", F.create_map(*[x for k, v in fields.items() for x in (F.lit(k), v)]))
+
+
 # ---------------------------------------------------------------- X3, X4
 
 def absolutize(href: Column, host: Column, scheme_relative: bool = True) -> Column:
@@ -133,30 +147,80 @@ def first_seen(items: DataFrame, keys=("ticker", "keyword", "source")) -> DataFr
         (F.col("page") == F.col("_f.page")) & (F.col("pos") == F.col("_f.pos"))).drop("_f")
 
 
+def _walked(batches, keys: int, start_year: int):
+    """The walk over rows (keys, page, pos, url, year) sorted by keys, page and pos: one page is held at a time, and of a run
+    the URLs that were marked."""
+    run, page, held, seen = None, None, [], set()
+
+    def ended():
+        fresh = {}
+        for r in held:
+            if r[-2] not in seen:
+                fresh.setdefault(r[-2], r)
+        stop = min((r[-3] for r in fresh.values() if r[-1] is not None and r[-1] < start_year), default=None)
+        seen.update(r[-2] for r in held if stop is None or r[-3] <= stop)
+        held.clear()
+        return [r for r in fresh.values() if stop is None or r[-3] < stop]
+
+    def arrow(rows, schema):
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    for batch in batches:
+        schema, out = batch.schema, []
+        for r in zip(*[c.to_pylist() for c in batch.columns]):
+            if held and (r[:keys] != run or r[keys] != page):
+                out += ended()
+            if r[:keys] != run:
+                seen.clear()
+            run, page = r[:keys], r[keys]
+            held.append(r)
+        if out:
+            yield arrow(out, schema)
+    if held and (out := ended()):
+        yield arrow(out, schema)
+
+
 def stop_at_old(items: DataFrame, pages: list[int] | None = None, start_year: int = START_YEAR,
-                keys=("ticker", "keyword", "source"), checkpoint_every: int = 4) -> DataFrame:
+                keys=("ticker", "keyword", "source"), checkpoint_every: int = 4, max_run: int = 1_000_000) -> DataFrame:
     """Seen-URL filter fused with stop-at-first-old-item (X5 + X6).
 
     Walking each page in ``pos`` order: a URL seen before (on an earlier page, or
     earlier on this page) is skipped; otherwise it is marked seen and, if its
     listing year < ``start_year``, the rest of the page is dropped (and not marked).
 
+    One exchange brings the items of a run together, sorted by page and position, and one pass carries
+    the marked URLs along. Runs of more than ``max_run`` items (counted first, map-side) don't
+    fit one task: they go page by page in set-at-a-time steps, with the same result. ``pages`` restricts
+    the walk to these pages; items without a page are left out.
+    """
+    from ..session import ship_package
+
+    ship_package(items.sparkSession)
+    k = list(keys)
+    items = items.select(*k, "page", "pos", "url", "year").where(F.col("page").isNotNull() if pages is None else F.col("page").isin(pages))
+    large = items.groupBy(*k).count().where(F.col("count") > max_run).select(*k)
+    some = large.limit(1).count() > 0
+    runs = items.join(large, k, "left_anti") if some else items
+    runs = runs.repartition(*k).sortWithinPartitions(*k, "page", "pos", "url")
+    out = runs.mapInArrow(partial(_walked, keys=len(k), start_year=start_year), runs.schema)
+    return out.unionByName(_stop_by_steps(items.join(large, k, "left_semi"), start_year, k, checkpoint_every)) if some else out
+
+
+def _stop_by_steps(items: DataFrame, start_year: int, k: list[str], checkpoint_every: int) -> DataFrame:
+    """The walk for runs of any size, one set-at-a-time step for each page.
+
     Only the first occurrence of a URL on a page matters, so the items are first reduced to
     one row per (run, page, url), which combines map-side, and checkpointed. Pages
-    (``pages``, or all that occur) are then processed in order, one set-at-a-time step per page (their
+    are then processed in order (their
     count is the crawl parameter, not the data size): fresh = not seen on earlier pages (left
     anti join); the stop position = ``min(pos)`` over fresh old items per run, one row per
     run (AQE broadcasts it when its measured size is small); kept = fresh before the
     stop; marked = every item up to and including the stop. The seen set is
     checkpointed every ``checkpoint_every`` pages, which bounds the lineage.
     """
-    k = list(keys)
     base = items.groupBy(*k, "page", "url").agg(F.min(F.struct("pos", "year")).alias("_f")).select(
         *k, "page", F.col("_f.pos").alias("pos"), "url", F.col("_f.year").alias("year")).checkpoint()
-    if pages is None:
-        pages = sorted(r[0] for r in base.select("page").distinct().collect() if r[0] is not None)
-    if not pages:
-        return base
+    pages = sorted(r[0] for r in base.select("page").distinct().collect())
     seen = None
     kept = []
     for i, p in enumerate(pages):
@@ -172,10 +236,7 @@ def stop_at_old(items: DataFrame, pages: list[int] | None = None, start_year: in
         seen = marks.distinct() if seen is None else seen.unionByName(marks).distinct()
         if checkpoint_every and (i + 1) % checkpoint_every == 0 and i + 1 < len(pages):
             seen = seen.checkpoint()
-    out = kept[0]
-    for x in kept[1:]:
-        out = out.unionByName(x)
-    return out
+    return reduce(DataFrame.unionByName, kept)
 
 
 def detail_year_filter(df: DataFrame, start_year: int = START_YEAR, col: str = "date") -> DataFrame:

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import WS_RUN_RE, ustrip
-from .common import BROADCAST_ROWS, bounded_broadcast, cpu_parallel
+from .common import bounded_broadcast, stored
+from .similarity import lcs_lengths, similar, token_sorted
 
 # NER tags accepted into a span.
 ACCEPTED_TAGS = ["B-ORG", "I-ORG", "B-LOC", "I-LOC", "B-PER", "I-PER"]
@@ -100,39 +101,25 @@ def valid_entity(e: Column) -> Column:
 
 # ---------------------------------------------------------------- F18 token-sort ratio
 
-def _lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, bit-parallel over ``b``
-    (one big-integer add/or/and per character of ``a``)."""
-    if not a or not b:
-        return 0
-    masks: dict[str, int] = {}
-    for i, ch in enumerate(b):
-        masks[ch] = masks.get(ch, 0) | (1 << i)
-    full = (1 << len(b)) - 1
-    v = full
-    for ch in a:
-        u = v & masks.get(ch, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(b) - bin(v).count("1")
-
-
 def token_sort(s: str) -> str:
     return " ".join(sorted(s.split()))
 
 
-def token_sort_ratio_py(a: str, b: str) -> float:
+def token_sort_ratios(a: list[str], b: list[str]) -> np.ndarray:
     """100 * (1 - indel / (len1 + len2)) on token-sorted strings = 200 * LCS / (len1 + len2)."""
-    x, y = token_sort(a), token_sort(b)
-    tot = len(x) + len(y)
-    if tot == 0:
-        return 100.0
-    return 200.0 * _lcs(x, y) / tot
+    x, y = [token_sort(s) for s in a], [token_sort(s) for s in b]
+    total = np.array([len(s) + len(t) for s, t in zip(x, y)], np.int64)
+    return np.where(total == 0, 100.0, 200.0 * lcs_lengths(x, y) / np.maximum(total, 1))
+
+
+def token_sort_ratio_py(a: str, b: str) -> float:
+    return float(token_sort_ratios([a], [b])[0])
 
 
 @F.pandas_udf(T.DoubleType())
 def token_sort_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Vectorised F18 over candidate pairs (Arrow batches)."""
-    return pd.Series([token_sort_ratio_py(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
+    """F18 over given pairs (Arrow batches)."""
+    return pd.Series(token_sort_ratios(list(a.fillna("")), list(b.fillna(""))))
 
 
 # ---------------------------------------------------------------- cascade J2-J6
@@ -165,135 +152,20 @@ def contained_names(rest: DataFrame, names: DataFrame) -> DataFrame:
     return both.groupBy("entity", "target").agg(F.min_by("_nt", "_no").alias("ticker"))
 
 
-def lcs_pairs(a_strs: list[str], b_strs: list[str], ai: "np.ndarray", bi: "np.ndarray") -> "np.ndarray":
-    """LCS lengths of the pairs (a_strs[ai[p]], b_strs[bi[p]]).
-
-    Bit-parallel over ``b`` (one uint64 per pair, b <= 63 characters): the masks
-    are built once per ``b`` string and the character codes once per ``a`` string,
-    then numpy advances every pair together, one step per character of ``a``.
-    Pairs with a longer ``b`` fall back to Python integers.
-    """
-    out = np.zeros(len(ai), dtype=np.int64)
-    if len(ai) == 0:
-        return out
-    blen = np.array([len(b) for b in b_strs], dtype=np.int64)
-    longb = blen > 63
-    for p in np.nonzero(longb[bi])[0]:
-        out[p] = _lcs(a_strs[ai[p]], b_strs[bi[p]])
-    sel = np.nonzero(~longb[bi])[0]
-    if len(sel) == 0:
-        return out
-    alphabet = sorted({ch for b, lng in zip(b_strs, longb) if not lng for ch in b})
-    pos = {ch: k for k, ch in enumerate(alphabet)}
-    none = len(alphabet)
-    table = np.zeros((len(b_strs), none + 1), dtype=np.uint64)  # last column: no match
-    for r, b in enumerate(b_strs):
-        if not longb[r]:
-            for j, ch in enumerate(b):
-                table[r, pos[ch]] |= np.uint64(1) << np.uint64(j)
-    maxa = max((len(a) for a in a_strs), default=0)
-    codes = np.full((len(a_strs), max(maxa, 1)), none, dtype=np.int64)
-    for r, a in enumerate(a_strs):
-        for k, ch in enumerate(a):
-            codes[r, k] = pos.get(ch, none)
-    pa, pb = ai[sel], bi[sel]
-    lb = blen[pb].astype(np.uint64)
-    full = (np.uint64(1) << lb) - np.uint64(1)
-    v = full.copy()
-    for k in range(maxa):
-        u = v & table[pb, codes[pa, k]]
-        v = ((v + u) | (v - u)) & full  # uint64 wraps; the mask keeps len(b) bits
-    out[sel] = blen[pb] - np.bitwise_count(v).astype(np.int64)
-    return out
-
-
-def fuzzy_best(entities: DataFrame, names: DataFrame, threshold: int = FUZZY_THRESHOLD,
-               max_names: int = 200_000) -> DataFrame:
+def fuzzy_best(entities: DataFrame, names: DataFrame, threshold: int = FUZZY_THRESHOLD) -> DataFrame:
     """Best name per entity by token-sort ratio (J5), over **all** names, ties to
     the first name in map order; only a best score >= threshold is returned.
 
-    Distinct entities are spread over tasks; the name dictionary (bounded by the
-    listing, size-checked; above ``max_names`` it is scored in chunks and the
-    chunk winners are merged exactly) travels with each task. Inside a task the
-    lossless length filter (score >= t needs min/max length >= t / (200 - t) on
-    the token-sorted strings) picks candidate pairs and their LCS is computed
-    for a whole Arrow batch at once. A best below the threshold would be rejected
-    anyway, so pairs dropped by the filter never change the result.
+    A similarity join of the distinct token-sorted entities and names (see ``similarity``). It finds every pair
+    at or above the threshold; a best below it would be rejected anyway. Names with the same words
+    are one text, for which the first in map order stands.
     """
-    from ..session import ship_package
-
-    ship_package(entities.sparkSession)
-    r = threshold / (200.0 - threshold)
-    ents = cpu_parallel(entities.select("entity").distinct(), "entity")
-    n_total = names.count()
-    chunks = max(1, -(-n_total // max_names))
-    schema = "entity string, fuzzy_name string, fuzzy_ticker string, fuzzy_score double, _ord long"
-    parts = []
-    for c in range(chunks):
-        nc = names if chunks == 1 else names.filter(F.col("ord") % chunks == c)
-        rows = sorted((int(x["ord"]), x["name"], x["ticker"]) for x in nc.select("ord", "name", "ticker").collect())
-
-        def score(batches, rows=rows, pair_cap=2_000_000):
-            nsort = [token_sort(nm) for _, nm, _ in rows]
-            by_len = np.argsort(np.array([len(x) for x in nsort]), kind="stable")
-            nl_sorted = np.array([len(nsort[j]) for j in by_len], dtype=np.float64)
-            ords = np.array([o for o, _, _ in rows], dtype=np.int64)
-            nlen = np.array([len(x) for x in nsort], dtype=np.float64)
-            for pdf in batches:
-                ent = list(pdf["entity"])
-                esort = [token_sort(e or "") for e in ent]
-                elen = np.array([len(x) for x in esort], dtype=np.float64)
-                # candidate names per entity: a contiguous run of the length-sorted names
-                # (bounds relaxed by 1e-9 so rounding can only add candidates)
-                lo = np.searchsorted(nl_sorted, elen * r - 1e-9, "left")
-                hi = np.searchsorted(nl_sorted, elen / r + 1e-9, "right")
-                cnt = np.maximum(hi - lo, 0)
-                start = 0
-                while start < len(ent):
-                    stop, tot = start, 0
-                    while stop < len(ent) and (tot == 0 or tot + cnt[stop] <= pair_cap):
-                        tot += cnt[stop]
-                        stop += 1
-                    res = _best(np.arange(start, stop), lo, cnt, by_len, elen, nlen, ords, esort, nsort)
-                    if res is not None:
-                        ei, ni, sc = res
-                        yield pd.DataFrame({
-                            "entity": [ent[i] for i in ei],
-                            "fuzzy_name": [rows[j][1] for j in ni],
-                            "fuzzy_ticker": [rows[j][2] for j in ni],
-                            "fuzzy_score": sc.astype("float64"),
-                            "_ord": ords[ni],
-                        })
-                    start = stop
-
-        def _best(es, lo, cnt, by_len, elen, nlen, ords, esort, nsort):
-            c = cnt[es]
-            if c.sum() == 0:
-                return None
-            ei = np.repeat(es, c)
-            offs = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
-            ni = by_len[np.repeat(lo[es], c) + offs]
-            lcs = lcs_pairs(nsort, esort, ni, ei)
-            tot = elen[ei] + nlen[ni]
-            sc = np.where(tot == 0, 100.0, 200.0 * lcs / np.where(tot == 0, 1.0, tot))
-            order = np.lexsort((ords[ni], -sc, ei))  # per entity: highest score, then lowest ord
-            first = np.ones(len(order), dtype=bool)
-            first[1:] = ei[order][1:] != ei[order][:-1]
-            best = order[first]
-            keep = best[sc[best] >= threshold]
-            if len(keep) == 0:
-                return None
-            return ei[keep], ni[keep], sc[keep]
-
-        parts.append(ents.mapInPandas(score, schema))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    if chunks > 1:
-        out = out.groupBy("entity").agg(
-            F.max_by(F.struct("fuzzy_name", "fuzzy_ticker", "fuzzy_score", "_ord"),
-                     F.struct("fuzzy_score", -F.col("_ord"))).alias("b")).select("entity", "b.*")
-    return out.drop("_ord")
+    ents = entities.select("entity").distinct().withColumn("x", token_sorted(F.col("entity")))
+    own = names.groupBy(token_sorted(F.col("name")).alias("y")).agg(F.min_by(F.struct("name", "ticker", "ord"), "ord").alias("n"))
+    found = similar(ents, own.select(F.col("y").alias("x")), threshold).join(own, "y")
+    best = found.groupBy("x").agg(F.max_by(F.struct("n", "score"), F.struct("score", -F.col("n.ord"))).alias("b"))
+    return ents.join(best, "x").select("entity", F.col("b.n.name").alias("fuzzy_name"), F.col("b.n.ticker").alias("fuzzy_ticker"),
+                                       F.col("b.score").alias("fuzzy_score"))
 
 
 def resolve(pairs: DataFrame, names: DataFrame, aliases: DataFrame, threshold: int = FUZZY_THRESHOLD,
@@ -302,7 +174,7 @@ def resolve(pairs: DataFrame, names: DataFrame, aliases: DataFrame, threshold: i
 
     Order: alias (ends), exact (ends), substring (ends), then fuzzy **and** direct
     ticker both apply. The target itself and unlisted aliases are dropped (P18, P19).
-    Each step takes the pairs that the steps before left over (checkpointed, so that neither they
+    Each step takes the pairs that the steps before left over (written, so that neither they
     nor the mentions are computed again) and only the wanted ``steps``, and those before
     them, run. Aliases, names and tickers are bounded by the listing and broadcast behind a size check.
     """
@@ -313,7 +185,8 @@ def resolve(pairs: DataFrame, names: DataFrame, aliases: DataFrame, threshold: i
     def step(name: str, key: str, table: DataFrame, rest: DataFrame) -> DataFrame:
         """``table``: (key, ticker), one row per key; a hit ends the cascade whatever its ticker is."""
         t = table.select(F.col(key).alias("_k"), F.col("ticker"), F.lit(True).alias("_hit"))
-        out = rest.join(bounded_broadcast(t), F.col("_el") == F.col("_k"), "left").drop("_k").checkpoint()
+        out = rest.join(bounded_broadcast(t), F.col("_el") == F.col("_k"), "left").drop("_k")
+        out = stored(out, f"linked-{name}")
         found.append(out.filter("_hit").select("entity", "target", F.lit(name).alias("step"), "ticker"))
         return out.filter(F.col("_hit").isNull()).drop("ticker", "_hit")
 
@@ -322,7 +195,7 @@ def resolve(pairs: DataFrame, names: DataFrame, aliases: DataFrame, threshold: i
         exact = names.groupBy(F.lower("name").alias("_el")).agg(F.min_by("ticker", "ord").alias("ticker"))
         rest = step("exact", "_el", exact, rest)
     if last >= STEPS.index("substring"):
-        sub = contained_names(rest, names).checkpoint()
+        sub = stored(contained_names(rest, names), "linked-substring")
         found.append(sub.select("entity", "target", F.lit("substring").alias("step"), "ticker"))
         rest = rest.join(sub, ["entity", "target"], "left_anti")
     if "fuzzy" in steps:
@@ -398,48 +271,66 @@ def scan_partition(keys: list[tuple[str, str]], short: int = SHORT_KEY):
 
 
 def dictionary_scan(articles: DataFrame, keys: DataFrame, doc: str = "arrival", target: str = "ticker",
-                    max_keys: int = 2_000_000) -> DataFrame:
+                    max_keys: int = 200_000) -> DataFrame:
     """``scan_tickers_from_text`` (J7): every key contained in lower(title + '. ' + content).
 
-    The key table is a few thousand names, the texts are the big side: each task
-    builds one Aho-Corasick automaton and makes a single pass per text, instead of
-    testing every key against every text. The key table (S5 output) is bounded by
-    the listing, not by the articles; its size is checked: up to ``max_keys`` it
-    ships whole with each task and the scan is one narrow map stage (one output
-    row per article, no shuffle, no join). Above that the keys are split in
-    chunks, each chunk scans the articles, and the per-article sets are merged.
+    The key table is a few thousand names, the texts are the big side. Up to ``max_keys`` (counted) the
+    keys are broadcast and each task builds one Aho-Corasick automaton and makes a single pass per
+    text: one narrow map stage, one output row per article. A larger key table isn't gathered
+    anywhere: texts and keys meet by grams (``scan_by_grams``).
     Output (doc, target, related ARRAY sorted, without the target) — A13.
     """
     from ..functions.text import article_text
     from ..session import ship_package
 
-    ship_package(articles.sparkSession)
-    n = keys.count()
-    # lower-casing happens in the task with Python's str.lower (the reference's rule)
     text = articles.select(F.col(doc).alias("doc"), F.col(target).alias("target"),
                            article_text(F.col("title"), F.col("content")).alias("text"))
-    schema = "doc long, target string, related array<string>"
-    chunks = max(1, -(-n // max_keys))
-    parts = []
-    for c in range(chunks):
-        kc = keys if chunks == 1 else keys.filter(F.abs(F.xxhash64("key")) % chunks == c)
-        rows = [(r["key"], r["ticker"]) for r in kc.select("key", "ticker").collect()]
-
-        def scan(batches, rows=rows):
-            run = scan_partition(rows)
-            for pdf in batches:
-                related = []
-                for t, x in zip(pdf["target"], pdf["text"]):
-                    related.append(sorted(tk for tk in run((x or "").lower()) if tk is not None and tk != t))
-                yield pd.DataFrame({"doc": pdf["doc"], "target": pdf["target"], "related": related})
-
-        parts.append(text.mapInPandas(scan, schema))
-    if chunks == 1:
-        found = parts[0]
-    else:
-        allp = parts[0]
-        for p in parts[1:]:
-            allp = allp.unionByName(p)
-        found = allp.groupBy("doc", "target").agg(
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("related")))).alias("related"))
+    if keys.count() > max_keys:
+        return scan_by_grams(text, keys).select(F.col("doc").alias(doc), F.col("target").alias(target), "related")
+    spark = articles.sparkSession
+    ship_package(spark)
+    rows = spark.sparkContext.broadcast([(r["key"], r["ticker"]) for r in keys.select("key", "ticker").collect()])  # max_keys at most
+
+    def scan(batches):
+        run = scan_partition(rows.value)
+        for pdf in batches:
+            # lower-casing happens in the task with Python's str.lower (the reference's rule)
+            related = [sorted(tk for tk in run((x or "").lower()) if tk is not None and tk != t) for t, x in zip(pdf["target"], pdf["text"])]
+            yield pd.DataFrame({"doc": pdf["doc"], "target": pdf["target"], "related": related})
+
+    found = text.mapInPandas(scan, "doc long, target string, related array<string>")
     return found.select(F.col("doc").alias(doc), F.col("target").alias(target), "related")
+
+
+def scan_by_grams(text: DataFrame, keys: DataFrame, short: int = SHORT_KEY) -> DataFrame:
+    """The dictionary scan (doc, target, text) as joins, for key tables of any size: (doc, target, related).
+
+    A text that holds a key holds each of the key's runs of ``short`` characters, so a key is anchored at the one that
+    the fewest texts hold, and joined with the distinct runs of the texts; the pairs are verified by
+    ``contains``. Shorter keys of word characters equal a maximal run of word characters; other short keys meet the
+    texts by their first character and are verified by word boundaries. A frequent run makes a frequent join key, which
+    adaptive execution splits; texts join again by a hash only once pairs are few. Lower-casing is Spark's.
+    """
+    rows = text.withColumn("_low", F.lower(F.coalesce("text", F.lit("")))).withColumn("_h", F.xxhash64("doc", "target", "_low"))
+    low, key = F.col("_low"), F.col("key")
+    once = rows.select("_h", "_low").dropDuplicates(["_h"])
+    runs = lambda c, n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: F.substr(c, i, F.lit(n))))
+    own = once.where(F.length("_low") >= short).select("_h", F.explode(runs(low, short)).alias("run"))
+    long_keys = keys.where(F.length("key") >= short).select("key", F.explode(runs(key, short)).alias("run"))
+    held = own.join(long_keys.select("run").distinct(), "run", "left_semi").groupBy("run").agg(F.count("_h").alias("n"))
+    anchors = long_keys.join(held, "run").groupBy("key").agg(F.min_by("run", F.struct("n", "run")).alias("run"), F.count("run").alias("_found"))
+    whole = keys.where(F.length("key") >= short).groupBy("key").agg(F.first(F.size(runs(key, short))).alias("_all"))
+    anchors = anchors.join(whole, "key").where("_found = _all").select("key", "run")  # a run that no text holds: the key isn't held either
+    pairs = own.join(anchors, "run").select("_h", "key").join(once, "_h").where(F.contains(low, key)).select("_h", "key")
+    words = once.select("_h", F.explode(F.array_distinct(F.regexp_extract_all("_low", F.lit("([\\p{L}\\p{N}_]+)"), 1))).alias("key"))
+    brief = keys.where((F.length("key") < short) & (F.length("key") > 0))
+    pairs = pairs.union(words.join(brief.select("key").distinct(), "key", "left_semi").select("_h", "key"))
+    odd = brief.where(~key.rlike("^[\\p{L}\\p{N}_]+$")).select("key", F.substring("key", 1, 1).alias("run")).distinct()
+    chars = once.where(F.length("_low") > 0).select("_h", F.explode(runs(low, 1)).alias("run"))
+    quoted = F.concat(F.lit("(?U)\\b\\Q"), key, F.lit("\\E\\b"))
+    pairs = pairs.union(chars.join(odd, "run").select("_h", "key").join(once, "_h").where(F.rlike(low, quoted)).select("_h", "key"))
+    found = pairs.join(keys.select("key", "ticker"), "key").where("ticker is not null").groupBy("_h").agg(F.collect_set("ticker").alias("related"))
+    every = keys.where("key = '' and ticker is not null").agg(F.collect_set("ticker").alias("every"))  # one row: '' is in every text
+    out = rows.join(found, "_h", "left").crossJoin(F.broadcast(every))
+    related = F.array_union(F.coalesce("related", F.array().cast("array<string>")), F.coalesce("every", F.array().cast("array<string>")))
+    return out.select("doc", "target", F.array_sort(F.filter(related, lambda t: ~F.col("target").eqNullSafe(t))).alias("related"))

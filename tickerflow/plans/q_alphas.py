@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..operators import alphas as al
 from ..operators import features as feat
 from ..operators import learnset as ls
+from ..operators.formulas import load_formulas, with_formulas
+from ..session import scratch_path
 from .catalog import query
 from .normalize import sql_finish
 from .q_features import _FULL_CTE, _roll, W
@@ -80,6 +82,44 @@ def alpha_all(spark, sf_dir):
     return alpha_dataset(spark, sf_dir)
 
 
+# ---------------------------------------------------------------- formula texts from JSON files
+#: Texts as a model writes them: windows, unknown columns, text that isn't a formula.
+_TEXTS = {
+    "BID": {"a": "df['close'].pct_change(5) * np.sign(df['sentiment_score'])", "b": "df['volume'] / df['volume'].rolling(20).mean()", "c": "df['no_such'] + 1"},
+    "FPT": {"a": "np.maximum(df['close'] - df['open'], 0) / (df['high'] - df['low'])", "b": "np.where((df['rsi'] > 70) | ~(df['close'] >= df['sma_5']), -1, 1) * df['returns'].abs()", "c": "import os"},
+    "VIC": {"a": "(df['close'].shift(1) - df['close'].shift(2)) ** 2", "b": "df['close'].rolling(window=10).max() - df['close']", "c": "df['returns'].diff().fillna(0.5)"},
+}
+_TEXT_SQL = sql_finish(with_views(["bars", "scores"], f"""
+SELECT ticker, date, CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b, CAST(c AS DOUBLE) AS c FROM (
+  SELECT ticker, date,
+    CASE ticker WHEN 'BID' THEN (close / lag(close, 5) OVER ({W}) - 1) * sign(sentiment_score)
+      WHEN 'FPT' THEN greatest(close - open, 0) / nullif(high - low, 0)
+      ELSE pow(lag(close, 1) OVER ({W}) - lag(close, 2) OVER ({W}), 2) END AS a,
+    CASE ticker WHEN 'BID' THEN volume / CASE WHEN count(*) OVER ({W} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) = 20 THEN avg(volume) OVER ({W} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) END
+      WHEN 'FPT' THEN CASE WHEN rsi > 70 OR close < sma_5 THEN -1 ELSE 1 END * abs(returns)
+      ELSE CASE WHEN count(*) OVER ({W} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) = 10 THEN max(close) OVER ({W} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) END - close END AS b,
+    CASE ticker WHEN 'VIC' THEN coalesce(returns - lag(returns) OVER ({W}), 0.5) ELSE 0.0 END AS c
+  FROM full_features WHERE ticker IN ('BID', 'FPT', 'VIC')
+) WHERE a IS NOT NULL AND b IS NOT NULL""", extra=_FULL_CTE, recursive=True), {"ticker": "s", "date": "dt", "a": "d", "b": "d", "c": "d"})
+
+
+@query("alpha_texts", _TEXT_SQL)
+def alpha_texts(spark, sf_dir):
+    """Formula texts written as one JSON file for each ticker, loaded and compiled: windows and functions of numpy; a text that can't be
+    used gives 0.0 (P12)."""
+    folder = scratch_path(spark, "formulas")
+    rows = spark.createDataFrame([(t, {k: v for k, v in own.items()}) for t, own in _TEXTS.items()], "ticker string, formulas map<string, string>")
+    for r in rows.select("ticker", F.to_json("formulas").alias("json")).collect():  # one small file for each ticker
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{r['ticker']}_formulas.json")
+        out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+        out.write(bytearray(r["json"].encode()))
+        out.close()
+    feats = feat.build_features(bars(spark, sf_dir), sentiment_scores(spark, sf_dir))
+    texts = load_formulas(spark, folder)
+    out = with_formulas(feats.where(F.col("ticker").isin(list(texts))), texts, available={x: "sentiment_available" for x in feat.SENTIMENT_COLUMNS})
+    return al.drop_non_finite(out.select("ticker", "date", "a", "b", "c"))
+
+
 # ---------------------------------------------------------------- alpha_missing_inputs
 _NS_FEATURES = [c for c in _FEATURES if c not in feat.SENTIMENT_COLUMNS]
 _NS_CTE = _FULL_CTE.replace(
@@ -162,23 +202,27 @@ def split_and_scale(spark, sf_dir):
 
 _WIN_BODY = f"""
 SELECT ticker, split, j - 30 AS "window", date AS label_date, 30 AS x_rows,
-       x_first, x_last, y
+       x_first, x_last, list_sum(list_transform(range(1, len(flat) + 1), lambda k: flat[k] * k)) AS x_all, y
 FROM (
   SELECT ticker, split, date, target AS y,
          row_number() OVER (PARTITION BY ticker, split ORDER BY date) - 1 AS j,
          lag(target, 30) OVER (PARTITION BY ticker, split ORDER BY date) AS x_first,
-         lag(target, 1) OVER (PARTITION BY ticker, split ORDER BY date) AS x_last
+         lag(target, 1) OVER (PARTITION BY ticker, split ORDER BY date) AS x_last,
+         flatten(list([{', '.join(_SCALE_COLS)}]) OVER (PARTITION BY ticker, split ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)) AS flat
   FROM sc
 ) WHERE j >= 30"""
 
 
 @query("training_windows", _learn_sql(_WIN_BODY, {"ticker": "s", "split": "s", "window": "i", "label_date": "dt",
-                                                  "x_rows": "i", "x_first": "d", "x_last": "d", "y": "d"}))
+                                                  "x_rows": "i", "x_first": "d", "x_last": "d", "x_all": "d", "y": "d"}))
 def training_windows(spark, sf_dir):
     win = ls.training_windows(_scaled(spark, sf_dir), _SCALE_COLS)
+    # every value counts by its place in the window
+    weighed = F.transform(F.flatten("x"), lambda v, i: v * (i + 1))
     return win.select(
         "ticker", "split", "window", "label_date", F.size("x").alias("x_rows"),
-        F.col("x")[0][0].alias("x_first"), F.element_at("x", -1)[0].alias("x_last"), "y",
+        F.col("x")[0][0].alias("x_first"), F.element_at("x", -1)[0].alias("x_last"),
+        F.aggregate(weighed, F.lit(0.0), lambda a, v: a + v).alias("x_all"), "y",
     )
 
 

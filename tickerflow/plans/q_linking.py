@@ -11,10 +11,11 @@ from ..operators import articles as A
 from ..operators import linking as L
 from ..operators import relations as R
 from ..operators import tickermap as M
+from ..operators.common import stored
 from .catalog import query
 from .normalize import sql_finish
 from .q_articles import CLEAN_CTE, sql_strip
-from .views import (derived_aliases, target_of, listing, name_dictionary, raw_articles, tokens,
+from .views import (derived_aliases, listing, name_dictionary, name_mentions, raw_articles, target_of, tokens,
                     with_views)
 
 
@@ -215,11 +216,23 @@ def _targets_sql() -> str:
     return f"SELECT doc_id AS article_id, CASE doc_id % 5 {cases} END AS target FROM documents"
 
 
+def _token_sorted(c: str) -> str:
+    return f"array_to_string(list_sort(string_split_regex({sql_strip(c)}, '\\s+')), ' ')"
+
+
 _ALIAS_ROWS = ", ".join(f"('{a}', {('NULL' if t is None else repr(t))})" for a, t in L.ALIASES)
 _CASCADE_CTE = _VALID_CTE + f""",
+mentions AS (
+  SELECT article_id, entity FROM valid
+  UNION ALL
+  SELECT article_id, entity FROM name_mentions
+  WHERE length(entity) >= 3 AND NOT ({_NOISE})
+    AND NOT regexp_matches(translate(entity, ' /-.,', ''), '^\\p{{Nd}}+$')
+    AND {sql_strip('lower(entity)')} NOT IN ({_BLACK})
+),
 pairs AS (
   SELECT DISTINCT v.entity, t.target, {sql_strip('lower(v.entity)')} AS el
-  FROM valid v JOIN ({_targets_sql()}) t ON v.article_id = t.article_id
+  FROM mentions v JOIN ({_targets_sql()}) t ON v.article_id = t.article_id
 ),
 all_alias AS (
   SELECT alias, ticker FROM aliases
@@ -240,6 +253,29 @@ s_sub AS (
   ) GROUP BY entity, target
 ),
 s3 AS (SELECT s2.* FROM s2 LEFT JOIN s_sub USING (entity, target) WHERE s_sub.ticker IS NULL),
+-- token-sorted texts; pairs of near lengths that share enough bigrams; their LCS by one row of the table for each character
+es AS (SELECT DISTINCT entity, {_token_sorted('entity')} AS x FROM s3),
+ns AS (SELECT {_token_sorted('name')} AS y, min(ord) AS ord, arg_min(ticker, ord) AS ticker FROM names GROUP BY 1),
+eg AS (SELECT x, unnest(list_transform(range(1, length(x)), lambda i: substr(x, i, 2))) AS g FROM (SELECT DISTINCT x FROM es)),
+eg2 AS (SELECT x, g, count(*) AS n FROM eg GROUP BY x, g),
+ng AS (SELECT y, unnest(list_transform(range(1, length(y)), lambda i: substr(y, i, 2))) AS g FROM ns),
+ng2 AS (SELECT y, g, count(*) AS n FROM ng GROUP BY y, g),
+near AS MATERIALIZED (
+  SELECT x, y, string_split(x, '') AS xs, string_split(y, '') AS ys FROM eg2 JOIN ng2 USING (g)
+  WHERE 200 * least(length(x), length(y)) >= 90 * (length(x) + length(y))
+  GROUP BY x, y HAVING sum(least(eg2.n, ng2.n)) >= greatest(length(x), length(y)) - 1 - 2 * floor((length(x) + length(y)) * 0.1 + 1e-9)
+),
+lcs(x, y, xs, ys, i, best) AS (
+  SELECT x, y, xs, ys, CAST(0 AS BIGINT), list_transform(ys, lambda c: CAST(0 AS BIGINT)) FROM near
+  UNION ALL
+  SELECT x, y, xs, ys, i + 1, list_transform(range(1, len(ys) + 1), lambda j: list_max(cell[1:j])) FROM (
+    SELECT x, y, xs, ys, i, list_transform(range(1, len(ys) + 1),
+      lambda j: greatest(best[j], CASE WHEN ys[j] = xs[i + 1] THEN coalesce(best[j - 1], 0) + 1 ELSE 0 END)) AS cell
+    FROM lcs WHERE i < len(xs))
+),
+scored AS (SELECT x, y, 200.0 * best[len(ys)] / (len(xs) + len(ys)) AS score FROM lcs WHERE i = len(xs)),
+best AS (SELECT x, arg_max(ticker, (score, -ord)) AS ticker FROM scored JOIN ns USING (y) WHERE score >= 90 GROUP BY x),
+s_fuzzy AS (SELECT s3.entity, s3.target, b.ticker FROM s3 JOIN es USING (entity) JOIN best b USING (x)),
 s_direct AS (
   SELECT s3.entity, s3.target, upper(s3.entity) AS ticker FROM s3
   WHERE upper(s3.entity) IN (SELECT ticker FROM names)
@@ -249,7 +285,7 @@ s_direct AS (
 def _dictionary(spark, sf_dir):
     """The name dictionary, written once to the shared checkpoint folder: it feeds
     many joins of one plan, and re-deriving it per reference would repeat its scan."""
-    return name_dictionary(spark, sf_dir).checkpoint()
+    return stored(name_dictionary(spark, sf_dir), "names")
 
 
 def _resolved_steps(spark, sf_dir, steps=L.STEPS):
@@ -259,13 +295,14 @@ def _resolved_steps(spark, sf_dir, steps=L.STEPS):
     # the target is a function of the article id: no join against the documents.
     # Mentions feed the distinct pairs and the final join back: written once to the
     # shared checkpoint folder instead of tokenising every document per branch.
-    mentions = L.spans(tokens(spark, sf_dir, accepted_only=True)).filter(L.valid_entity(F.col("entity"))).withColumn(
-        "target", target_of("article_id")).checkpoint()
+    spans = L.spans(tokens(spark, sf_dir, accepted_only=True)).select("article_id", "entity")
+    mentions = stored(spans.unionByName(name_mentions(names)).filter(L.valid_entity(F.col("entity"))).withColumn(
+        "target", target_of("article_id")), "mentions")
     return L.resolve(mentions, names, aliases.unionByName(fixed), steps=steps), mentions
 
 
 def _step_query(step: str, sql_body: str):
-    @query(f"link_{step}", sql_finish(with_views(["names", "aliases"], sql_body, extra=_CASCADE_CTE),
+    @query(f"link_{step}", sql_finish(with_views(["names", "aliases", "name_mentions"], sql_body, extra=_CASCADE_CTE, recursive=True),
                                       {"entity": "s", "target": "s", "ticker": "s"}))
     def run(spark, sf_dir):
         res, _ = _resolved_steps(spark, sf_dir, (step,))
@@ -279,20 +316,24 @@ for _step, _body in [
     ("alias", "SELECT entity, target, ticker FROM s_alias WHERE ticker IS NOT NULL AND ticker <> target"),
     ("exact", "SELECT entity, target, ticker FROM s_exact WHERE ticker <> target"),
     ("substring", "SELECT entity, target, ticker FROM s_sub"),
+    ("fuzzy", "SELECT entity, target, ticker FROM s_fuzzy WHERE ticker <> target"),
     ("direct", "SELECT entity, target, ticker FROM s_direct WHERE ticker <> target"),
 ]:
     _step_query(_step, _body)
 
 
-@query("link_fuzzy")
-def link_fuzzy(spark, sf_dir):
-    """Fuzzy step (J5, F18): best token-sort-ratio name >= 90 per remaining entity.
-    No SQL oracle (LCS is not a DuckDB function); brute force is checked in tests."""
-    res, _ = _resolved_steps(spark, sf_dir, ("fuzzy",))
-    return res.select("entity", "target", "ticker")
+_LINKED = """
+SELECT m.article_id, t.target, array_to_string(list_sort(list_distinct(list(r.ticker))), ',') AS related
+FROM mentions m JOIN targets t ON m.article_id = t.article_id
+JOIN (SELECT entity, target, ticker FROM s_alias UNION ALL SELECT entity, target, ticker FROM s_exact
+      UNION ALL SELECT entity, target, ticker FROM s_sub UNION ALL SELECT entity, target, ticker FROM s_fuzzy
+      UNION ALL SELECT entity, target, ticker FROM s_direct) r ON r.entity = m.entity AND r.target = t.target
+WHERE r.ticker IS NOT NULL AND r.ticker <> t.target GROUP BY m.article_id, t.target"""
 
 
-@query("link_cascade")
+@query("link_cascade", sql_finish(with_views(["names", "aliases", "name_mentions"], _LINKED, recursive=True,
+                                             extra=_CASCADE_CTE + f",\ntargets AS ({_targets_sql()})"),
+                                  {"article_id": "i", "target": "s", "related": "s"}))
 def link_cascade(spark, sf_dir):
     """The whole cascade per article: sorted related tickers."""
     res, mentions = _resolved_steps(spark, sf_dir)

@@ -80,14 +80,15 @@ _PROFILE_ROWS = """
   ('VnEconomy', 'https://vneconomy.vn/tim-kiem.html?Text=', '&page=', 1, '', 1, FALSE),
   ('Vietnamnet', NULL, NULL, 1, '', 0, FALSE),
   ('CafeF', 'https://cafef.vn/tim-kiem.chn?keywords=', '&page=', 1, '', 1, FALSE),
-  ('Vietstock', 'https://finance.vietstock.vn/View/PagingNewsContent?code=', '&page=', 1, '', 1, FALSE),
+  ('Vietstock', NULL, NULL, 1, '', 1, FALSE),
   ('FireAnt', 'https://restv2.fireant.vn/posts?symbol=', '&type=1&limit=20&offset=', 20, '', 0, FALSE)"""
 
 
 @query("crawl_frontier", sql_finish(with_views(["names"], f"""
 SELECT k.ticker, k.keyword, p.source, pg AS page,
        CASE WHEN p.source = 'Vietnamnet' THEN 'https://vietnamnet.vn/tim-kiem-p' || pg || '?q=' || k.keyword || '&od=2'
-            ELSE p.before || k.keyword || p.between || pg * p.step || p.after END AS url
+            WHEN p.source = 'Vietstock' THEN 'https://finance.vietstock.vn/View/PagingNewsContent'
+            ELSE p.before || CASE WHEN p.source IN ('VnEconomy', 'FireAnt') THEN replace(url_encode(k.keyword), '%20', '+') ELSE k.keyword END || p.between || pg * p.step || p.after END AS url
 FROM (SELECT ticker, name AS keyword FROM names WHERE ticker IN ({', '.join(f"'{t}'" for t in TICKERS)})) k
 CROSS JOIN (VALUES {_PROFILE_ROWS}) AS p(source, before, between, step, after, first_page, cap5)
 CROSS JOIN LATERAL (SELECT unnest(range(p.first_page,
@@ -98,6 +99,17 @@ def crawl_frontier(spark, sf_dir):
     return X.crawl_frontier(_keywords(spark, sf_dir), _MAX_PAGES)
 
 
+@query("vietstock_forms", sql_finish(with_views(["names"], f"""
+SELECT ticker, name AS keyword, pg AS page, '1' || '|' || name || '|1|01/01/2022|02/12/2025|-1|' || pg || '|20|token-' || ticker AS form
+FROM names CROSS JOIN (SELECT unnest(range(1, {_MAX_PAGES + 1})) AS pg) WHERE ticker IN ({', '.join(f"'{t}'" for t in TICKERS)})"""),
+    {"ticker": "s", "keyword": "s", "page": "i", "form": "s"}))
+def vietstock_forms(spark, sf_dir):
+    """The POST bodies of Vietstock's search, all fields in order."""
+    tasks = X.crawl_frontier(_keywords(spark, sf_dir), _MAX_PAGES).where("source = 'Vietstock'")
+    forms = X.vietstock_form(tasks, "2025-12-02", F.concat(F.lit("token-"), "ticker"))
+    return forms.select("ticker", "keyword", "page", F.array_join(F.map_values("form"), "|").alias("form"))
+
+
 # ---------------------------------------------------------------- X5 / X10 / X11 (no listing date)
 _NO_DATE = [s[0] for s in X.SOURCES if not s[5]]
 _WITH_DATE = [s[0] for s in X.SOURCES if s[5]]
@@ -108,16 +120,14 @@ _K = "ticker, keyword, source"
 SELECT ticker, keyword, source, page, pos, url FROM (
   SELECT *, row_number() OVER (PARTITION BY {_K}, url ORDER BY page, pos) AS rk
   FROM items WHERE source IN ({', '.join(f"'{s}'" for s in _NO_DATE)})
-) WHERE rk = 1 AND (year IS NULL OR year >= 2022)
-  AND (source <> 'VnEconomy' OR length(coalesce(title, '')) > 0)"""),
+) WHERE rk = 1 AND (year IS NULL OR year >= 2022)"""),
     {"ticker": "s", "keyword": "s", "source": "s", "page": "i", "pos": "i", "url": "s"}))
 def seen_urls(spark, sf_dir):
     """First occurrence per URL within a crawl run (X5), then the detail-page year
-    filter with unparsed dates passing (X10) and the title rule (X11)."""
+    filter with unparsed dates passing (X10). None of these sources asks for a title (X11)."""
     items = listing_items(spark, sf_dir).filter(F.col("source").isin(_NO_DATE))
     kept = X.first_seen(items)
     kept = X.detail_year_filter(kept.withColumn("date", F.try_to_date("published_date", "yyyy-MM-dd")))
-    kept = X.title_required(kept, ["VnEconomy"])
     return kept.select("ticker", "keyword", "source", "page", "pos", "url")
 
 

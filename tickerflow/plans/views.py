@@ -255,9 +255,9 @@ names AS (
 
 
 def derived_aliases(names: DataFrame) -> DataFrame:
-    """Aliases that hit the data: every 9th name (by ord) as lower-case alias; those
+    """Aliases that hit the data: every 3rd name (by ord) as lower-case alias; those
     with ord % 4 = 0 unlisted (NULL ticker), the rest pointing at 'A<k>'."""
-    n = names.filter(F.col("ord") % 9 == 0)
+    n = names.filter(F.col("ord") % 3 == 0)
     t = (F.when(F.col("ord") % 4 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("A"), (F.col("ord") % 13).cast("string"))))
     # one value per alias (a dict): the first name in map order decides
@@ -270,11 +270,31 @@ aliases AS (
     SELECT lower(name) AS alias,
            CASE WHEN ord % 4 = 0 THEN NULL ELSE 'A' || CAST(ord % 13 AS VARCHAR) END AS ticker,
            row_number() OVER (PARTITION BY lower(name) ORDER BY ord) AS rk
-    FROM names WHERE ord % 9 = 0
+    FROM names WHERE ord % 3 = 0
   ) WHERE rk = 1
 )"""
 
 
+# ---------------------------------------------------------------- mentions made from the dictionary
+def name_mentions(names: DataFrame) -> DataFrame:
+    """(article_id, entity): names as texts write them, so that every step of the cascade has hits. Variant 0: the name
+    with a small first letter; 1: with a company suffix; 2: without its third letter; 3: with a doubled last letter; 4: the ticker."""
+    n = F.col("name")
+    variants = F.array(F.concat(F.lower(F.substring(n, 1, 1)), F.substr(n, F.lit(2))), F.concat(n, F.lit(" Holdings Group")), F.concat(F.substring(n, 1, 2), F.substr(n, F.lit(4))),
+                       F.concat(n, F.substr(n, F.length(n))), F.col("ticker"))
+    every = names.select("ord", F.posexplode(variants).alias("variant", "entity"))
+    return every.select(((F.col("ord") + F.col("variant")) % 50).alias("article_id"), "entity")
+
+
+SQL_VIEWS["name_mentions"] = """
+name_mentions AS (
+  SELECT (ord + variant) % 50 AS article_id,
+         CASE variant WHEN 0 THEN lower(substr(name, 1, 1)) || substr(name, 2) WHEN 1 THEN name || ' Holdings Group' WHEN 2 THEN substr(name, 1, 2) || substr(name, 4)
+              WHEN 3 THEN name || substr(name, length(name)) ELSE ticker END AS entity
+  FROM names CROSS JOIN (SELECT unnest(range(5)) AS variant)
+)"""
+
+
 # ---------------------------------------------------------------- tokens (from documents), whole texts
 def tokens(spark: SparkSession, sf_dir: str, accepted_only: bool = False) -> DataFrame:
     """(article_id, pos, word, ner_tag) for every word of every document: words are
