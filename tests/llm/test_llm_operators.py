@@ -78,6 +78,19 @@ def same(got, expected):
 # 1
 
 
+def test_broken_pages_are_read_in_linear_time():
+    """A page cut anywhere, quotes that never close, very long tags: the rest of an unfinished tag goes."""
+    import time
+
+    assert op8.split_page('a<div class="x') == (None, "a") and op8.split_page('<article>a<b title="1 > 0">b</b> <i x=">c</article>') == ("ab c", "")
+    for cut in range(len(PAGE)):
+        op8.split_page(PAGE[:cut])
+    began = time.time()
+    for bad in ("<div " + " ".join(f'a{i}="x"' for i in range(2000)), "<div data-props='{" + '"k":"v",' * 4000, "<a '>" * 5000, "<" * 20000, '<a "' * 9999, "<!" * 9999, "<article>" + "x y " * 200000):
+        op8.split_page(bad)
+    assert time.time() - began < 20
+
+
 def test_lm_score_counts(docs, rows, monkeypatch):
     monkeypatch.setattr(op1, "KNOWN", 500)
     got = op1.score(docs).collect()
@@ -437,6 +450,8 @@ def test_page_structure():
     assert op8.split_page('<div id="content"><p>hello</div><div class="footer">x</div>') == ("hello", "")
     assert op8.split_page("plain <i>te</i>xt &amp") == (None, "plain text &")
     assert op8.split_page("") == (None, "") and op8.split_page("<p>" * 5000 + "x") == (None, "x")
+    article = '<article><h2 id="legal-history">Legal</h2><section id="search-methods">s</section><p class="notice">n</p><div class="social-share">x</div><div class="comments">c</div>t</article>'
+    assert op8.split_page(article) == ("Legal s n t", "") and op8.split_page('<div class="share-price"><article>a</article></div>') == ("a", "")
     assert op8.split_page("<article></article>a") == ("", "a") and op8.split_page("a <script>b") == (None, "a")
 
 
