@@ -78,6 +78,22 @@ def same(got, expected):
 # 1
 
 
+def test_terms_of_every_script_and_quotation_marks(spark):
+    """Cyrillic and Vietnamese terms, capitals of any script, misspellings; curly marks and dashes aren't letters."""
+    import pyarrow as pa
+
+    automaton = op4.Automaton([("идиот", 5.0, False), ("đồngốc", 5.0, False), ("idiot", 5.0, False), ("白痴だよね", 5.0, False)])
+    hits = lambda t: [round(math.expm1(x)) for x in op4.features(pa.array([t]), automaton)[0][1:4]]
+    assert hits("ИДИОТ") == hits("Ты идиот.") == hits("Đồngốc!") == hits("idiot—fool") == hits("idiot…") == hits("白痴だよね") == [1, 0, 0]
+    assert hits("идот") == hits("đồngốcc") == hits("idi0t") == [0, 1, 0]
+    assert hits("“idiot”") == hits("‘idiot’") == hits("«идиот»") == [0, 0, 1]
+    assert hits("nothing here × ÷ ªº") == [0, 0, 0]
+    rows = [(f"плохой đồngốc слово{k % 7}", 1) for k in range(30)] + [(f"хороший день слово{k % 7}", 0) for k in range(60)]
+    lexicon = op4.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    points = np.frombuffer("плохой хороший đồngốc".encode("utf-32-le"), np.uint32)
+    assert [t > 0 for t in lexicon.match(points, np.array([0, 7, 15]), np.array([6, 14, 21]))[0]] == [True, False, True]
+
+
 def test_broken_pages_are_read_in_linear_time():
     """A page cut anywhere, quotes that never close, very long tags: the rest of an unfinished tag goes."""
     import time

@@ -15,6 +15,7 @@ no labelled row quotes).
 
 from __future__ import annotations
 
+import unicodedata
 from functools import partial
 
 import numpy as np
@@ -32,8 +33,6 @@ SAMPLE = {1: 20_000, 0: 40_000}
 MIN_ROWS, MIN_ODDS = 5, 3.0
 #: Terms of one automaton; a larger lexicon is matched part by part.
 PART_TERMS = 200
-#: Words within distance one of a term that are ordinary words (two clean rows have them), the most frequent ones.
-MAX_ORDINARY = 50_000
 STEMS, MIN_STEM_WORDS = (4, 5, 6), 5
 FUZZY_LENGTH, CONTEXT, BLOCK = 5, 60, 1 << 19
 
@@ -50,13 +49,27 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-def _lower(points: np.ndarray) -> np.ndarray:
-    capital = (points >= 0x41) & (points <= 0x5A) | (points >= 0xC0) & (points <= 0xDE) & (points != 0xD7)
-    return np.where(capital, points + 32, points)
+#: Code points with an entry in the tables below; those beyond are letters of rare scripts without capitals.
+_TABLE = 0x20000
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Whether each code point is part of a word (letters, marks and decimal digits, $ and @ as letters are misspelled with
+    them; of ASCII and Latin-1 signs only letters from U+00C0 on), and its small letter."""
+    word, lower = np.zeros(_TABLE, bool), np.arange(_TABLE, dtype=np.uint32)
+    for c in range(_TABLE):
+        kind = unicodedata.category(chr(c))
+        word[c] = (kind[0] in "LM" or kind == "Nd") if c >= 0xC0 else chr(c) in "0123456789abcdefghijklmnopqrstuvwxyz$@"
+        if kind in ("Lu", "Lt") and len(chr(c).lower()) == 1:
+            lower[c] = ord(chr(c).lower())
+    return word, lower
 
 
-_WORD = np.zeros(0x80, bool)
-_WORD[0x30:0x3A] = _WORD[0x61:0x7B] = _WORD[[0x24, 0x40]] = True  # digits, letters, and $ and @ as letters are misspelled with them
+_WORD, _LOWER = _tables()
+
+
+def _lower(points: np.ndarray) -> np.ndarray:
+    return np.where(points < _TABLE, _LOWER[np.minimum(points, _TABLE - 1)], points)
 
 
 class _Part:
@@ -83,10 +96,7 @@ class _Part:
                 fuzzy[node] |= loose  # some term beyond may be misspelled
             ends[node].append(k)
         letters = sorted({c for x in children for c in x})
-        self.letter = np.zeros(0x250, np.int32)
-        for k, c in enumerate(letters, 1):
-            if ord(c) < 0x250:
-                self.letter[ord(c)] = k
+        self.letters = np.array([ord(c) for c in letters] or [0], np.uint32)  # sorted
         stems = {k for k, t in enumerate(terms, 1) if t[2]}
         loose_terms = {k for k, t in enumerate(terms, 1) if not t[2] and len(t[0]) >= FUZZY_LENGTH}
 
@@ -145,8 +155,8 @@ class _Part:
         states = np.zeros(len(starts), np.int32)
         alive, state, at = np.arange(len(starts)), np.ones(len(starts), np.int32), starts.copy()
         while len(alive):
-            c = points[at]
-            state = self.table[state, np.where(c < 0x250, self.letter[np.minimum(c, 0x24F)], 0)]
+            k = np.minimum(np.searchsorted(self.letters, points[at]), len(self.letters) - 1)
+            state = self.table[state, np.where(self.letters[k] == points[at], k + 1, 0)]
             at = at + 1
             done = at == ends[alive]
             states[alive[done]] = state[done]
@@ -188,7 +198,7 @@ def features(column, automaton: Automaton) -> np.ndarray:
         begins = np.r_[0, np.cumsum(raw & 0xC0 != 0x80)][offsets[first : last + 1] - offsets[first]]  # documents, in code points
         text = raw.tobytes().decode("utf-8", "replace")
         points = _lower(np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32))
-        word = np.where(points < 0x80, _WORD[np.minimum(points, 0x7F)], points > 0xBF)
+        word = _WORD[np.minimum(points, _TABLE - 1)] | (points >= _TABLE)
         edge = np.zeros(len(points) + 1, bool)
         edge[begins] = True
         start, stop = word.copy(), word.copy()
@@ -244,7 +254,7 @@ def learn_lexicon(rows: DataFrame) -> Automaton:
     total = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("toxic").alias("n")).collect()}
     if not total.get(1) or not total.get(0):
         return Automaton([])
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"([a-z0-9$@\x{C0}-\x{10FFFF}]{3,40})"), 1))
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"((?:[a-z0-9$@]|[\p{L}\p{M}\p{Nd}&&[^\x{0}-\x{BF}]]){3,40})"), 1))
     counts = rows.select("toxic", F.explode(words).alias("term")).groupBy("term").agg(F.sum("toxic").cast("long").alias("bad"), F.sum(1 - F.col("toxic")).cast("long").alias("fine"))
     counts = written(counts.where("bad > 0 or fine > 1"), "toxic-words")
     odds = F.log((F.col("bad") + 0.5) / (total[1] + 1.0)) - F.log((F.col("fine") + 0.5) / (total[0] + 1.0))
@@ -259,7 +269,7 @@ def learn_lexicon(rows: DataFrame) -> Automaton:
     automaton = Automaton(stems + terms)
     shared = rows.sparkSession.sparkContext.broadcast(automaton)
     near = counts.where("fine > 1").select("term", "fine").mapInArrow(partial(_near, shared=shared), "term string, fine long")
-    automaton.ordinary = frozenset(r["term"] for r in near.orderBy(F.desc("fine"), "term").limit(MAX_ORDINARY).collect())
+    automaton.ordinary = frozenset(r["term"] for r in near.select("term").collect())  # words of the sample
     return automaton
 
 
