@@ -139,3 +139,10 @@ def sort_for_write(df: DataFrame, partitions: int | None = None) -> DataFrame:
     keys = ["ticker", "date", "url"]
     part = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     return part.sortWithinPartitions(*keys)
+
+
+def filtered_by(df: DataFrame, **values) -> DataFrame:
+    """Rows whose columns equal the given values (P9); None asks for NULL."""
+    for name, value in values.items():
+        df = df.filter(F.col(name).eqNullSafe(F.lit(value)))
+    return df

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -47,6 +47,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Counted:
+    """Row counts of the stages of a plan, taken while the plan runs (A19): ``counted("before", df)`` passes its rows through;
+    after an action ``counts()`` has the rows of each stage. No stage is run again for its count."""
+
+    def __init__(self) -> None:
+        self.stages: dict[str, Observation] = {}
+
+    def __call__(self, name: str, df: DataFrame) -> DataFrame:
+        self.stages[name] = Observation()
+        return df.observe(self.stages[name], F.count(F.lit(1)).alias("rows"))
+
+    def counts(self) -> dict[str, int]:
+        return {name: o.get.get("rows", 0) for name, o in self.stages.items()}
+
+
 # Row bound under which a derived dimension table (a name dictionary, an alias
 # list) is shipped whole to every task.
 BROADCAST_ROWS = 1_000_000

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import text as T
 from ..operators import articles as A
+from ..operators import tickermap as M
+from ..operators.common import Counted, stored
 from .catalog import query
 from .normalize import sql_finish
-from .views import bars, raw_articles, table, with_views
+from .views import bars, name_dictionary, raw_articles, table, with_views
 
 # ---------------------------------------------------------------- SQL twins of the text functions
 
@@ -245,3 +247,22 @@ def date_formats(spark, sf_dir):
         "o_orderkey", D.parse_common(s5).alias("f5"), D.parse_vnexpress(s6).alias("f6"),
         D.parse_iso_local(s7).alias("f7"), D.parse_two_digit_year(s8).alias("f8"),
     )
+
+
+# ---------------------------------------------------------------- A19 counts of the stages
+@query("stage_counts", sql_finish("SELECT *, n_before - n_after AS n_removed FROM (" + with_views(["raw_articles", "names"], """
+SELECT 'articles' AS stage, (SELECT count(*) FROM raw_articles) AS n_before, (SELECT count(*) FROM clean) AS n_after
+UNION ALL SELECT 'window', (SELECT count(*) FROM clean), (SELECT count(*) FROM clean WHERE date >= DATE '2022-01-01')
+UNION ALL SELECT 'one name', (SELECT count(*) FROM names), (SELECT count(DISTINCT ticker) FROM names)""", extra=CLEAN_CTE) + ")",
+    {"stage": "s", "n_before": "i", "n_after": "i", "n_removed": "i"}))
+def stage_counts(spark, sf_dir):
+    """Rows before, after and removed by the cleaning, the date window and the one-name rule (A19), observed while the stages write
+    their results; only the counts meet on the driver."""
+    counted = Counted()
+    clean = counted("clean", A.clean_articles(counted("raw", raw_articles(spark, sf_dir))))
+    stored(counted("window", A.date_window(clean, lower="2022-01-01")), "articles")
+    entries = counted("names", M.first_name_per_ticker(counted("map", stored(name_dictionary(spark, sf_dir), "names"))).where("kept"))
+    stored(entries, "first-names")
+    n = counted.counts()
+    stages = [("articles", "raw", "clean"), ("window", "clean", "window"), ("one name", "map", "names")]
+    return spark.createDataFrame([(s, n[a], n[b], n[a] - n[b]) for s, a, b in stages], "stage string, n_before long, n_after long, n_removed long")

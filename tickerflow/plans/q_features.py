@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import features as feat
+from ..operators.articles import filtered_by
 from ..operators import indicators as ind
 from ..operators import market
 from .catalog import query
@@ -240,9 +241,12 @@ def full_features(spark, sf_dir):
 
 # ---------------------------------------------------------------- P9 equality filters
 @query("equality_filters", sql_finish(with_views(["scores"], """
-SELECT ticker, count(*) AS n_zero FROM scores WHERE target_score = 0 GROUP BY ticker"""),
-    {"ticker": "s", "n_zero": "i"}))
+SELECT ticker, count(*) FILTER (WHERE target_score = 0) AS n_zero, count(*) FILTER (WHERE target_score IS NULL) AS n_missing
+FROM scores GROUP BY ticker HAVING n_zero > 0"""),
+    {"ticker": "s", "n_zero": "i", "n_missing": "i"}))
 def equality_filters(spark, sf_dir):
-    """Rows whose score equals 0 (P9), counted per ticker."""
+    """Rows whose score equals 0, and rows without a score (P9), counted per ticker."""
     s = sentiment_scores(spark, sf_dir)
-    return s.filter(F.col("target_score") == 0).groupBy("ticker").agg(F.count(F.lit(1)).alias("n_zero"))
+    zero = filtered_by(s, target_score=0.0).groupBy("ticker").agg(F.count(F.lit(1)).alias("n_zero"))
+    none = filtered_by(s, target_score=None).groupBy("ticker").agg(F.count(F.lit(1)).alias("n_missing"))
+    return zero.join(none, "ticker", "left").na.fill(0, ["n_missing"])

@@ -339,3 +339,12 @@ def link_cascade(spark, sf_dir):
     res, mentions = _resolved_steps(spark, sf_dir)
     per = L.related_per_article(mentions, res)
     return per.select("article_id", "target", T.join_tickers(F.col("related")).alias("related"))
+
+
+# ---------------------------------------------------------------- P9 articles related to one ticker
+@query("related_filter", sql_finish(with_views(["raw_articles", "names"], "SELECT arrival, ticker, related FROM scan WHERE related = 'FPT'", extra=SCAN_CTE),
+                                    {"arrival": "i", "ticker": "s", "related": "s"}))
+def related_filter(spark, sf_dir):
+    """Articles whose related tickers are exactly one given ticker."""
+    s = _scan(spark, sf_dir).select("arrival", "ticker", T.join_tickers(F.col("related")).alias("related"))
+    return A.filtered_by(s, related="FPT")
