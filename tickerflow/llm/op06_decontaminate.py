@@ -9,8 +9,8 @@ with their places. Documents with a match can then be removed.
 Only document suffixes whose first two words follow each other in some item enter the
 array: no other suffix can agree with an item in two words or more (items of one word keep
 all suffixes that start with it). The benchmark is read in blocks of at most
-``BENCH_BLOCK_WORDS`` words; each block is one pass over the documents, so what a task
-holds does not grow with the benchmark.
+``BENCH_BLOCK_WORDS`` words; each block is one pass over the documents. The passes are chained in one
+stage, so the workers of a task together hold all blocks.
 """
 
 from __future__ import annotations
