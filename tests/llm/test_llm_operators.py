@@ -136,39 +136,88 @@ def test_lm_learns_every_token_of_every_training_document():
 
     assert [k for low, high in op1.ROUNDS for k in range(low, high)] == list(range(24))  # each document in one round
     rng = np.random.default_rng(0)
-    for n in (0, 1, 15, 16, 17, 1000, 128 * 64 + 1, 128 * 79 + 127):
-        trainer = gru.Trainer(gru.new_weights(30, np.zeros(7), np.zeros((4, gru.PLACES))), 0.01)
-        trainer.learn(rng.integers(1, 30, n), rng.integers(0, 7, n), rng.integers(0, gru.PLACES, n), 0)
+    w = small_model()
+    for n in (0, 1, 15, 16, 17, 1000, gru.LANES * 64 + 1, gru.LANES * 79 + 127):
+        trainer = gru.Trainer(w, 0.01)
+        trainer.learn(rng.integers(0, len(w["embedding"]) + len(w["leaf_embedding"]), n))
         assert trainer.tokens == n and math.isfinite(trainer.loss)
+        assert trainer.w["leaf_touches"].sum() <= n and all(np.isfinite(x).all() for x in trainer.w.values())
+
+
+def small_model():
+    """Two classes with a place, one with leaves, three without."""
+    from tickerflow.llm import gru
+
+    rng = np.random.default_rng(1)
+    return gru.new_weights(rng.random(6), rng.random((3, gru.PLACES)), rng.random((gru.PLACES, gru.LEAVES)))
+
+
+def test_lm_is_a_distribution_over_all_its_words():
+    from tickerflow.llm import gru
+
+    w = small_model()
+    n = len(w["embedding"]) + len(w["leaf_embedding"])
+    assert n == 2 * gru.PLACES + 3 + gru.PLACES * gru.LEAVES
+    h = np.tile(np.random.default_rng(2).standard_normal(gru.HIDDEN).astype(np.float32), (n, 1))
+    assert np.exp(gru.log_probs(h, np.arange(n), w).astype(float)).sum() == pytest.approx(1, rel=1e-4)
+
+
+def test_lm_averages_touched_rows_by_their_touches():
+    from tickerflow.llm import gru
+
+    a, b = small_model(), small_model()
+    for w, n, x in ((a, 3, 1.0), (b, 1, 5.0)):
+        w["leaves"][7], w["leaf_touches"][7], w["bias"][:] = x, n, x
+    tokens, w = gru.mean([(10.0, a), (30.0, b)])
+    assert tokens == 40 and (w["leaves"][7] == 2).all() and w["leaf_touches"][7] == 4 and (w["bias"] == 4).all()
+    assert (w["leaves"][8] == a["leaves"][8]).all()  # no learner touched them
+
+
+def test_lm_scores_do_not_depend_on_the_split(spark, monkeypatch):
+    monkeypatch.setattr(op1, "LEARNER_TOKENS", 60_000)  # several learners, two levels of averages
+    monkeypatch.setattr(op1, "FAN_IN", 2)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    two, seven = ({r.doc_id: r.score for r in op1.score(docs.repartition(n, "text")).collect()} for n in (2, 7))
+    assert two.keys() == seven.keys() and len(two) == docs.count()
+    assert all(two[d] == pytest.approx(seven[d], rel=1e-4) for d in two)
 
 
 def test_gradients_and_carried_state():
     from tickerflow.llm import gru
 
     rng = np.random.default_rng(0)
-    w = {k: v.astype(np.float64) for k, v in gru.new_weights(30, np.zeros(7), np.zeros((4, gru.PLACES))).items()}
-    ids, cls, place = (rng.integers(0, n, (gru.STEPS, 3)) for n in (30, 7, gru.PLACES))
-    loss = lambda: gru._gradients(ids, ids == 0, cls, place, np.zeros((3, gru.HIDDEN)), w)
-    g = loss()[0]
-    for k in w:
-        at = (ids[3, 1], 2) if k == "embedding" else tuple(rng.integers(0, s) for s in w[k].shape)
+    w = {k: v.astype(np.float64) for k, v in small_model().items()}
+    n_inputs, n = len(w["embedding"]), len(w["embedding"]) + len(w["leaf_embedding"])
+    before, target = (np.where(rng.random((gru.STEPS, 3)) < 0.5, rng.integers(n_inputs, n, (gru.STEPS, 3)), rng.integers(0, n_inputs, (gru.STEPS, 3))) for _ in range(2))
+    before[3, 1], before[5, 0], target[4, 2] = 5, n_inputs + 9, n_inputs + 7 * gru.LEAVES + 2
+    loss = lambda: gru._gradients(before, target, np.zeros((3, gru.HIDDEN)), w)
+    g, sparse, _, _ = loss()
+    for k, (rows, x, touches) in sparse.items():
+        g[k] = np.zeros_like(w[k])
+        g[k][rows] = x
+        assert touches.sum() == ((before if k == "leaf_embedding" else target) >= n_inputs).sum()
+    for k in [*g] * 2:
+        at = tuple(rng.integers(0, s) for s in w[k].shape)
+        at = {"embedding": (5, 2), "leaf_embedding": (9, 1), "leaves": (7, at[-1] % 8, 2)}.get(k, at)
         w[k][at] += 1e-5
-        up = loss()[2]
+        up = loss()[3]
         w[k][at] -= 2e-5
-        down = loss()[2]
+        down = loss()[3]
         w[k][at] += 1e-5
-        assert g[k][at] == pytest.approx((up - down) / 2e-5 / ids.size, rel=1e-3, abs=1e-8)
-    w = {k: v.astype(np.float32) for k, v in w.items()}
-    n = 300
-    ids, cls, place = rng.integers(1, 30, n), rng.integers(0, 7, n), rng.integers(0, gru.PLACES, n)
-    whole = gru.score(ids, cls, place, np.array([0, 80, 80 + 7, n]), 0, w)
-    alone = [gru.score(ids[a:b], cls[a:b], place[a:b], np.array([0, b - a]), 0, w)[0] for a, b in ((0, 80), (80, 87), (87, n))]
+        assert g[k][at] == pytest.approx((up - down) / 2e-5 / before.size, rel=1e-3, abs=1e-8)
+    assert g["leaves"][7, 0, 2] != 0 and g["leaves"][7, -1, 2] != 0 and g["leaf_embedding"][9, 1] != 0
+    w = small_model()
+    n_words, end = 300, gru.end_of(w)
+    ids = rng.integers(0, n, n_words)
+    whole = gru.score(ids, np.array([0, 80, 80 + 7, n_words]), w)
+    alone = [gru.score(ids[a:b], np.array([0, b - a]), w)[0] for a, b in ((0, 80), (80, 87), (87, n_words))]
     assert whole == pytest.approx(alone, rel=1e-4)
-    h, total, before = np.zeros((1, gru.HIDDEN), np.float32), 0.0, 0  # step by step
+    table = np.concatenate([w["embedding"], w["leaf_embedding"] @ w["widen"]]) @ w["inputs"] + w["bias"]
+    h, total, last = np.zeros((1, gru.HIDDEN), np.float32), 0.0, end  # step by step
     for t in range(80):
-        h = gru._cell((w["embedding"] @ w["inputs"] + w["bias"])[[before]], h, w)[0]
-        total += float(gru.log_probs(h, cls[[t]], place[[t]], w)[0])
-        before = ids[t]
+        h = gru._cell(table[[last]], np.where(last == end, np.float32(0), h), w)[0]
+        total += float(gru.log_probs(h, ids[[t]], w)[0])
+        last = ids[t]
     assert whole[0] == pytest.approx(total, rel=1e-4)
 
 
