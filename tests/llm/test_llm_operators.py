@@ -461,6 +461,9 @@ def test_contamination(spark, docs, rows, none):
     for most in (1_000_000, 12):
         got = op6.find_contamination(docs, table, max_words=most).collect()
         same([(r.doc_id, r.n_words, sum(x.to - getattr(x, "from") for x in r.hits), ",".join(r["items"])) for r in got], expected)
+        # one pass over the documents in a plan, however many blocks the benchmark has
+        plan = op6.find_contamination(docs, table, max_words=most)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1
     clean = op6.remove_contaminated(docs, table)
     assert clean.columns == docs.columns
     same([(r.doc_id,) for r in clean.collect()], [(e[0],) for e in expected if not e[2]])

@@ -9,8 +9,9 @@ with their places. Documents with a match can then be removed.
 Only document suffixes whose first two words follow each other in some item enter the
 array: no other suffix can agree with an item in two words or more (items of one word keep
 all suffixes that start with it). The benchmark is read in blocks of at most
-``BENCH_BLOCK_WORDS`` words; each block is one pass over the documents. The passes are chained in one
-stage, so the workers of a task together hold all blocks.
+``BENCH_BLOCK_WORDS`` words; each block is one pass over the documents. Between two passes the documents and
+their hits are written, so a task holds one block, whatever the size of the benchmark, and an executor lost in a pass
+only repeats that pass.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import ship_package
+from .tables import written
 from .words import ALNUM, blocks
 
 WINDOW = 10
@@ -163,13 +165,17 @@ def find_contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW,
     repeated or null ids each get their own result. Items with a null id cover words but
     are named nowhere; equal items with different ids are all named. Columns of ``docs`` that
     are named as results are replaced, all others stay. An empty benchmark gives no hits, an
-    empty table no rows.
+    empty table no rows. Very long texts are searched whole. A benchmark of more than ``max_words`` words runs
+    its passes but the last when this is called.
     """
     spark = docs.sparkSession
     ship_package(spark)
     out = docs.drop(*RESULT)
     fields = StructType([f for f in out.schema.fields] + StructType.fromDDL("n_words bigint, hits array<struct<`from`: int, `to`: int>>, items array<string>, longest_match int, longest_at int").fields)
-    for rows in _bench_blocks(bench, max_words):
+    for block, rows in enumerate(_bench_blocks(bench, max_words)):
+        if block:
+            names = [f"c{i}" for i in range(len(out.columns))]  # any names of docs can be written
+            out = written(out.toDF(*names), "hits").toDF(*out.columns)
         shared = spark.sparkContext.broadcast(_items(rows, window))
         out = out.mapInArrow(partial(_scan, shared=shared, window=window), fields)
     return out
