@@ -263,11 +263,13 @@ def test_suffix_automaton():
 # 3
 
 
+def _word_sets(rows):
+    words = [split((t or "").translate({c: c + 32 for c in range(65, 91)})) for _, t, *_ in rows]
+    return [frozenset(tuple(w[k : k + 4]) for k in range(len(w) - 3)) if len(w) >= 4 else frozenset([tuple(w)] if w else []) for w in words]
+
+
 def _classes(rows, percent=85):
-    sets = []
-    for _, t, *_ in rows:
-        w = split((t or "").translate({c: c + 32 for c in range(65, 91)}))
-        sets.append(frozenset(tuple(w[k : k + 4]) for k in range(len(w) - 3)) if len(w) >= 4 else frozenset([tuple(w)] if w else []))
+    sets = _word_sets(rows)
     parent = {r[0]: r[0] for r in rows if r[0] is not None}
 
     def root(x):
@@ -292,6 +294,42 @@ def test_jaccard(docs, rows, monkeypatch, rounds, hot, long):
     same([tuple(r) for r in op3.jaccard_classes(docs, star_rounds=rounds).collect()], _classes(rows))
 
 
+def _n_links(rows, percent=85):
+    """With how many other rows each row links, pair by pair."""
+    sets, n = _word_sets(rows), [0] * len(rows)
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and None not in (rows[i][0], rows[j][0]) and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                n[i] += 1
+                n[j] += 1
+    return [(*c, k) for c, k in zip(_classes(rows, percent), n)]
+
+
+@pytest.mark.parametrize(("small", "block"), [(32, 256), (2, 4), (1, 1)])
+def test_jaccard_counts_links(docs, rows, none, monkeypatch, small, block):
+    monkeypatch.setattr(op3, "SMALL", small)
+    monkeypatch.setattr(op3, "BLOCK", block)
+    got = op3.jaccard_classes(docs, count_links=True)
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+    expected = _n_links(rows)
+    assert max(n for *_, n in expected) > 7 and len({n for *_, n in expected}) > 3
+    same([tuple(r) for r in got.collect()], expected)
+    assert op3.jaccard_classes(none, count_links=True).count() == 0
+
+
+def test_jaccard_links_within_a_chain(spark):
+    """Copies that drift word by word: one class, but its ends don't link; two texts under one id."""
+    words = _passage(31, 60)
+    rows = []
+    for k in range(12):
+        rows.append((k, " ".join(words), None, None, 0, 0, "", 0, ""))
+        words = words[2:] + _passage(900 + k, 2)
+    rows += [(3, rows[3][1] + " and more", None, None, 0, 0, "", 0, ""), (40, rows[3][1], None, None, 0, 0, "", 0, "")]
+    expected = _n_links(rows)
+    assert len({c for _, _, c, _ in expected}) == 1 and max(n for *_, n in expected) < len(rows) - 1
+    same([tuple(r) for r in op3.jaccard_classes(spark.createDataFrame(rows, DOCS), count_links=True).collect()], expected)
+
+
 def test_jaccard_keeps_one(docs, rows, none):
     kept = op3.one_of_each(docs)
     assert kept.columns == docs.columns

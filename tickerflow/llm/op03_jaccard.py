@@ -18,7 +18,8 @@ its documents only (a different one each round), which already connects a large
 proportional to its size. Then all pairs whose documents aren't yet in one class are multiplied, so no link
 between different classes is lost: pairs of short columns one by one, those of documents that long columns
 connect in blocks of rows, as dense products of BLOCK by BLOCK documents over the shingles that they have.
-Shingles are compared by 63-bit hashes.
+Links are counted once the classes are known: only sets of one class can link, so each class is multiplied by itself
+in blocks, which give sums per set and no pairs. Small classes share a block. Shingles are compared by 63-bit hashes.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ STAR_ROUNDS = 2
 HOT_SHARE, HOT_DF, HOT_MAX = 0.25, 8, 1_000_000
 #: Columns of more documents are long; rows and columns of a block, shingles of a product.
 LONG, BLOCK, WIDTH = 64, 256, 4096
+#: Classes of at most SMALL sets share blocks of about that many sets when links are counted.
+SMALL = 32
 #: Ids (8 bytes each) up to which a list of documents is broadcast.
 BROADCAST_IDS = 1_000_000
 _COUNT_TOKENS = 2_000_000
@@ -178,14 +181,19 @@ def _product(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _linked(x: pd.DataFrame, y: pd.DataFrame, percent: int) -> np.ndarray:
+    """Whether each row of x links with each of y, by their whole sets."""
+    both = _product(list(x["tokens"]), list(y["tokens"])).round().astype(np.int64)
+    sizes = x["tokens"].map(len).to_numpy()[:, None] + y["tokens"].map(len).to_numpy()[None, :]
+    return 100 * both >= percent * (sizes - both)
+
+
 def _block_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links between the rows (left) and columns of one block: one for each row and class of another label that it links with."""
     x, y = rows[rows["left"]], rows[~rows["left"]]
     if not len(x) or not len(y):
         return pd.DataFrame({"a": [], "b": []}).astype("int64")
-    both = _product(list(x["tokens"]), list(y["tokens"])).round().astype(np.int64)
-    sizes = x["tokens"].map(len).to_numpy()[:, None] + y["tokens"].map(len).to_numpy()[None, :]
-    link = (100 * both >= percent * (sizes - both)) & (x["label"].to_numpy()[:, None] != y["label"].to_numpy()[None, :])
+    link = _linked(x, y, percent) & (x["label"].to_numpy()[:, None] != y["label"].to_numpy()[None, :])
     i, j = np.nonzero(link)
     # one link of each row to each class is enough to join them
     _, first = np.unique(np.stack([i, y["label"].to_numpy()[j]]), axis=1, return_index=True)
@@ -194,15 +202,20 @@ def _block_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
+def _with_group(d: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """``d`` with the columns of its group (one row for each key, written): broadcast within the bound, so that the rows of a hot group stay where they are."""
+    return d.join(F.broadcast(groups) if groups.count() <= BROADCAST_IDS else groups, key)
+
+
 def _blocks(clusters: DataFrame, text: DataFrame, order, shingle: int, percent: int, written: Scratch) -> DataFrame:
     """Links that join all classes with links between them within the clusters (id, label, cluster).
 
     The rows of the product are the documents outside the largest class of their cluster, the columns all.
     """
-    main = clusters.groupBy("cluster", "label").agg(F.count("id").alias("n")).groupBy("cluster").agg(F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("main"))
-    d = clusters.join(main, "cluster").withColumn("out", F.col("label") != F.col("main"))
-    outside = d.groupBy("cluster").agg(F.count_if("out").alias("m"))
-    d = written(d.join(outside, "cluster").where("m > 0"), "jaccard-clusters")
+    groups = clusters.groupBy("cluster", "label").agg(F.count("id").alias("n")).groupBy("cluster")
+    groups = groups.agg(F.sum("n").alias("n"), (F.sum("n") - F.max("n")).alias("m"), F.max_by("label", F.struct("n", "label")).alias("main")).where("m > 0")
+    d = _with_group(clusters, written(groups, "jaccard-groups"), "cluster").withColumn("out", F.col("label") != F.col("main"))
+    d = written(d, "jaccard-clusters")
     d = d.join(_whole_sets(d.select(F.col("id").alias("doc_id")).distinct(), text, order, shingle, percent, written), "id")
     count = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
     own = lambda c: F.pmod(F.xxhash64("id"), count(c)).cast("int")
@@ -227,7 +240,43 @@ def _links(pairs: DataFrame, text: DataFrame, order, shingle: int, percent: int,
     return pairs.where(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
-def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, star_rounds: int = STAR_ROUNDS) -> DataFrame:
+def _count_block(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """(digest, linked): with how many documents of other sets of its class each set of one block links."""
+    own = [hashlib.blake2b(t.tobytes(), digest_size=16).digest() == d for t, d in zip(rows["tokens"], rows["digest"])]
+    rows = rows[own].drop_duplicates("digest")  # an id can have further texts
+    diagonal = bool((rows["i"] == rows["j"]).all())
+    x = rows[rows["left"]]
+    y = x if diagonal else rows[~rows["left"]]
+    if not len(x) or not len(y):
+        return pd.DataFrame({"digest": [], "linked": []}).astype({"linked": "int64"})
+    link = (_linked(x, y, percent) & (x["component"].to_numpy()[:, None] == y["component"].to_numpy()[None, :])).astype(np.int64)
+    if diagonal:
+        np.fill_diagonal(link, 0)
+    out = [pd.DataFrame({"digest": x["digest"], "linked": link @ y["copies"].to_numpy()})]
+    if not diagonal:
+        out.append(pd.DataFrame({"digest": y["digest"], "linked": link.T @ x["copies"].to_numpy()}))
+    return pd.concat(out).query("linked > 0")
+
+
+def _link_counts(members: DataFrame, text: DataFrame, order, shingle: int, percent: int, written: Scratch) -> DataFrame:
+    """(digest, linked) of the sets with links to other sets; members (digest, id, copies, component), one row for each set."""
+    groups = written(members.groupBy("component").agg(F.count("digest").alias("k")).where("k > 1"), "jaccard-groups")
+    d = written(_with_group(members, groups, "component"), "jaccard-members")
+    small = F.col("k") <= SMALL
+    shared = max(1, math.ceil(d.where(small).count() / SMALL))
+    d = d.join(_whole_sets(d.select(F.col("id").alias("doc_id")).distinct(), text, order, shingle, percent, written), "id")
+    parts = F.when(small, 1).otherwise(F.ceil(F.col("k") / BLOCK)).cast("int")
+    d = d.withColumn("block", F.when(small, F.pmod(F.xxhash64("component"), F.lit(shared))).otherwise(F.col("component")))
+    d = d.withColumn("own", F.pmod(F.xxhash64("digest"), parts).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    d = d.select(small.alias("small"), "block", F.least("own", "part").alias("i"), F.greatest("own", "part").alias("j"), (F.col("own") <= F.col("part")).alias("left"), "digest", "component", "copies", "tokens")
+
+    def counts(rows: pd.DataFrame) -> pd.DataFrame:
+        return _count_block(rows, percent)
+
+    return d.groupBy("small", "block", "i", "j").applyInPandas(counts, "digest binary, linked long").groupBy("digest").agg(F.sum("linked").alias("linked"))
+
+
+def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, star_rounds: int = STAR_ROUNDS, count_links: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row for each row of ``docs`` (doc_id integer, text).
 
     Words are runs of characters other than the six ASCII spaces, A-Z lower-cased; a set holds the distinct
@@ -236,6 +285,9 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     empty, n_shingles 0 and component_id the own id. Rows with a null id get their n_shingles, link
     with nothing and have a null component. Rows that share an id count as one document with several
     texts, in one class. Other columns aren't read. An empty table gives no rows.
+
+    With ``count_links`` n_links follows: with how many other rows the row links, those with the same set
+    included; repeated rows count each. Without words, and with a null id, it is 0.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -245,7 +297,7 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     rows = partial(_rows, shingle=shingle, percent=percent, order=order, whole=False)
     sets = scratch(text.mapInArrow(rows, "doc_id long, n_shingles long, digest binary, prefix array<bigint>"), "jaccard-sets")
     known = sets.where("doc_id is not null and n_shingles > 0")
-    reps = scratch(known.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix")), "jaccard-reps")
+    reps = scratch(known.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.count("doc_id").alias("copies")), "jaccard-reps")
     cells = reps.select("id", F.explode("prefix").alias("token"))
     shared = cells.groupBy("token").agg(F.count("id").alias("c")).where("c > 1")
     cells = cells.join(shared.hint("shuffle_hash"), "token")
@@ -282,9 +334,14 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         checked = pairs if checked is None else checked.union(pairs)
         if turn >= star_rounds or labels is None or found.limit(1).count():
             labels = components(links, scratch)
-    classes = reps.select("digest", F.col("id")).join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
-    out = sets.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
-    out = written(out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")), "jaccard-classes")
+    classes = reps.select("digest", "id", "copies").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    if count_links:
+        linked = _link_counts(classes, text, order, shingle, percent, scratch)
+        classes = classes.join(linked, "digest", "left").withColumn("links", F.col("copies") - 1 + F.coalesce("linked", F.lit(0)))
+    out = sets.select("doc_id", "n_shingles", "digest").join(classes.drop("id", "copies", "linked"), "digest", "left")
+    known = F.col("doc_id").isNotNull()
+    more = [F.when(known, F.coalesce("links", F.lit(0))).otherwise(0).cast("long").alias("n_links")] if count_links else []
+    out = written(out.select("doc_id", "n_shingles", F.when(known, F.coalesce("component", "doc_id")).alias("component_id"), *more), "jaccard-classes")
     scratch.clear()
     return out
 
@@ -307,5 +364,5 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classes of all documents of the table."""
-    return jaccard_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """Classes and numbers of links of all documents of the table."""
+    return jaccard_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"), count_links=True)
