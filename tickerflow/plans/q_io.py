@@ -10,6 +10,7 @@ from ..operators import articles as A
 from ..operators import features as feat
 from ..operators import market as MK
 from ..operators import relations as R
+from ..operators.common import global_row_number, stored
 from ..session import scratch_path
 from ..sources import io
 from ..streaming import streams as ST
@@ -82,15 +83,15 @@ def symbol_halves(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- S1 keyword folders
-_KW_PLAN = [("BID", "FPT", "T0"), ("FPT", "VIC", "T1"), ("VIC", "VJC", "T2"), ("VJC", "VNM", "T3"),
-            ("VNM", "BID", None)]
-
-
 def _keyword_sets(spark, sf_dir):
-    """Per ticker: its names (direct), the next ticker's names (competitors), the names
-    of one other ticker (macro; missing for VNM)."""
-    names = name_dictionary(spark, sf_dir)
-    plan = spark.createDataFrame(_KW_PLAN, "ticker string, comp string, macro string")
+    """Per ticker of the dictionary: its names (direct), the next ticker's names (competitors), the names
+    of the fifth one after it (macro; missing for every fifth ticker), in the order of the tickers."""
+    names = stored(name_dictionary(spark, sf_dir), "keyword-names")
+    n = stored(global_row_number(names.select("ticker").distinct(), ["ticker"]), "keyword-tickers")
+    plan = n
+    for col, step in (("comp", 1), ("macro", 5)):
+        plan = plan.join(n.select((F.col("rn") - step).alias("rn"), F.col("ticker").alias(col)), "rn", "left")
+    plan = plan.withColumn("macro", F.when(F.col("rn") % 5 != 0, F.col("macro")))
 
     def lists(col, alias):
         j = plan.join(names.withColumnRenamed("ticker", col), col)
@@ -103,10 +104,7 @@ def _keyword_sets(spark, sf_dir):
     return out.select("ticker", "keywords_direct", "keywords_competitors", "keywords_macro")
 
 
-_KW_VALUES = ", ".join(f"('{t}', '{c}', {('NULL' if m is None else repr(m))})" for t, c, m in _KW_PLAN)
-
-
-@query("keyword_list", sql_finish(with_views(["names"], f"""
+@query("keyword_list", sql_finish(with_views(["names"], """
 SELECT ticker, grp AS "group", row_number() OVER (PARTITION BY ticker ORDER BY gi, ord) - 1 AS pos, name AS keyword
 FROM (
   SELECT tk.ticker, 0 AS gi, 'keywords_direct' AS grp, n.name, n.ord FROM tk JOIN names n ON n.ticker = tk.ticker
@@ -114,7 +112,10 @@ FROM (
   SELECT tk.ticker, 1, 'keywords_competitors', n.name, n.ord FROM tk JOIN names n ON n.ticker = tk.comp
   UNION ALL
   SELECT tk.ticker, 2, 'keywords_macro', n.name, n.ord FROM tk JOIN names n ON n.ticker = tk.macro
-)""", extra=f"tk AS (SELECT * FROM (VALUES {_KW_VALUES}) AS v(ticker, comp, macro))"),
+)""", extra="""
+tn AS (SELECT ticker, row_number() OVER (ORDER BY ticker) AS rn FROM (SELECT DISTINCT ticker FROM names)),
+tk AS (SELECT t.ticker, c.ticker AS comp, CASE WHEN t.rn % 5 <> 0 THEN m.ticker END AS macro
+       FROM tn t LEFT JOIN tn c ON c.rn = t.rn + 1 LEFT JOIN tn m ON m.rn = t.rn + 5)"""),
     {"ticker": "s", "group": "s", "pos": "i", "keyword": "s"}))
 def keyword_list(spark, sf_dir):
     """Keyword sets written as JSON files, read back as one flat list."""

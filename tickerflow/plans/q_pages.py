@@ -68,8 +68,7 @@ def page_extract(spark, sf_dir):
 
 # ---------------------------------------------------------------- X1/X2 crawl frontier
 def _keywords(spark, sf_dir):
-    n = name_dictionary(spark, sf_dir)
-    return n.filter(F.col("ticker").isin(TICKERS)).select("ticker", F.col("name").alias("keyword"))
+    return name_dictionary(spark, sf_dir).select("ticker", F.col("name").alias("keyword"))
 
 
 _MAX_PAGES = 8
@@ -89,7 +88,7 @@ SELECT k.ticker, k.keyword, p.source, pg AS page,
        CASE WHEN p.source = 'Vietnamnet' THEN 'https://vietnamnet.vn/tim-kiem-p' || pg || '?q=' || k.keyword || '&od=2'
             WHEN p.source = 'Vietstock' THEN 'https://finance.vietstock.vn/View/PagingNewsContent'
             ELSE p.before || CASE WHEN p.source IN ('VnEconomy', 'FireAnt') THEN replace(url_encode(k.keyword), '%20', '+') ELSE k.keyword END || p.between || pg * p.step || p.after END AS url
-FROM (SELECT ticker, name AS keyword FROM names WHERE ticker IN ({', '.join(f"'{t}'" for t in TICKERS)})) k
+FROM (SELECT ticker, name AS keyword FROM names) k
 CROSS JOIN (VALUES {_PROFILE_ROWS}) AS p(source, before, between, step, after, first_page, cap5)
 CROSS JOIN LATERAL (SELECT unnest(range(p.first_page,
                     p.first_page + CASE WHEN p.cap5 THEN least({_MAX_PAGES}, 5) ELSE {_MAX_PAGES} END)) AS pg)
@@ -101,7 +100,7 @@ def crawl_frontier(spark, sf_dir):
 
 @query("vietstock_forms", sql_finish(with_views(["names"], f"""
 SELECT ticker, name AS keyword, pg AS page, '1' || '|' || name || '|1|01/01/2022|02/12/2025|-1|' || pg || '|20|token-' || ticker AS form
-FROM names CROSS JOIN (SELECT unnest(range(1, {_MAX_PAGES + 1})) AS pg) WHERE ticker IN ({', '.join(f"'{t}'" for t in TICKERS)})"""),
+FROM names CROSS JOIN (SELECT unnest(range(1, {_MAX_PAGES + 1})) AS pg)"""),
     {"ticker": "s", "keyword": "s", "page": "i", "form": "s"}))
 def vietstock_forms(spark, sf_dir):
     """The POST bodies of Vietstock's search, all fields in order."""
