@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -52,6 +53,28 @@ def test_streams_equal_batch_for_files_in_any_order(spark, tmp_path):
     assert len(got) == 20 and sum(x for x, _ in got) == 240
 
 
+def test_stream_within_a_delay_keeps_late_rows_apart(spark, tmp_path):
+    """Files out of order: a row is late by the newest row of earlier batches, a URL comes once within the limit."""
+    t0 = dt.datetime(2024, 1, 1)
+    batches = [[(0, "a"), (1, "b"), (1, "b")], [(30, "a"), (2, "c"), (31, "d")], [(5, "e"), (28, "d"), (32, "a")], [(80, "d"), (60, "f"), (None, "g")]]
+    src, rows = tmp_path / "late", "ts timestamp, url string, related string"
+    for k, part in enumerate(batches):
+        at = [(None if h is None else t0 + dt.timedelta(hours=h), u, "VIC") for h, u in part]
+        spark.createDataFrame(at, rows).coalesce(1).write.mode("append").parquet(str(src))
+        for f in src.glob("part-*.parquet"):
+            if f.stat().st_mtime > 1_750_000_000:  # the new one: files are read in the order of their times
+                os.utime(f, (1_700_000_000 + 100 * k,) * 2)
+    s = ST.file_stream(spark, str(src), spark.read.parquet(str(src)).schema, max_files=1)
+    hours = lambda df: sorted(("-" if r["ts"] is None else str(int((r["ts"] - t0).total_seconds() // 3600)), r["url"]) for r in df.collect())
+    kept, late = ST.run_within(spark, s, "w-urls", "24 hours", once_per="url")
+    assert hours(late) == [("-", "g"), ("5", "e")]
+    # limits by batch: none, -23, 7, 8; a at 30 meets a at 0, a at 32 no longer; d at 28 and 80 meet d at 31
+    assert hours(kept) == sorted([("0", "a"), ("1", "b"), ("2", "c"), ("31", "d"), ("32", "a"), ("60", "f")])
+    kept, late = ST.run_within(spark, s, "w-all", "24 hours")
+    assert kept.count() + late.count() == sum(map(len, batches)) and late.count() == 2
+    assert kept.groupBy(F.window("ts", "1 day"), "related").count().agg(F.sum("count")).first()[0] == kept.count()
+
+
 def test_csv_roundtrip_and_empty_guard(spark, tmp_path):
     rows = [("BID", dt.date(2024, 1, 2)) + tuple(float(i) for i in range(16))]
     df = spark.createDataFrame(rows, schemas.FEATURES)

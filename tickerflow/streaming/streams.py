@@ -67,3 +67,45 @@ def run_to_table(spark: SparkSession, df: DataFrame, name: str, mode: str = "app
     vals = [c for c in res.columns if c not in keys and c != "_batch"]
     latest = res.groupBy(*keys).agg(F.max_by(F.struct(*vals), "_batch").alias("_v"))
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in vals])
+
+
+def run_within(spark: SparkSession, stream: DataFrame, name: str, delay: str, ts: str = "ts",
+               once_per: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Drain a stream with ``availableNow`` into (kept, late) rows, nothing dropped unseen.
+
+    A row is late if it is older, by more than ``delay``, than the newest row of the earlier
+    batches; late rows (a null ``ts`` among them) go to a side table. With ``once_per`` a row is kept only if no row with the
+    same key was kept within the limit; of a batch the oldest row of each key stays. What a batch
+    needs of earlier ones is the kept rows above the limit, so that it doesn't grow with the stream.
+    Every batch overwrites its own folder: a batch that runs again changes nothing.
+    """
+    kept, late, newest = (scratch_path(spark, f"{name}-{part}") for part in ("kept", "late", "newest"))
+    schema = T.StructType([*stream.schema.fields, T.StructField("_batch", T.IntegerType())])
+    clock = T.StructType([T.StructField("newest", T.TimestampType()), T.StructField("_batch", T.IntegerType())])
+
+    def put(df: DataFrame, path: str, batch_id: int):
+        df.write.mode("overwrite").parquet(f"{path}/_batch={batch_id}")
+
+    for path, s in ((kept, schema), (late, schema), (newest, clock)):
+        put(spark.createDataFrame([], s).drop("_batch"), path, -1)
+
+    def sink(batch: DataFrame, batch_id: int):
+        own = batch.sparkSession
+        before = own.read.schema(clock).parquet(newest).where(F.col("_batch") < batch_id)
+        limit = before.agg((F.max("newest") - F.expr(f"interval {delay}")).alias("limit")).first()["limit"]
+        on_time = F.col(ts).isNotNull() if limit is None else F.coalesce(F.col(ts) >= F.lit(limit), F.lit(False))
+        put(batch.where(~on_time), late, batch_id)
+        rows = batch.where(on_time)
+        if once_per:
+            first = rows.groupBy(once_per).agg(F.min_by(F.struct(*batch.columns), F.struct(ts, *[c for c in batch.columns if c != ts])).alias("_r"))
+            rows = first.select("_r.*")
+            if limit is not None:
+                held = own.read.schema(schema).parquet(kept).where((F.col("_batch") < batch_id) & (F.col(ts) >= F.lit(limit)))
+                rows = rows.join(held.select(once_per), once_per, "left_anti").select(*batch.columns)
+        put(rows, kept, batch_id)
+        put(batch.agg(F.max(ts).alias("newest")), newest, batch_id)
+
+    q = stream.writeStream.foreachBatch(sink).option("checkpointLocation", scratch_path(spark, f"{name}-ckpt")) \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()
+    return tuple(spark.read.schema(schema).parquet(path).drop("_batch") for path in (kept, late))
