@@ -571,6 +571,34 @@ def test_main_text_repeats(spark):
     assert op8.main_text(table.limit(0)).count() == 0
 
 
+def test_main_text_of_articles_passes_the_arrays(spark):
+    """Articles are judged by the arrays of their host: repeats are counted, repeated doubtful elements go, copies and the rest stay."""
+    words = lambda s, n: " ".join(f"{s}{i}" for i in range(n))
+    hint, quote = words("h", 9), words("q", 10)
+    page = lambda own, more, name="search-hints": f'<nav>{quote}</nav><article><p>{own}</p><section id="{name}">{more}</section></article>'
+    pages = [
+        (1, "http://a/1", page(words("a", 12), hint)),
+        (2, "http://a/2", page(f"{words('b', 30)} {quote}", hint)),
+        (3, "http://a/3", page(f"{words('c', 30)} {quote}", words("x", 9))),  # no one repeats its element
+        (4, "http://a/4", page(words("d", 12), f"{hint} more")),  # not the whole element
+        (5, "http://a/5", page(words("e", 12), words("y", 9))),
+        (6, "http://a/6", page(words("e", 12), words("y", 9)) + "<p>print</p>"),  # the same text
+        (7, "http://a/7", page(words("e", 12) + " z", words("y", 9))),  # a copy, but for one token
+        (8, "http://b/1", page(words("a", 12), hint)),  # another host
+        (9, "http://a/9", f"<p>{words('a', 12)} u</p>"),  # open text is judged by open texts
+        (10, "http://a/10", page(words("f", 12), hint, "search-box")),  # boilerplate by its name
+    ]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    want = [
+        (1, f"{words('a', 12)} {hint}", 21), (2, f"{words('b', 30)} {quote}", 19), (3, f"{words('c', 30)} {quote} {words('x', 9)}", 10), (4, f"{words('d', 12)} {hint} more", 9),
+        (5, f"{words('e', 12)} {words('y', 9)}", 21), (6, f"{words('e', 12)} {words('y', 9)}", 21), (7, f"{words('e', 12)} z {words('y', 9)}", 21), (8, f"{words('a', 12)} {hint}", 0), (9, f"{words('a', 12)} u", 0), (10, words("f", 12), 0),
+    ]
+    for size in (op8.MAX_SHARD, 0):
+        same([(r.page_id, r.text, r.n_repeated) for r in op8.main_text(table, max_shard=size).collect()], want)
+    fewer = [(r.page_id, r.text) for r in op8.main_text(table.where("page_id < 9")).collect()]
+    assert dict(fewer)[1] == words("a", 12) and dict(fewer)[2] == f"{words('b', 30)} {quote}"
+
+
 def test_repeated_runs():
     rng = random.Random(4)
     for _ in range(50):

@@ -88,14 +88,20 @@ def _emit_bits(batches, bits: int):
         yield pa.RecordBatch.from_arrays([pa.array((place >> np.uint64(6)).astype(np.int64)), pa.array(mask.view(np.int64))], names=["word", "mask"])
 
 
+def _passing(key: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether the filter holds each anchor."""
+    keep = np.ones(len(key), bool)
+    for place in _positions(key, 64 * len(bits)):
+        keep &= (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return keep
+
+
 def _segments(batch, shared_filter, window: int, anchor: int):
     """(row, anchor, words, first window) of the segments of a batch that pass the filter."""
     bits = shared_filter.value
     for b in blocks(batch.column("text"), SPACE_SPLIT):
         key, first, last, doc = _anchors(b, window, anchor)
-        keep = np.ones(len(key), bool)
-        for place in _positions(key, 64 * len(bits)):
-            keep &= (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+        keep = _passing(key, bits)
         raw = b.data.tobytes()
         key, first, last, doc = key[keep].view(np.int64), first[keep], last[keep], doc[keep]
         begin, end = b.starts[first], b.ends[last + window - 1]
@@ -248,7 +254,11 @@ def _emit_kept(batches, window: int):
 def _anchor_filter(text: DataFrame, window: int, anchor: int) -> np.ndarray:
     """Bloom filter of the anchors that two rows or more have, as 64-bit words."""
     counts = text.mapInArrow(partial(_emit_anchors, window=window, anchor=anchor), "anchor long").groupBy("anchor").agg(F.count("anchor").alias("n"))
-    shared = written(counts.where("n > 1").select("anchor"), "anchors")
+    return _bloom(written(counts.where("n > 1").select("anchor"), "anchors"))
+
+
+def _bloom(shared: DataFrame) -> np.ndarray:
+    """Bloom filter of the anchors of a written table, as 64-bit words."""
     bits = 64 << max(0, int(min(MAX_FILTER_BITS, FILTER_BITS * shared.count()) // 64).bit_length())
     words = shared.mapInArrow(partial(_emit_bits, bits=bits), "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
     out = np.zeros(bits // 64, np.uint64)

@@ -2,15 +2,21 @@
 
 The mark-up gives each piece of text a role: inside an article (``article``, ``main`` or an element
 whose role, id or class says so), boilerplate (menus, headers, footers, sidebars, notices,
-adverts, forms, comments, scripts, hidden elements), or open. A page with an article has that as its
-text. A page without one has its open text, less what its host repeats: the token streams of
-such pages are searched for runs of ``RUN`` tokens or more that distinct pages of a host
-share, and the unique runs stay. A marked article is never cut by repetition: pages of one host often
-quote or copy whole paragraphs, and these belong to the text.
-
-The streams of a host are not gathered in one task. Each run of ``RUN`` tokens has an anchor (the least
+adverts, forms, comments, scripts, hidden elements), or open. The candidate of a page is the text of its article or,
+without one, its open text. The candidates of all pages of a host go through suffix arrays, which tell for each run of
+``RUN`` tokens whether distinct pages of the host hold it. What is then done with a repeated run rests on its role:
+
+* In open text it goes if another page has it in its open text: there, nothing but repetition tells menus from text.
+* In a doubtful element of an article (some parts of its name are boilerplate words, others aren't: "search-hints")
+  it goes with the element, if the runs cover all of it and less than half of the article around it. An article that is
+  mostly repeated is a copy, and tells nothing about its elements.
+* Elsewhere in an article it stays and is counted (``n_repeated``): pages of one host often quote or copy whole
+  paragraphs, and these belong to the text.
+
+The candidates of a host are not gathered in one task. Each run of ``RUN`` tokens has an anchor (the least
 hash among the short runs in it), equal runs have equal anchors, and a suffix array is built for the distinct
-stretches of each host and anchor.
+stretches of each host and anchor. Anchors of one page only can't match: those of two or more go into a Bloom filter of
+bounded size. Anchors of very many different stretches are cut further, into their runs.
 """
 
 from __future__ import annotations
@@ -18,19 +24,30 @@ from __future__ import annotations
 import hashlib
 import html
 import re
-from functools import partial
+from functools import lru_cache, partial
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.common import bounded_broadcast
 from ..session import ship_package
-from .op02_substrings import _anchors, _batch
-from .tables import written
-from .words import SPACE_SPLIT, blocks
+from .op02_substrings import _anchors, _batch, _bloom, _passing, _windows
+from .tables import Scratch, written
+from .words import SPACE_SPLIT, blocks, slices
 
 RUN, ANCHOR = 8, 3
+#: Stretches of a host and anchor beyond which they are cut into runs.
+MAX_SHARD = 500
+#: Keys packed at a time.
+PACK = 200_000
+#: Bits of a key of a host and anchor, and those of them that are kept inside a bucket.
+KEY_BITS, LOW_BITS = 40, 28
+#: Kinds of a page's candidate text.
+ARTICLE_TEXT, DOUBTFUL_TEXT, OPEN_TEXT = 0, 1, 2
 
 # Names of HTML elements.
 RAW = "script style noscript template svg math textarea select iframe object title audio video canvas button".split()
@@ -50,7 +67,8 @@ _NEUTRAL = set("box block list item items link links bar area section wrapper wr
 _GOOD = re.compile(r"(?<![a-z])(?:article|article-?body|articlebody|post-?(?:body|content|text)|entry-?(?:body|content|text)?|story(?:-?body)?|main|main-?content|page-?content|content)(?![a-z])")
 #: Never dropped for their names.
 _TEXTUAL = set("h1 h2 h3 h4 h5 h6 p pre blockquote".split())
-_OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+#: The start of a tag, comment or declaration; a tag without quotes as a whole.
+_OPEN = re.compile(r"""<(?:(/?)([a-zA-Z][^\s/>"'<]*)([^>"'<]*)>|(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))""")
 _STOP = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(id|class|role|itemprop|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _ELEMENTS = {n: "raw" for n in RAW} | {n: "bad" for n in BOILERPLATE} | {n: "good" for n in ARTICLE} | {n: "" for n in CONTAINERS} | {n: "break" for n in BREAKS}
@@ -65,8 +83,12 @@ def _next_tag(page: str, at: int, last: int) -> tuple[int, int, bool, str, str,
     m = _OPEN.search(page, at)
     if m is None:
         return None
-    if m[1] or m[2]:
-        mark = "-->" if m[1] else ">"
+    if m[2]:
+        attributes = m[3]
+        closed = attributes.endswith("/")
+        return m.start(), m.end(), bool(m[1]), m[2].lower(), attributes[:-1] if closed else attributes, closed
+    if m[4] or m[5]:
+        mark = "-->" if m[4] else ">"
         end = page.find(mark, m.end())
         return m.start(), len(page) if end < 0 else end + len(mark), False, "", "", False
     i = m.end()
@@ -77,7 +99,7 @@ def _next_tag(page: str, at: int, last: int) -> tuple[int, int, bool, str, str,
         return m.start(), len(page), False, "", "", False
     attributes = page[m.end() : stop.start()]
     closed = attributes.endswith("/")
-    return m.start(), stop.end(), bool(m[3]), m[4].lower(), attributes[:-1] if closed else attributes, closed
+    return m.start(), stop.end(), bool(m[6]), m[7].lower(), attributes[:-1] if closed else attributes, closed
 
 
 def _is_bad(said: str, inside: bool) -> bool:
@@ -89,8 +111,9 @@ def _is_bad(said: str, inside: bool) -> bool:
     return False
 
 
+@lru_cache(1 << 14)
 def _role(name: str, attributes: str, inside: bool) -> str:
-    """bad, good or empty, of an element."""
+    """bad, good, doubt or empty, of an element."""
     kind = _ELEMENTS[name]
     if kind == "bad":
         return "bad"
@@ -109,20 +132,36 @@ def _role(name: str, attributes: str, inside: bool) -> str:
     bad = name not in _TEXTUAL and _is_bad(said, inside)
     if kind != "good" and _GOOD.search(said) and not bad:
         return "good"
-    return "bad" if bad else kind
+    return "bad" if bad else kind or ("doubt" if inside and name not in _TEXTUAL and any(p in _BAD for p in re.split(r"[\s-]+", said)) else "")
 
 
 def split_page(page: str) -> tuple[str | None, str]:
     """Text of the articles of a page (None without an article) and its open text; white space as single spaces."""
+    return read_page(page)[:2]
+
+
+def read_page(page: str) -> tuple[str | None, str, list[tuple[int, int]]]:
+    """The two texts of ``split_page`` and the doubtful elements of the articles, as ranges of tokens [from, to)."""
     article, other, found = [], [], False
     stack: list[tuple[str, str]] = []
-    bad = good = 0
+    bad = good = doubt = 0
+    pieces: list[list[int]] = []  # the doubtful elements, as ranges of ``article``
     at, end, last_tag = 0, len(page), page.rfind(">")
 
     def put(piece: str) -> None:
         if not bad and piece:
             (article if good else other).append(piece)
 
+    def leave() -> str:
+        nonlocal bad, good, doubt
+        name, role = stack.pop()
+        bad -= role == "bad"
+        good -= role == "good"
+        doubt -= role == "doubt"
+        if role == "doubt" and not doubt and not bad and pieces and len(pieces[-1]) == 1:
+            pieces[-1].append(len(article))
+        return name
+
     while at < end:
         tag = _next_tag(page, at, last_tag)
         if tag is None:
@@ -145,44 +184,105 @@ def split_page(page: str) -> tuple[str | None, str]:
             continue
         if ends:
             if any(n == name for n, _ in stack):
-                while True:
-                    n, role = stack.pop()
-                    bad -= role == "bad"
-                    good -= role == "good"
-                    if n == name:
-                        break
+                while leave() != name:
+                    pass
         elif not closed:
             if name in ("p", "li", "td", "th", "tr", "dt", "dd") and stack and stack[-1][0] == name:  # the end tag is left out
-                role = stack.pop()[1]
-                bad -= role == "bad"
-                good -= role == "good"
+                leave()
             role = _role(name, attributes, good > 0)
+            if role == "doubt" and not doubt and not bad:
+                pieces.append([len(article)])
             stack.append((name, role))
             bad += role == "bad"
             good += role == "good"
+            doubt += role == "doubt"
             found |= role == "good" and not bad
-    return " ".join("".join(article).split()) if found else None, " ".join("".join(other).split())
+    spans = [tuple(len("".join(article[:k]).split()) for k in (*p, len(article))[:2]) for p in pieces]
+    return " ".join("".join(article).split()) if found else None, " ".join("".join(other).split()), [x for x in spans if x[0] < x[1]]
 
 
-def _parse(batches):
-    for batch in batches:
-        rows = [split_page(x or "") for x in batch.column("html").to_pylist()]
-        out = _batch(rows, {"article": pa.string(), "open": pa.string()})
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("page_id", "url", "host")), *out.columns], names=["page_id", "url", "host", "article", "open"])
+def _key(*parts: str) -> int:
+    return int.from_bytes(hashlib.blake2b("\0".join(parts).encode(errors="replace"), digest_size=8).digest(), "little", signed=True)
 
 
-def _stretches(batches, run: int, anchor: int, members: bool):
-    """Of each open text the stretches of runs with one anchor: as references, or with their places."""
+_PARSED = {"host": pa.string(), "stream": pa.int64(), "kind": pa.int32(), "candidate": pa.string(), "doubtful": pa.list_(pa.int32())}
+
+
+def _parse(batches):
+    """Pages with their candidates; ``stream`` names the host and the candidate, ``doubtful`` lists both ends of each element."""
+    for part in slices(batches):
+        rows = []
+        for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
+            article, other, doubtful = read_page(page or "")
+            kind = OPEN_TEXT if article is None else DOUBTFUL_TEXT if doubtful else ARTICLE_TEXT
+            text = other if article is None else article
+            rows.append((host, _key(host, text), kind, text, [x for d in doubtful for x in d] if kind == DOUBTFUL_TEXT else None))
+        yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), *_batch(rows, _PARSED).columns], names=["page_id", "url", *_PARSED])
+
+
+def _keyed(batch, run: int, anchor: int):
+    """(block, key of host and anchor, first run, last run, document) of the stretches of parsed pages."""
+    hosts = np.array([_key(h) for h in batch.column("host").to_pylist()], np.int64).view(np.uint64)
+    for b in blocks(batch.column("candidate"), SPACE_SPLIT):
+        key, first, last, doc = _anchors(b, run, anchor)
+        yield b, key ^ hosts[doc + b.first], first, last, doc
+
+
+def _packed(keys: list[np.ndarray]) -> pa.RecordBatch:
+    """(bucket, low): the keys, sorted, by their high bits."""
+    key = np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
+    bucket = (key >> np.uint64(LOW_BITS)).astype(np.int32)
+    new = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(key) else np.zeros(0, np.int64)
+    low = pa.array((key & np.uint64((1 << LOW_BITS) - 1)).astype(np.int32))
+    return pa.RecordBatch.from_arrays([pa.array(bucket[new]), pa.ListArray.from_arrays(pa.array(np.r_[new, len(key)].astype(np.int32)), low)], names=["bucket", "low"])
+
+
+def _emit_keys(batches, run: int, anchor: int):
+    """The keys of each page, once each."""
+    held, n = [], 0
+    for batch in _parse(batches):
+        for _, key, _, _, doc in _keyed(batch, run, anchor):
+            key = key >> np.uint64(64 - KEY_BITS)
+            order = np.lexsort((key, doc))
+            key, doc = key[order], doc[order]
+            held.append(key[np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]] if len(key) else key)
+            n += len(held[-1])
+            if n >= PACK:
+                yield _packed(held)
+                held, n = [], 0
+    yield _packed(held)
+
+
+def _key_filter(pages: DataFrame, run: int, anchor: int) -> np.ndarray:
+    """Bloom filter of the keys that two pages or more have. Keys that share their high bits go through the shuffle as one row."""
+    packed = pages.mapInArrow(partial(_emit_keys, run=run, anchor=anchor), "bucket int, low array<int>").repartition("bucket")
+    counts = packed.select("bucket", F.explode("low").alias("low")).groupBy("bucket", "low").agg(F.count("low").alias("n")).where("n > 1")
+    return _bloom(written(counts.select((F.shiftleft(F.col("bucket").cast("long"), LOW_BITS) + F.col("low")).alias("anchor")), "page-anchors"))
+
+
+_STRETCH = {"anchor": pa.int64(), "words": pa.binary(), "stream": pa.int64(), "kind": pa.int32(), "at": pa.int32()}
+
+
+def _stretches(batches, shared_filter: Broadcast, run: int, anchor: int):
+    """Of each candidate the stretches of runs with one anchor (of the host) that pass the filter, with their places."""
+    bits = shared_filter.value
+    for batch in _parse(batches):
+        stream, kind, out = batch.column("stream").to_pylist(), batch.column("kind").to_pylist(), []
+        for b, key, first, last, doc in _keyed(batch, run, anchor):
+            keep = _passing(key >> np.uint64(64 - KEY_BITS), bits)
+            raw, key, first, last, doc = b.data.tobytes(), key[keep].view(np.int64), first[keep], last[keep], doc[keep]
+            for k, x, y, i, d in zip(key.tolist(), b.starts[first].tolist(), b.ends[last + run - 1].tolist(), (first - b.bounds[doc]).tolist(), (doc + b.first).tolist()):
+                out.append((k, b" ".join(raw[x:y].split()), stream[d], kind[d], i))
+        yield _batch(out, _STRETCH)
+
+
+def _cut_runs(batches, run: int):
+    """The references as their single runs, each with its place."""
     for batch in batches:
-        host, stream, out = batch.column("host").to_pylist(), batch.column("stream").to_pylist(), []
-        for b in blocks(batch.column("open"), SPACE_SPLIT):
-            raw = b.data.tobytes()
-            key, first, last, doc = _anchors(b, run, anchor)
-            for k, x, y, i, d in zip(key.view("int64").tolist(), b.starts[first].tolist(), b.ends[last + run - 1].tolist(), (first - b.bounds[doc]).tolist(), (doc + b.first).tolist()):
-                words = b" ".join(raw[x:y].split())
-                out.append((host[d], hashlib.md5(words).digest(), stream[d], i) if members else (host[d], k, words, stream[d]))
-        kinds = {"host": pa.string(), "piece": pa.binary(), "stream": pa.int64(), "at": pa.int64()} if members else {"host": pa.string(), "anchor": pa.int64(), "words": pa.binary(), "stream": pa.int64()}
-        yield _batch(out, kinds)
+        names = ("anchor", "words", "lo", "hi", "open_lo", "open_hi")
+        rows = zip(*(batch.column(n).to_pylist() for n in names))
+        kinds = {"anchor": pa.int64(), "words": pa.binary(), "one": pa.binary(), "i": pa.int32()} | {n: pa.int64() for n in names[2:]}
+        yield _batch([(k, words, w, i, *ends) for k, words, *ends in rows for i, w in enumerate(_windows(words, run))], kinds)
 
 
 def repeated_runs(texts: list[list], pages: list[tuple], run: int) -> list[list[bool]]:
@@ -202,58 +302,104 @@ def repeated_runs(texts: list[list], pages: list[tuple], run: int) -> list[list[
 
 
 def _emit_repeated(batches, run: int):
-    """Rows sorted by (host, anchor)."""
-    names = ("host", "anchor", "words", "lo", "hi")
+    """(anchor, words, runs that distinct pages hold, runs that distinct open texts hold); rows sorted by anchor."""
+    names = ("anchor", "words", "lo", "hi", "open_lo", "open_hi")
     rows = (r for batch in batches for r in zip(*(batch.column(n).to_pylist() for n in names)))
-    kinds = {"host": pa.string(), "piece": pa.binary(), "repeated": pa.list_(pa.int32())}
+    kinds = {"anchor": pa.int64(), "words": pa.binary(), "repeated": pa.list_(pa.int32()), "open_repeated": pa.list_(pa.int32())}
     out = []
-    for (host, _), own in groupby(rows, lambda r: r[:2]):
+    for key, own in groupby(rows, lambda r: r[0]):
         own = list(own)
-        for r, flags in zip(own, repeated_runs([r[2].split(b" ") for r in own], [r[3:] for r in own], run)):
-            if any(flags):
-                out.append((host, hashlib.md5(r[2]).digest(), [i for i, x in enumerate(flags) if x]))
+        if len(own) == 1 and own[0][2] == own[0][3]:  # one page's
+            continue
+        places = []
+        for low, high in ((2, 3), (4, 5)):
+            held = [r for r in own if r[low] is not None]
+            if len(held) == 1:
+                r = held[0]
+                places.append([list(range(r[1].count(b" ") + 2 - run)) if x is r and r[low] != r[high] else [] for x in own])
+                continue
+            flags = repeated_runs([r[1].split(b" ") for r in held], [(r[low], r[high]) for r in held], run)
+            of = {r[1]: [i for i, x in enumerate(f) if x] for r, f in zip(held, flags)}
+            places.append([of.get(r[1], []) for r in own])
+        out += [(key, r[1], x, y) for r, x, y in zip(own, *places) if x or y]
         if len(out) > 20_000:
             yield _batch(out, kinds)
             out = []
     yield _batch(out, kinds)
 
 
-def _cut(batches, run: int):
+def _verdict(batches, run: int):
+    """Texts and numbers of repeated tokens of the pages, by the roles of their repeated runs."""
     for batch in batches:
-        texts = []
-        for text, starts in zip(batch.column("open").to_pylist(), batch.column("starts").to_pylist()):
-            words = (text or "").split(" ")
-            for s in starts or ():
-                words[s : s + run] = [None] * run
-            texts.append(" ".join(w for w in words if w))
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
-
-
-def main_text(pages: DataFrame, run: int = RUN, anchor: int = ANCHOR) -> DataFrame:
-    """(page_id, url, text), one row for each row of ``pages`` (page_id, url, html).
+        texts = batch.column("candidate").to_pylist()
+        for d, (text, kind, doubtful, starts) in enumerate(zip(texts, *(batch.column(n).to_pylist() for n in ("kind", "doubtful", "starts")))):
+            if not starts or kind == ARTICLE_TEXT:
+                continue
+            words = text.split(" ")
+            gone = np.zeros(len(words), bool)
+            for s in starts:
+                gone[s : s + run] = True
+            if kind == DOUBTFUL_TEXT:
+                pieces = [(x, y) for x, y in zip(doubtful[::2], doubtful[1::2])]
+                sure = np.ones(len(words), bool)
+                for x, y in pieces:
+                    sure[x:y] = False
+                copied = 2 * (gone & sure).sum() >= sure.sum()
+                whole = [] if copied else [(x, y) for x, y in pieces if gone[x:y].all()]
+                gone[:] = False
+                for x, y in whole:
+                    gone[x:y] = True
+            texts[d] = " ".join(w for w, g in zip(words, gone.tolist()) if not g)
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), batch.column("n_repeated")], names=["page_id", "url", "text", "n_repeated"])
+
+
+def main_text(pages: DataFrame, run: int = RUN, anchor: int = ANCHOR, max_shard: int = MAX_SHARD) -> DataFrame:
+    """(page_id, url, text, n_repeated), one row for each row of ``pages`` (page_id, url, html).
 
     White space runs are one space, blocks are joined by one space, character references are decoded. Null or
-    empty html, and pages without text, give the empty text. Pages without a marked article lose
-    the runs that another page of the host repeats; pages of a host with the same open text count as
+    empty html, and pages without text, give the empty text. Every page goes through the suffix arrays of its host;
+    ``n_repeated`` (long) counts the tokens of its candidate in runs that another page of the host repeats. Pages without a
+    marked article lose the runs that the open text of another page repeats (and count only these), articles lose repeated
+    doubtful elements and nothing else. Pages of a host with the same candidate count as
     one page, so repeated rows don't empty each other. The host is what stands between ``//`` and the next
     ``/``, ``?`` or ``#`` of the url, lower-cased; a null url is a host of its own. Other columns aren't read.
     """
-    ship_package(pages.sparkSession)
+    spark = pages.sparkSession
+    ship_package(spark)
+    scratch = Scratch(spark)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"//([^/?#]*)", 1))
+    rows = pages.select("page_id", "url", host.alias("host"), "html")
+    size = {"run": run, "anchor": anchor}
+    passing = spark.sparkContext.broadcast(_key_filter(rows, **size))
+    kinds = "anchor long, words binary, stream long, kind int, at int"
+    found = scratch(rows.mapInArrow(partial(_stretches, shared_filter=passing, **size), kinds), "stretches", compression="zstd")
+    many = found.groupBy("anchor").agg(F.count("at").alias("n"), F.min(F.xxhash64("words")).alias("x"), F.max(F.xxhash64("words")).alias("y"))
+    many = bounded_broadcast(scratch(many.where((F.col("n") > max_shard) & (F.col("x") != F.col("y"))).select("anchor"), "cut-anchors"))
+    open_stream = F.when(F.col("kind") == OPEN_TEXT, F.col("stream"))
+    ends = [F.min("stream").alias("lo"), F.max("stream").alias("hi"), F.min(open_stream).alias("open_lo"), F.max(open_stream).alias("open_hi")]
+    refs = lambda d: d.select("anchor", "words", "stream", "kind").repartition("anchor").groupBy("anchor", "words").agg(*ends)
+    whole = refs(found.join(many, "anchor", "left_anti")).sortWithinPartitions("anchor", "words")
+    repeated = whole.mapInArrow(partial(_emit_repeated, run=run), "anchor long, words binary, repeated array<int>, open_repeated array<int>")
+    heavy = found.join(many, "anchor", "left_semi").groupBy("anchor", "words").agg(*ends)
+    runs = scratch(heavy.mapInArrow(partial(_cut_runs, run=run), "anchor long, words binary, one binary, i int, lo long, hi long, open_lo long, open_hi long"), "single-runs")
+    sums = runs.groupBy("anchor", "one").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("open_lo").alias("open_lo"), F.max("open_hi").alias("open_hi")).where("lo <> hi")
+    places = lambda at: F.collect_list(F.when(at, F.col("i")))
+    single = runs.select("anchor", "words", "one", "i").join(sums, ["anchor", "one"]).groupBy("anchor", "words").agg(places(F.col("lo") != F.col("hi")).alias("repeated"), places(F.col("open_lo") != F.col("open_hi")).alias("open_repeated"))
+    piece = F.unhex(F.md5(F.concat(F.col("anchor").cast("string").cast("binary"), "words"))).alias("piece")
+    members = found.select(piece, "stream", "kind", "at").join(repeated.unionByName(single).select(piece, "repeated", "open_repeated"), "piece")
+    own = F.when(F.col("kind") == OPEN_TEXT, F.col("open_repeated")).otherwise(F.col("repeated"))
+    members = members.select("stream", "kind", F.transform(own, lambda i: F.col("at") + i).alias("starts")).where(F.size("starts") > 0)
+    members = members.groupBy("stream", "kind").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("starts")))).alias("starts"))  # one candidate's runs; copies of it add none
+    covered = F.expr(f"aggregate(zip_with(slice(starts, 1, size(starts) - 1), slice(starts, 2, size(starts) - 1), (x, y) -> least({run}, y - x)), {run}, (x, y) -> x + y)")
+    flags = written(members.select("stream", "kind", covered.cast("long").alias("n_repeated"), F.when(F.col("kind") != ARTICLE_TEXT, F.col("starts")).alias("starts")), "repeated-runs")
+    scratch.clear()
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string"
-    parsed = pages.select("page_id", "url", host.alias("host"), "html").mapInArrow(_parse, f"{schema}, host string, article string, open string")
-    marked = parsed.where("article is not null").select("page_id", "url", F.col("article").alias("text"))
-    free = written(parsed.where("article is null").drop("article").withColumn("stream", F.xxhash64("open")), "open-pages")
-    refs = free.mapInArrow(partial(_stretches, run=run, anchor=anchor, members=False), "host string, anchor long, words binary, stream long")
-    refs = refs.groupBy("host", "anchor", "words").agg(F.min("stream").alias("lo"), F.max("stream").alias("hi")).repartition("host", "anchor").sortWithinPartitions("host", "anchor", "words")
-    repeated = refs.mapInArrow(partial(_emit_repeated, run=run), "host string, piece binary, repeated array<int>")
-    members = free.mapInArrow(partial(_stretches, run=run, anchor=anchor, members=True), "host string, piece binary, stream long, at long").distinct()
-    starts = members.join(repeated, ["host", "piece"]).select("host", "stream", F.transform("repeated", lambda i: F.col("at") + i).alias("starts"))
-    starts = starts.groupBy("host", "stream").agg(F.flatten(F.collect_list("starts")).alias("starts"))  # one page's runs
-    cut = free.join(starts, ["host", "stream"], "left").mapInArrow(partial(_cut, run=run), f"{schema}, text string")
-    return marked.unionByName(cut)
+    parsed = rows.mapInArrow(_parse, f"{schema}, host string, stream long, kind int, candidate string, doubtful array<int>")
+    judged = parsed.join(bounded_broadcast(flags), ["stream", "kind"], "left").withColumn("n_repeated", F.coalesce("n_repeated", F.lit(0).cast("long")))
+    return judged.mapInArrow(partial(_verdict, run=run), f"{schema}, text string, n_repeated long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page of the table."""
-    return main_text(spark.read.parquet(f"{sf_dir}/pages.parquet")).withColumn("n_chars", F.length("text").cast("long"))
+    texts = main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")
