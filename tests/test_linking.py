@@ -125,3 +125,16 @@ def test_contained_names_equal_all_pairs(spark):
     got = L.contained_names(rest, spark.createDataFrame(names, "ord long, name string, ticker string"))
     assert {(r["entity"], r["target"]): r["ticker"] for r in got.collect()} == want and len(want) > 20
     assert "NestedLoop" not in got._jdf.queryExecution().toString()
+
+
+def test_scan_holds_pieces_of_a_batch():
+    """A batch of any size is scanned in pieces; nulls have no keys but the empty one."""
+    import pyarrow as pa
+
+    n = 3 * L.SCAN_ROWS + 1
+    texts = [None if i % 7 == 0 else f"Alpha {i} BETA" for i in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array(["A" if i % 2 else None for i in range(n)]), pa.array(texts)], names=["doc", "target", "text"])
+    out = list(L.scan_batches([batch, batch.slice(0, 0)], L.scan_partition([("alpha", "A"), ("beta", "B"), ("alpha 1", None)])))
+    assert max(map(len, out)) <= L.SCAN_ROWS
+    got = [r for b in out for r in b.column("related").to_pylist()]
+    assert got == [[] if i % 7 == 0 else ["B"] if i % 2 else ["A", "B"] for i in range(n)]

@@ -11,6 +11,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -221,6 +222,8 @@ def related_per_article(mentions: DataFrame, resolved: DataFrame, doc: str = "ar
 
 # ---------------------------------------------------------------- J7 dictionary scan
 
+SCAN_ROWS = 256  # texts of a batch that are Python strings at a time
+
 def scan_partition(keys: list[tuple[str, str]], short: int = SHORT_KEY):
     """Build the per-task matcher for the dictionary scan.
 
@@ -270,6 +273,15 @@ def scan_partition(keys: list[tuple[str, str]], short: int = SHORT_KEY):
     return run
 
 
+def scan_batches(batches, run):
+    """(doc, target, related) of Arrow batches (doc, target, text), in pieces of ``SCAN_ROWS`` rows: what is held as Python strings
+    doesn't grow with Spark's batches. Lower-casing is Python's str.lower (the reference's rule)."""
+    for part in (b.slice(at, SCAN_ROWS) for b in batches for at in range(0, len(b), SCAN_ROWS)):
+        targets, texts = part.column("target"), part.column("text")
+        related = [sorted(tk for tk in run((x.as_py() or "").lower()) if tk is not None and tk != t) for t, x in zip(targets.to_pylist(), texts)]
+        yield pa.RecordBatch.from_arrays([part.column("doc"), targets, pa.array(related, pa.list_(pa.string()))], names=["doc", "target", "related"])
+
+
 def dictionary_scan(articles: DataFrame, keys: DataFrame, doc: str = "arrival", target: str = "ticker",
                     max_keys: int = 200_000) -> DataFrame:
     """``scan_tickers_from_text`` (J7): every key contained in lower(title + '. ' + content).
@@ -283,7 +295,7 @@ def dictionary_scan(articles: DataFrame, keys: DataFrame, doc: str = "arrival",
     from ..functions.text import article_text
     from ..session import ship_package
 
-    text = articles.select(F.col(doc).alias("doc"), F.col(target).alias("target"),
+    text = articles.select(F.col(doc).cast("long").alias("doc"), F.col(target).alias("target"),
                            article_text(F.col("title"), F.col("content")).alias("text"))
     if keys.count() > max_keys:
         return scan_by_grams(text, keys).select(F.col("doc").alias(doc), F.col("target").alias(target), "related")
@@ -291,14 +303,7 @@ def dictionary_scan(articles: DataFrame, keys: DataFrame, doc: str = "arrival",
     ship_package(spark)
     rows = spark.sparkContext.broadcast([(r["key"], r["ticker"]) for r in keys.select("key", "ticker").collect()])  # max_keys at most
 
-    def scan(batches):
-        run = scan_partition(rows.value)
-        for pdf in batches:
-            # lower-casing happens in the task with Python's str.lower (the reference's rule)
-            related = [sorted(tk for tk in run((x or "").lower()) if tk is not None and tk != t) for t, x in zip(pdf["target"], pdf["text"])]
-            yield pd.DataFrame({"doc": pdf["doc"], "target": pdf["target"], "related": related})
-
-    found = text.mapInPandas(scan, "doc long, target string, related array<string>")
+    found = text.mapInArrow(lambda batches: scan_batches(batches, scan_partition(rows.value)), "doc long, target string, related array<string>")
     return found.select(F.col("doc").alias(doc), F.col("target").alias(target), "related")
 
 
