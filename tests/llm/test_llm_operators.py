@@ -543,6 +543,23 @@ def test_mixing_comes_near_targets(spark):
         assert r["sum(taken)"] == pytest.approx(r["target"], rel=0.05)
 
 
+def test_jaccard_sets_of_a_batch_come_in_pieces():
+    """Tasks hold the sets of some rows of a batch, not of all; the pieces make up the batch."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    n = 2 * op3.SLICE_ROWS + 5
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([None if i % 5 == 0 else f"a b c d {i % 9} e" for i in range(n)])], names=["doc_id", "text"])
+    order = SimpleNamespace(value=(np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    for whole in (False, True):
+        out = list(op3._rows([batch], 4, 85, order, whole))
+        assert max(map(len, out)) <= op3.SLICE_ROWS and [x for b in out for x in b.column(0).to_pylist()] == list(range(n))
+        sets = [x for b in out for x in b.column("tokens" if whole else "prefix").to_pylist()]
+        one = [x for b in op3._rows([batch.slice(i, 1) for i in range(n)], 4, 85, order, whole) for x in b.column("tokens" if whole else "prefix").to_pylist()]
+        assert sets == one
+
+
 # 8
 
 PAGE = """<!DOCTYPE html><html><head><title>x</title></head><body class="post has-sidebar"><header><h1>Site</h1></header><nav>menu</nav>

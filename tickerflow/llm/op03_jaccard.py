@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from .components import components
 from .tables import Scratch, most_frequent, written
-from .words import Block, SPACE_SPLIT, blocks
+from .words import Block, SLICE_ROWS, SPACE_SPLIT, blocks, slices
 
 SHINGLE, PERCENT = 4, 85
 #: Rounds that multiply each column by one document.
@@ -51,7 +51,7 @@ LONG, BLOCK, WIDTH = 64, 256, 4096
 SMALL = 32
 #: Ids (8 bytes each) up to which a list of documents is broadcast.
 BROADCAST_IDS = 1_000_000
-_COUNT_TOKENS = 2_000_000
+_COUNT_TOKENS = 1_000_000
 
 
 def _sets(b: Block, shingle: int) -> list[np.ndarray]:
@@ -78,9 +78,9 @@ def _count(batches, shingle: int):
         token, c = np.unique(np.concatenate(held), return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(token), pa.array(c.astype(np.int64))], names=["token", "n"])
 
-    for batch in batches:
+    for batch in slices(batches):
         for b in blocks(batch.column("text"), SPACE_SPLIT, lower=True):
-            own = [x[: math.ceil(HOT_SHARE * len(x))] for x in _sets(b, shingle)]
+            own = [x[: math.ceil(HOT_SHARE * len(x))].copy() for x in _sets(b, shingle)]  # a view would keep the whole set
             held += own
             n += sum(map(len, own))
             if n >= _COUNT_TOKENS:
@@ -105,8 +105,8 @@ def _coded(b: Block, shingle: int, hot: np.ndarray, code: np.ndarray) -> list[np
 
 def _rows(batches, shingle: int, percent: int, order, whole: bool):
     hot, code = order.value
-    for batch in batches:
-        sets = [x for b in blocks(batch.column("text"), SPACE_SPLIT, lower=True) for x in _coded(b, shingle, hot, code)]
+    for batch in slices(batches):
+        sets = [x for b in blocks(batch.column("text"), SPACE_SPLIT, lower=True) for x in _coded(b, shingle, hot, code)]  # SLICE_ROWS at most
         ids = batch.column("doc_id")
         if whole:
             yield pa.RecordBatch.from_arrays([ids, _lists(sets)], names=["id", "tokens"])
