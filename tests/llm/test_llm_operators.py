@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -21,6 +22,7 @@ from tickerflow.llm import op08_main_text as op8
 from tickerflow.llm import op09_token_counts as op9
 from tickerflow.llm import op10_quality as op10
 from tickerflow.llm.components import components
+from tickerflow.session import ensure_checkpoint_dir
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int, hits string, label int, id string"
 SF = "/root/testdata/sf0.001"
@@ -245,6 +247,28 @@ def test_substrings(docs, rows, monkeypatch, most):
     assert all(sum(x.to - getattr(x, "from") for x in r.removed) == r.n_removed for r in got)
 
 
+def test_substrings_disk(spark, docs):
+    """The steps leave neither shuffle files nor tables, but for the windows that go."""
+    from pathlib import Path
+
+    base, setting = Path(ensure_checkpoint_dir(spark).removeprefix("file:")), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+        return {x for x in blocks.split() if x.startswith("shuffle_")}
+
+    tables, files, kept = {p.name for p in base.iterdir()}, shuffles(), spark.conf.get(setting)
+    got = op2.remove_repeats(docs)
+    for _ in range(50):  # Spark deletes in the background
+        if shuffles() <= files:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= files
+    assert {p.name.rsplit("-", 1)[0] for p in base.iterdir() if any(p.iterdir()) and p.name not in tables} == {"gone-windows"}
+    assert spark.conf.get(setting) == kept
+    assert got.where("n_removed > 0").count()
+
+
 def test_substrings_empty(none):
     assert op2.remove_repeats(none).count() == 0
 

@@ -16,6 +16,8 @@ enter them:
   are cut further, into their windows, so that no shard grows with them.
 
 The documents then lose the words of all windows whose first id is smaller than their own.
+
+Each step is written, and the shuffles and tables of the steps before it are deleted, so the disk holds one step at a time.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .tables import written
+from .tables import Scratch, shuffles_dropped, written
 from .words import SPACE_SPLIT, Block, blocks, mix
 
 WINDOW, ANCHOR = 13, 5
@@ -251,10 +253,10 @@ def _emit_kept(batches, window: int):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *rest.columns], names=["doc_id", *kinds])
 
 
-def _anchor_filter(text: DataFrame, window: int, anchor: int) -> np.ndarray:
+def _anchor_filter(text: DataFrame, scratch: Scratch, window: int, anchor: int) -> np.ndarray:
     """Bloom filter of the anchors that two rows or more have, as 64-bit words."""
     counts = text.mapInArrow(partial(_emit_anchors, window=window, anchor=anchor), "anchor long").groupBy("anchor").agg(F.count("anchor").alias("n"))
-    return _bloom(written(counts.where("n > 1").select("anchor"), "anchors"))
+    return _bloom(scratch(counts.where("n > 1").select("anchor"), "anchors"))
 
 
 def _bloom(shared: DataFrame) -> np.ndarray:
@@ -266,6 +268,31 @@ def _bloom(shared: DataFrame) -> np.ndarray:
     return out
 
 
+def _gone(text: DataFrame, keyed: DataFrame, window: int, anchor: int) -> DataFrame:
+    """(doc_id, key, starts) of the documents that lose windows, written."""
+    spark, size = text.sparkSession, {"window": window, "anchor": anchor}
+    early, late = Scratch(spark), Scratch(spark)
+    passing = spark.sparkContext.broadcast(_anchor_filter(text, early, **size))
+    early.clear()
+    refs = text.mapInArrow(partial(_emit_segments, shared_filter=passing, **size), "anchor long, words binary, doc_id long")
+    refs = early(refs.groupBy("anchor", "words").agg(F.min("doc_id").alias("first_id")), "references")
+    many = refs.groupBy("anchor").agg(F.count("words").alias("n")).where(F.col("n") > MAX_SHARD).orderBy(F.desc("n"), "anchor").limit(MAX_CUT)
+    many = early(many.select("anchor"), "cut-anchors")  # MAX_CUT at most
+    cut = spark.sparkContext.broadcast(frozenset(many.toPandas()["anchor"].tolist()))
+    few = refs.join(F.broadcast(many), "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor", "first_id", "words")
+    first = few.mapInArrow(partial(_emit_first, window=window), "piece binary, first_ids array<bigint>")
+    pieces = refs.join(F.broadcast(many), "anchor", "left_semi").mapInArrow(partial(_emit_windows, window=window), "words binary, first_id long")
+    pieces = pieces.groupBy("words").agg(F.min("first_id").alias("first_id")).select(F.unhex(F.md5("words")).alias("piece"), F.array("first_id").alias("first_ids"))
+    first = late(first.unionByName(pieces), "first-ids")
+    early.clear()
+    members = keyed.mapInArrow(partial(_emit_members, shared_filter=passing, shared_cut=cut, **size), "piece binary, doc_id long, key long, at long")
+    gone = members.join(first, "piece").select("doc_id", "key", F.filter(F.transform("first_ids", lambda x, i: F.when(x < F.col("doc_id"), F.col("at") + i)), lambda x: x.isNotNull()).alias("starts"))
+    gone = gone.where(F.size("starts") > 0).groupBy("doc_id", "key").agg(F.flatten(F.collect_list("starts")).alias("starts"))  # one document's windows
+    gone = written(gone, "gone-windows")
+    late.clear()
+    return gone
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text, removed) of each row of ``docs`` (doc_id integer, text).
 
@@ -279,21 +306,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     ship_package(spark)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = {"window": window, "anchor": anchor}
-    passing = spark.sparkContext.broadcast(_anchor_filter(text, **size))
-    refs = text.mapInArrow(partial(_emit_segments, shared_filter=passing, **size), "anchor long, words binary, doc_id long")
-    refs = written(refs.groupBy("anchor", "words").agg(F.min("doc_id").alias("first_id")), "references")
-    many = refs.groupBy("anchor").agg(F.count("words").alias("n")).where(F.col("n") > MAX_SHARD).orderBy(F.desc("n"), "anchor").limit(MAX_CUT)
-    many = written(many.select("anchor"), "cut-anchors")  # MAX_CUT at most
-    cut = spark.sparkContext.broadcast(frozenset(many.toPandas()["anchor"].tolist()))
-    few = refs.join(F.broadcast(many), "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor", "first_id", "words")
-    first = few.mapInArrow(partial(_emit_first, window=window), "piece binary, first_ids array<bigint>")
-    pieces = refs.join(F.broadcast(many), "anchor", "left_semi").mapInArrow(partial(_emit_windows, window=window), "words binary, first_id long")
-    pieces = pieces.groupBy("words").agg(F.min("first_id").alias("first_id")).select(F.unhex(F.md5("words")).alias("piece"), F.array("first_id").alias("first_ids"))
-    first = written(first.unionByName(pieces), "first-ids")
     keyed = text.withColumn("key", F.xxhash64("text"))
-    members = keyed.mapInArrow(partial(_emit_members, shared_filter=passing, shared_cut=cut, **size), "piece binary, doc_id long, key long, at long")
-    gone = members.join(first, "piece").select("doc_id", "key", F.filter(F.transform("first_ids", lambda x, i: F.when(x < F.col("doc_id"), F.col("at") + i)), lambda x: x.isNotNull()).alias("starts"))
-    gone = gone.where(F.size("starts") > 0).groupBy("doc_id", "key").agg(F.flatten(F.collect_list("starts")).alias("starts"))  # one document's windows
+    with shuffles_dropped(spark):
+        gone = _gone(text, keyed, **size)
     return keyed.join(gone, ["doc_id", "key"], "left").mapInArrow(partial(_emit_kept, window=window), "doc_id long, n_words long, n_removed long, kept_text string, removed array<struct<`from`: int, `to`: int>>")
 
 
