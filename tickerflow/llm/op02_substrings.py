@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from .tables import Scratch, shuffles_dropped, written
-from .words import SPACE_SPLIT, Block, blocks, mix
+from .words import SPACE_SPLIT, Block, blocks, mix, slices
 
 WINDOW, ANCHOR = 13, 5
 #: References of an anchor beyond which it is cut into windows, and anchors that are at most.
@@ -113,7 +113,7 @@ def _segments(batch, shared_filter, window: int, anchor: int):
 
 
 def _emit_segments(batches, shared_filter, window: int, anchor: int):
-    for batch in batches:
+    for batch in slices(batches):
         ids = batch.column("doc_id").to_pylist()
         rows = [(k, words, ids[row]) for row, k, words, _ in _segments(batch, shared_filter, window, anchor) if ids[row] is not None]
         yield _batch(rows, {"anchor": pa.int64(), "words": pa.binary(), "doc_id": pa.int64()})
@@ -121,7 +121,7 @@ def _emit_segments(batches, shared_filter, window: int, anchor: int):
 
 def _emit_members(batches, shared_filter, shared_cut, window: int, anchor: int):
     cut = shared_cut.value
-    for batch in batches:
+    for batch in slices(batches):
         ids, texts = batch.column("doc_id").to_pylist(), batch.column("key").to_pylist()
         rows = []
         for row, k, words, at in _segments(batch, shared_filter, window, anchor):
@@ -230,7 +230,7 @@ def _emit_first(batches, window: int):
 
 
 def _emit_kept(batches, window: int):
-    for batch in batches:
+    for batch in slices(batches):
         starts = batch.column("starts").to_pylist()
         out = []
         for b in blocks(batch.column("text"), SPACE_SPLIT):
