@@ -247,6 +247,22 @@ def test_substrings(docs, rows, monkeypatch, most):
     assert all(sum(x.to - getattr(x, "from") for x in r.removed) == r.n_removed for r in got)
 
 
+def test_output_layers_take_many_tokens_at_once(monkeypatch):
+    """Learning and scoring don't take the softmax of each class or step on its own."""
+    from tickerflow.llm import gru
+
+    rng = np.random.default_rng(6)
+    w = gru.new_weights(rng.random(44), rng.random((40, gru.PLACES)), rng.random((0, gru.LEAVES)))
+    ids = rng.integers(0, 40 * gru.PLACES, gru.LANES * 4 * gru.STEPS).astype(np.int32)
+    calls, softmax = [], gru._softmax
+    monkeypatch.setattr(gru, "_softmax", lambda x, target: calls.append(len(x)) or softmax(x, target))
+    gru.Trainer(w, 0.01).learn(ids)
+    assert sum(calls) == 2 * len(ids) and len(calls) <= 2 * len(ids) / gru.ROWS + 8
+    calls.clear()
+    gru.score(ids, np.arange(0, len(ids) + 1, 64), w)
+    assert sum(calls) == 2 * len(ids) and len(calls) <= 2 * len(ids) / gru.ROWS + 8
+
+
 def test_substrings_disk(spark, docs):
     """The steps leave neither shuffle files nor tables, but for the windows that go."""
     from pathlib import Path
