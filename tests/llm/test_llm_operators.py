@@ -263,6 +263,38 @@ def test_output_layers_take_many_tokens_at_once(monkeypatch):
     assert sum(calls) == 2 * len(ids) and len(calls) <= 2 * len(ids) / gru.ROWS + 8
 
 
+def test_leaves_are_read_once_a_place():
+    """Tokens of a place share its leaves, in blocks of a few places; learning from the blocks gives what the whole gradient gives."""
+    from functools import partial
+
+    from tickerflow.llm import gru
+
+    rng = np.random.default_rng(7)
+    w = small_model()
+    w["leaves"] = np.concatenate([w["leaves"]] * 2)
+    w["places"], w["place_bias"] = (np.concatenate([x, x[-1:]]) for x in (w["places"], w["place_bias"]))
+    w["leaf_embedding"], w["classes"], w["class_bias"] = np.concatenate([w["leaf_embedding"]] * 2), np.concatenate([w["classes"], w["classes"][:, :1]], axis=1), np.r_[w["class_bias"], w["class_bias"][:1]]
+    w["leaf_touches"], w["input_touches"] = np.zeros(len(w["leaves"]), np.float32), np.zeros(len(w["leaf_embedding"]), np.float32)
+    n_inputs, n_leaves = len(w["embedding"]), len(w["leaf_embedding"])
+    skewed = n_inputs + (n_leaves * rng.random((gru.STEPS, 40)) ** 3).astype(np.int64)
+    ids = np.where(rng.random(skewed.shape) < 0.8, skewed, rng.integers(0, n_inputs, skewed.shape))
+    cls, place, leaf = gru.targets(ids.ravel(), w)
+    blocks = list(gru._leaf_rows(cls, place, leaf, w))
+    assert sorted(r for rows, *_ in blocks for r in rows) == np.flatnonzero(ids.ravel() >= n_inputs).tolist()
+    places = np.concatenate([at for _, at, *_ in blocks])
+    assert len(set(places)) == len(places) > gru.LEAF_PLACES >= max(len(at) for _, at, *_ in blocks)
+    for rows, at, n, runs in blocks:
+        assert (np.repeat(at, n) == (ids.ravel()[rows] - n_inputs) // gru.LEAVES).all()
+        assert all((n[of] == often).all() and own.stop - own.start == often * (of.stop - of.start) for often, own, of in runs)
+    before, h = np.roll(ids, 1, axis=0), np.zeros((40, gru.HIDDEN), np.float32)
+    whole, blocked = gru.Trainer(w, 0.01), gru.Trainer(w, 0.01)
+    _, sparse, _, loss = gru._gradients(before, ids, h, whole.w)
+    whole._touch("leaves", np.float32(1), *sparse["leaves"])
+    _, rest, _, same_loss = gru._gradients(before, ids, h, blocked.w, partial(blocked._touch, "leaves", np.float32(1)))
+    assert "leaves" not in rest and loss == same_loss
+    assert (whole.w["leaves"] == blocked.w["leaves"]).all() and (whole.w["leaf_touches"] == blocked.w["leaf_touches"]).all()
+
+
 def test_substrings_disk(spark, docs):
     """The steps leave neither shuffle files nor tables, but for the windows that go."""
     from pathlib import Path
