@@ -317,6 +317,40 @@ def test_substrings_disk(spark, docs):
     assert got.where("n_removed > 0").count()
 
 
+@pytest.mark.parametrize("most", [500, 0])
+def test_substrings_driver(spark, docs, monkeypatch, most):
+    """The driver takes the filter and the cut anchors as bytes, the filter by parts; the filter has the bits of all anchors and no others."""
+    from pyspark.sql import DataFrame
+
+    from tickerflow.llm.tables import written
+
+    taken, collect = [], type(docs).collect
+
+    def seen(df):
+        taken.append((df.columns, rows := collect(df)))
+        return rows
+
+    anchors = [int(x) for x in np.random.default_rng(8).integers(-(1 << 63), 1 << 63, 40_000)]
+    monkeypatch.setattr(op2, "TAKEN_WORDS", 1 << 10)
+    monkeypatch.setattr(op2, "MAX_SHARD", most)
+    for kind in {DataFrame, type(docs)}:
+        monkeypatch.setattr(kind, "toPandas", lambda df: pytest.fail("rows of numbers at the driver"))
+    monkeypatch.setattr(type(docs), "collect", seen)
+    for n in (0, 3, 40_000):
+        taken.clear()
+        got = op2._bloom(written(spark.createDataFrame([(x,) for x in anchors[:n]], "anchor long"), "anchors"))
+        expected = np.zeros(len(got), np.uint64)
+        for place in op2._positions(np.array(anchors[:n], np.int64).view(np.uint64), 64 * len(got)):
+            np.bitwise_or.at(expected, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+        assert (got == expected).all() and len(got) == {0: 1, 3: 1, 40_000: 1 << 13}[n]
+        parts = [sum(len(r["words"]) for r in rows) for columns, rows in taken if columns == ["piece", "words"]]
+        assert max(parts) <= 8 << 10 and sum(parts) == (len(got) * 8 if n else 0)
+    taken.clear()
+    assert op2.remove_repeats(docs).where("n_removed > 0").count()
+    packed = [np.frombuffer(r["anchors"], np.int64) for columns, rows in taken if columns == ["anchors"] for r in rows]
+    assert bool(packed) == (most == 0)
+
+
 def test_substrings_empty(none):
     assert op2.remove_repeats(none).count() == 0
 

@@ -38,8 +38,10 @@ from .words import SPACE_SPLIT, Block, blocks, mix, slices
 WINDOW, ANCHOR = 13, 5
 #: References of an anchor beyond which it is cut into windows, and anchors that are at most.
 MAX_SHARD, MAX_CUT = 500, 1_000_000
-#: Bits of the Bloom filter for each anchor, and at most (32 MB).
+#: Bits of the Bloom filter for each anchor, and at most (rounded up, 64 MB).
 FILTER_BITS, MAX_FILTER_BITS, FILTER_HASHES = 12, 1 << 28, 3
+#: Pieces of the filter on their way to the driver, and 64-bit words that it takes at a time (8 MB).
+PIECES, TAKEN_WORDS = 1024, 1 << 20
 
 
 def _anchors(b: Block, window: int, anchor: int):
@@ -90,6 +92,30 @@ def _emit_bits(batches, bits: int):
         yield pa.RecordBatch.from_arrays([pa.array((place >> np.uint64(6)).astype(np.int64)), pa.array(mask.view(np.int64))], names=["word", "mask"])
 
 
+def _emit_pieces(batches, width: int):
+    """(piece, its ``width`` words as bytes) of the filter, from rows of (word, mask); all words of a piece are among the batches."""
+    held: dict[int, np.ndarray] = {}
+    for batch in batches:
+        word, mask = batch.column("word").to_numpy(), batch.column("mask").to_numpy().view(np.uint64)
+        order = np.argsort(word // width)
+        piece, first = np.unique((word // width)[order], return_index=True)
+        for p, own in zip(piece.tolist(), np.split(order, first[1:])):
+            held.setdefault(p, np.zeros(width, np.uint64))[word[own] % width] = mask[own]
+    for p, words in held.items():
+        yield _batch([(p, words.tobytes())], {"piece": pa.int64(), "words": pa.binary()})
+
+
+def _emit_packed(batches):
+    """The anchors of a batch as the bytes of one row."""
+    for batch in batches:
+        yield _batch([(batch.column("anchor").to_numpy().tobytes(),)], {"anchors": pa.binary()})
+
+
+def _held(cut: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether each anchor is one of the sorted anchors."""
+    return cut[np.minimum(np.searchsorted(cut, key), len(cut) - 1)] == key if len(cut) else np.zeros(len(key), bool)
+
+
 def _passing(key: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Whether the filter holds each anchor."""
     keep = np.ones(len(key), bool)
@@ -98,8 +124,8 @@ def _passing(key: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return keep
 
 
-def _segments(batch, shared_filter, window: int, anchor: int):
-    """(row, anchor, words, first window) of the segments of a batch that pass the filter."""
+def _segments(batch, shared_filter, window: int, anchor: int, cut: np.ndarray = np.zeros(0, np.int64)):
+    """(row, anchor, words, first window, whether the anchor is one of the sorted ``cut``) of the segments of a batch that pass the filter."""
     bits = shared_filter.value
     for b in blocks(batch.column("text"), SPACE_SPLIT):
         key, first, last, doc = _anchors(b, window, anchor)
@@ -108,14 +134,14 @@ def _segments(batch, shared_filter, window: int, anchor: int):
         key, first, last, doc = key[keep].view(np.int64), first[keep], last[keep], doc[keep]
         begin, end = b.starts[first], b.ends[last + window - 1]
         at = first - b.bounds[doc]
-        for row, k, x, y, i in zip((doc + b.first).tolist(), key.tolist(), begin.tolist(), end.tolist(), at.tolist()):
-            yield row, k, b" ".join(raw[x:y].split()), i
+        for row, k, x, y, i, is_cut in zip((doc + b.first).tolist(), key.tolist(), begin.tolist(), end.tolist(), at.tolist(), _held(cut, key).tolist()):
+            yield row, k, b" ".join(raw[x:y].split()), i, is_cut
 
 
 def _emit_segments(batches, shared_filter, window: int, anchor: int):
     for batch in slices(batches):
         ids = batch.column("doc_id").to_pylist()
-        rows = [(k, words, ids[row]) for row, k, words, _ in _segments(batch, shared_filter, window, anchor) if ids[row] is not None]
+        rows = [(k, words, ids[row]) for row, k, words, *_ in _segments(batch, shared_filter, window, anchor) if ids[row] is not None]
         yield _batch(rows, {"anchor": pa.int64(), "words": pa.binary(), "doc_id": pa.int64()})
 
 
@@ -124,9 +150,9 @@ def _emit_members(batches, shared_filter, shared_cut, window: int, anchor: int):
     for batch in slices(batches):
         ids, texts = batch.column("doc_id").to_pylist(), batch.column("key").to_pylist()
         rows = []
-        for row, k, words, at in _segments(batch, shared_filter, window, anchor):
+        for row, _, words, at, is_cut in _segments(batch, shared_filter, window, anchor, cut):
             if ids[row] is not None:
-                for j, piece in enumerate(_windows(words, window)) if k in cut else [(0, words)]:
+                for j, piece in enumerate(_windows(words, window)) if is_cut else [(0, words)]:
                     rows.append((hashlib.md5(piece).digest(), ids[row], texts[row], at + j))
         yield _batch(rows, {"piece": pa.binary(), "doc_id": pa.int64(), "key": pa.int64(), "at": pa.int64()})
 
@@ -260,11 +286,17 @@ def _anchor_filter(text: DataFrame, scratch: Scratch, window: int, anchor: int)
 
 
 def _bloom(shared: DataFrame) -> np.ndarray:
-    """Bloom filter of the anchors of a written table, as 64-bit words."""
+    """Bloom filter of the anchors of a written table, as 64-bit words. The driver takes it as bytes, some pieces at a time."""
     bits = 64 << max(0, int(min(MAX_FILTER_BITS, FILTER_BITS * shared.count()) // 64).bit_length())
-    words = shared.mapInArrow(partial(_emit_bits, bits=bits), "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
-    out = np.zeros(bits // 64, np.uint64)
-    out[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64).view(np.uint64)
+    words = shared.mapInArrow(partial(_emit_bits, bits=bits), "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    n, scratch = bits // 64, Scratch(shared.sparkSession)
+    width = max(1, n // PIECES)
+    pieces = scratch(words.repartition(F.expr(f"word div {width}")).mapInArrow(partial(_emit_pieces, width=width), "piece long, words binary"), "filter-pieces")
+    out, step = np.zeros(n, np.uint64), max(1, TAKEN_WORDS // width)
+    for at in range(0, n // width, step):
+        for r in pieces.where((F.col("piece") >= at) & (F.col("piece") < at + step)).collect():
+            out[r["piece"] * width :][:width] = np.frombuffer(r["words"], np.uint64)
+    scratch.clear()
     return out
 
 
@@ -278,7 +310,8 @@ def _gone(text: DataFrame, keyed: DataFrame, window: int, anchor: int) -> DataFr
     refs = early(refs.groupBy("anchor", "words").agg(F.min("doc_id").alias("first_id")), "references")
     many = refs.groupBy("anchor").agg(F.count("words").alias("n")).where(F.col("n") > MAX_SHARD).orderBy(F.desc("n"), "anchor").limit(MAX_CUT)
     many = early(many.select("anchor"), "cut-anchors")  # MAX_CUT at most
-    cut = spark.sparkContext.broadcast(frozenset(many.toPandas()["anchor"].tolist()))
+    packed = [np.frombuffer(r["anchors"], np.int64) for r in many.mapInArrow(_emit_packed, "anchors binary").collect()]
+    cut = spark.sparkContext.broadcast(np.sort(np.concatenate([np.zeros(0, np.int64), *packed])))
     few = refs.join(F.broadcast(many), "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor", "first_id", "words")
     first = few.mapInArrow(partial(_emit_first, window=window), "piece binary, first_ids array<bigint>")
     pieces = refs.join(F.broadcast(many), "anchor", "left_semi").mapInArrow(partial(_emit_windows, window=window), "words binary, first_id long")
